@@ -1,0 +1 @@
+"""Reusable column and frame helpers."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -31,6 +32,11 @@ def get_spark(app_name: str = "rulemill", master: str | None = None,
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="rulemill-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the cluster's checkpoint folder.
 
@@ -42,8 +48,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="rulemill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return os.path.join(base, f"rulemill-{purpose}-{uuid.uuid4().hex}")
 
 
