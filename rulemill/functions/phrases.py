@@ -8,7 +8,7 @@ from rulemill.functions.text import ISO_8601
 
 
 def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "''") + "'"
+    return "'" + text.replace("'", "''") + "'"
 
 
 def compile_phrase(column: str, phrase: str, as_of: str) -> str | None:
