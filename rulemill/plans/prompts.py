@@ -1 +1,127 @@
-"""Queries."""
+"""Queries for prompt templates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rulemill.operators import profile as pf
+from rulemill.operators import prompts as pr
+from rulemill.plans.catalog import query
+from rulemill.plans.rulesets import _ENUMS, mined_enums
+from rulemill.sources.tables import load
+
+# Variables the agent's prompt must have.
+REQUIRED = ["table_name", "catalog", "schema"]
+
+_TEMPLATES = [
+    "Analyze the {{table_name}} table in {{catalog}}.{{schema}} and propose rules.",
+    "Analyze {{table_name}} in {{schema}}.",
+    "Check {{ table_name }} of {{catalog}}.{{schema}} for {{focus}}.",
+    "Propose rules.",
+]
+_MISSING = ["", "catalog", "", "catalog,schema,table_name"]
+_EXTRA = ["", "", "focus", ""]
+
+
+def _templates(spark, sf_dir):
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    pick = F.element_at(F.array(*[F.lit(t) for t in _TEMPLATES]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return part.withColumn("template", F.concat(pick, F.lit(" For "), "p_brand"))
+
+
+def _case(values):
+    return "CASE p_partkey % 4 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+@query(f"""SELECT p_partkey, {_case(_MISSING)} AS missing, {_case(_EXTRA)} AS extra,
+                  p_partkey % 4 IN (0, 2) AS valid FROM part""")
+def validate_templates(spark, sf_dir):
+    return pr.validate_templates(_templates(spark, sf_dir), "template", REQUIRED).select(
+        "p_partkey", "missing", "extra", "valid")
+
+
+_FILLED = [
+    "'Analyze the ' || p_type || ' table in main.{{schema}} and propose rules.'",
+    "'Analyze ' || p_type || ' in {{schema}}.'",
+    "'Check ' || p_type || ' of main.{{schema}} for {{focus}}.'",
+    "'Propose rules.'",
+]
+
+
+@query(f"""SELECT p_partkey, CASE p_partkey % 4 {' '.join(f'WHEN {i} THEN {e}' for i, e in enumerate(_FILLED))} END
+                  || ' For ' || p_brand AS rendered,
+                  {_case(['schema', 'schema', 'focus,schema', ''])} AS unresolved FROM part""")
+def render_prompts(spark, sf_dir):
+    values = {"table_name": F.col("p_type"), "catalog": F.lit("main")}
+    return pr.render(_templates(spark, sf_dir), "template", values).select("p_partkey", "rendered", "unresolved")
+
+
+@query("""SELECT n_nationkey, r_name, 'Focus on ' || n_name || ' in ' || r_name || '.' AS rendered, '' AS unresolved,
+                 n_customers
+          FROM nation JOIN region ON n_regionkey = r_regionkey
+          JOIN (SELECT c_nationkey, count(*) AS n_customers FROM customer GROUP BY 1) c ON c_nationkey = n_nationkey""")
+def render_prompts_single_brace(spark, sf_dir):
+    people = load(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+        F.count(F.lit(1)).alias("n_customers"))
+    nation = load(spark, sf_dir, "nation").join(
+        load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).join(people, "n_nationkey")
+    df = nation.withColumn("template", F.lit("Focus on {nation} in {region}."))
+    return pr.render(df, "template", {"nation": F.col("n_name"), "region": F.col("r_name")}, "single").select(
+        "n_nationkey", "r_name", "rendered", "unresolved", "n_customers")
+
+
+@query("""SELECT doc_id, substr(sha256(text), 1, 12) AS prompt_hash, length(text) AS prompt_length FROM documents""")
+def fingerprint_docs(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return pr.with_fingerprint(docs, "text").drop("text")
+
+
+@query("""SELECT prompt_hash, count(*) AS n_docs, min(doc_id) AS first_doc FROM (
+            SELECT doc_id, substr(sha256(text), 1, 12) AS prompt_hash FROM documents) f GROUP BY 1""")
+def fingerprint_groups(spark, sf_dir):
+    docs = pr.with_fingerprint(load(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return docs.groupBy("prompt_hash").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+_COLUMN_TYPES = {
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+                 ("c_mktsegment", "string")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+             ("p_size", "int"), ("p_retailprice", "double")],
+}
+_EXAMPLE = "amount > 0"
+
+
+def _prompt_sql(table):
+    columns = "\n".join(f"- {c} ({t}, nullable=true)" for c, t in _COLUMN_TYPES[table])
+    rules = " || chr(10) || ".join(
+        f"""(SELECT '- {c} IN (' || string_agg('''' || v || '''', ', ' ORDER BY v) || ')'
+             FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM {table}) d)""" for c in sorted(_ENUMS[table]))
+    return f"""SELECT '{table}' AS table_name, 'Table: {table}
+
+Columns:
+{columns}
+
+Known rules:
+' || {rules} || '
+
+Examples:
+{_EXAMPLE}
+
+Propose further rules as a JSON array: outliers, business logic, cross-column consistency, text formats, allowed values.' AS prompt"""
+
+
+def _prompts(spark, sf_dir):
+    columns = None
+    for t in _COLUMN_TYPES:
+        part = pf.describe_schema(load(spark, sf_dir, t), t)
+        columns = part if columns is None else columns.unionByName(part)
+    rules = mined_enums(spark, sf_dir).where(F.col("table_name").isin(*_COLUMN_TYPES))
+    return pr.build_prompts(columns, rules, _EXAMPLE)
+
+
+@query(" UNION ALL ".join(_prompt_sql(t) for t in _COLUMN_TYPES))
+def build_prompts(spark, sf_dir):
+    return _prompts(spark, sf_dir)
