@@ -30,15 +30,19 @@ def strip_markup(col: Column) -> Column:
 def silver(df: DataFrame, key: str, text: str, markup: bool = False) -> DataFrame:
     """Cleaned text, empty rows dropped, one row per distinct text (lowest key).
 
-    Duplicates are found on hash and key alone; the texts do not move for it
-    except once, by their unique key.
+    Copies are found on hash and key alone. Only hashes that repeat come back,
+    one row each however many copies there are, so Spark can usually broadcast
+    them and the texts are not shuffled at all.
     """
     raw = F.col(text)
     cleaned = (df.withColumn("clean_text", clean_text(strip_markup(raw) if markup else raw))
                .where(F.col("clean_text") != "")
                .withColumn("content_hash", F.sha2("clean_text", 256)))
-    keep = cleaned.groupBy("content_hash").agg(F.min(key).alias(key)).select(key)
-    return cleaned.join(keep, key, "left_semi")
+    repeated = (cleaned.groupBy(F.col("content_hash").alias("_hash"))
+                .agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > 1).drop("_n"))
+    later_copy = (F.col("content_hash") == F.col("_hash")) & (F.col(key) > F.col("_first"))
+    return cleaned.join(repeated, later_copy, "left_anti")
 
 
 def chunk(df: DataFrame, key: str, text: str, size: int, overlap: int, unit: str = "words") -> DataFrame:

@@ -12,6 +12,8 @@ from rulemill.functions.text import tokens
 
 # Query vectors held by each task at a time: bounds the broadcast.
 QUERY_SLICE = 4096
+# Query blocks searched by broadcast; beyond this both sides are blocked in Spark.
+MAX_SLICES = 8
 
 
 def embed_hashed(df: DataFrame, key: str, text: str, dims: int = 64) -> DataFrame:
@@ -64,6 +66,37 @@ def _query_slices(queries: DataFrame, query_id: str, query_vec: str, slice_rows:
         after = rows[query_id].iloc[-1].item()
 
 
+def _grid_search(queries: DataFrame, corpus: DataFrame, n_queries: int, k: int, query_id: str, query_vec: str,
+                 item_id: str, item_vec: str, metric: str, block_rows: int) -> DataFrame:
+    """Exact search when the queries are a large table: both sides are cut into
+    blocks of about ``block_rows`` by a hash of the id, and each pair of blocks
+    is one small task that gives k rows per query. Nothing passes the driver."""
+    def blocked(df, id_col, vec_col, n, mine, other, n_other):
+        block = F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
+        numbers = F.sequence(F.lit(0), F.lit(n_other - 1))
+        return (df.where(F.col(vec_col).isNotNull())
+                .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
+                        block.alias(mine), F.explode(numbers).alias(other)))
+
+    n_q = max(1, -(-n_queries // block_rows))
+    n_c = max(1, -(-corpus.count() // block_rows))
+    left = blocked(queries, query_id, query_vec, n_q, "qb", "cb", n_c)
+    right = blocked(corpus, item_id, item_vec, n_c, "cb", "qb", n_q)
+
+    def match(q, c):
+        if len(q) == 0 or len(c) == 0:
+            return pd.DataFrame({"query_id": [], item_id: [], "score": []})
+        ids = c["id"].to_numpy()
+        scores = np.round(_prepared(_matrix(q["vec"]), metric) @ _prepared(_matrix(c["vec"]), metric).T, 6) + 0.0
+        best = [_best(ids, row, k) for row in scores]
+        return pd.DataFrame({
+            "query_id": np.repeat(q["id"].to_numpy(), [len(b[0]) for b in best]),
+            item_id: np.concatenate([b[0] for b in best]), "score": np.concatenate([b[1] for b in best])})
+
+    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(
+        match, f"query_id bigint, {item_id} bigint, score double")
+
+
 def _best(ids, scores, k):
     """Row-wise top k of rounded scores, ties by smaller id."""
     order = np.lexsort((ids, -scores))[:k]
@@ -87,10 +120,10 @@ def _search(corpus: DataFrame, ids: np.ndarray, vecs: np.ndarray, item_id: str,
             if len(pdf) == 0:
                 continue
             item_ids = pdf[item_id].to_numpy()
-            raw = _matrix(pdf[item_vec])
-            scores = np.round(q @ _prepared(raw, metric).T, 6) + 0.0
+            items = _prepared(_matrix(pdf[item_vec]), metric)
+            scores = np.round(q @ items.T, 6) + 0.0
             if cells is not None:
-                near = np.argmin(((cells ** 2).sum(axis=1)[None, :] - 2 * raw @ cells.T), axis=1)
+                near = np.argmin((cells ** 2).sum(axis=1)[None, :] - 2 * items @ cells.T, axis=1)
                 scores = np.where(wanted[:, near], scores, -np.inf)
             if scores.shape[1] > k:
                 # Everything at or above the k-th score, then exact order by id.
@@ -122,13 +155,19 @@ def _ranked(found: DataFrame, item_id: str, k: int) -> DataFrame:
 
 
 def topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query_vec: str, item_id: str,
-         item_vec: str, metric: str = "cosine", slice_rows: int = QUERY_SLICE) -> DataFrame:
+         item_vec: str, metric: str = "cosine", slice_rows: int = QUERY_SLICE,
+         max_slices: int = MAX_SLICES) -> DataFrame:
     """Exact top-k items per query: (query_id, item_id, score, rank).
 
-    The broadcast is a query block of at most ``slice_rows`` vectors; more
-    queries mean more blocks, each one scan of the corpus, and the result stays
-    exact. The corpus is never shuffled.
+    The broadcast is a query block of at most ``slice_rows`` vectors; a few
+    blocks mean a few scans of the corpus, which is never shuffled. A query
+    table beyond ``max_slices`` blocks is searched block by block in Spark,
+    with the same result.
     """
+    n_queries = queries.count()
+    if n_queries > slice_rows * max_slices:
+        return _ranked(_grid_search(queries, corpus, n_queries, k, query_id, query_vec, item_id, item_vec,
+                                    metric, slice_rows), item_id, k)
     parts = [_search(corpus, ids, vecs, item_id, item_vec, k, metric)
              for ids, vecs in _query_slices(queries, query_id, query_vec, slice_rows)]
     if not parts:
@@ -151,12 +190,15 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    items = corpus.select(array_to_vector(F.col(item_vec).cast("array<double>")).alias("features"))
+    vec = F.col(item_vec).cast("array<double>")
+    norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
+    items = corpus.select(array_to_vector(F.transform(vec, lambda x: F.coalesce(
+        F.try_divide(x, norm), F.lit(0.0)))).alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=10).fit(items)
     centers = np.array(model.clusterCenters())
     parts = []
     for ids, vecs in _query_slices(queries, query_id, query_vec, slice_rows):
-        far = (centers ** 2).sum(axis=1)[None, :] - 2 * vecs @ centers.T
+        far = (centers ** 2).sum(axis=1)[None, :] - 2 * _prepared(vecs, "cosine") @ centers.T
         probes = np.zeros(far.shape, dtype=bool)
         np.put_along_axis(probes, np.argsort(far, axis=1)[:, :n_probe], True, axis=1)
         parts.append(_search(corpus, ids, vecs, item_id, item_vec, k, "cosine", centers, probes))
