@@ -10,8 +10,9 @@ too large is no longer compiled by the JVM.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulemill.functions.rules import CROSS_COLUMN, Rule, predicate, rules_frame
@@ -106,11 +107,23 @@ def tag(df: DataFrame, rules: list[Rule], max_rules: int = BATCH_RULES) -> DataF
     return df.withColumn("failed_rules", F.concat_ws(",", *[F.nullif(c, F.lit("")) for c in chunks]))
 
 
-def split(df: DataFrame, rules: list[Rule], severity: str = "error") -> tuple[DataFrame, DataFrame]:
-    """(clean, quarantine). Rules of another severity do not quarantine."""
-    tagged = tag(df, [r for r in rules if r.severity == severity])
-    clean = tagged.where(F.col("failed_rules") == "").drop("failed_rules")
-    return clean, tagged.where(F.col("failed_rules") != "")
+def fails_any(rules: list[Rule]) -> Column:
+    """True where at least one rule is false; stops at the first."""
+    return reduce(lambda x, y: x | y, [F.coalesce(~predicate(r), F.lit(False)) for r in rules], F.lit(False))
+
+
+def split(df: DataFrame, rules: list[Rule], severity: str = "error",
+          max_rules: int = BATCH_RULES) -> tuple[DataFrame, DataFrame]:
+    """(clean, quarantine with ``failed_rules``). Rules of another severity do
+    not quarantine. Only failing rows get the list of what they fail."""
+    active = [r for r in rules if r.severity == severity]
+    groups = batches(active, max_rules)
+    if len(groups) == 1:
+        clean, failing = df.where(~fails_any(active)), df.where(fails_any(active))
+        return clean, tag(failing, active)
+    tagged = tag(df, active, max_rules)
+    return (tagged.where(F.col("failed_rules") == "").drop("failed_rules"),
+            tagged.where(F.col("failed_rules") != ""))
 
 
 def write_split(df: DataFrame, rules: list[Rule], path: str, severity: str = "error",

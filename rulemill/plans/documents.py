@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rulemill.operators import documents as dc
-from rulemill.plans.catalog import query
+from rulemill.plans.catalog import load_spread, query
 from rulemill.session import shared_dir
 from rulemill.sources.manifest import manifest_view
 from rulemill.sources.tables import load
@@ -23,14 +23,14 @@ _SILVER_SQL = f"""
 @query("""SELECT lang, 'documents' AS ingest_source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars
           FROM documents GROUP BY 1""")
 def bronze_docs(spark, sf_dir):
-    raw = dc.bronze(load(spark, sf_dir, "documents"), "documents", "2026-01-01")
+    raw = dc.bronze(load_spread(spark, sf_dir, "documents"), "documents", "2026-01-01")
     return raw.groupBy("lang", "ingest_source").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("text").cast("bigint")).alias("n_chars"))
 
 
 @query(f"SELECT doc_id, content_hash, length(clean_text) AS n_clean FROM ({_SILVER_SQL}) s")
 def silver_docs(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = load_spread(spark, sf_dir, "documents").select("doc_id", "text")
     return dc.silver(docs, "doc_id", "text").select("doc_id", "content_hash", F.length("clean_text").alias("n_clean"))
 
 
@@ -47,7 +47,7 @@ def _strip_sql(col):
              SELECT page_id, trim(regexp_replace({_strip_sql('html')}, '{_BLANK}', ' ', 'g')) AS clean_text FROM pages) c
            WHERE clean_text <> '' GROUP BY clean_text""")
 def silver_pages(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages").select("page_id", "html")
+    pages = load_spread(spark, sf_dir, "pages").select("page_id", "html")
     return dc.silver(pages, "page_id", "html", markup=True).select("page_id", "content_hash", "clean_text")
 
 
@@ -64,7 +64,7 @@ def _words_sql(relation, text, size, overlap):
 @query(f"""SELECT doc_id || '-' || chunk_no AS chunk_id, doc_id, chunk_no, chunk_text
            FROM ({_words_sql('documents', 'text', 120, 20)}) t""")
 def chunk_docs(spark, sf_dir):
-    return dc.chunk(load(spark, sf_dir, "documents"), "doc_id", "text", 120, 20)
+    return dc.chunk(load_spread(spark, sf_dir, "documents"), "doc_id", "text", 120, 20)
 
 
 @query("""SELECT doc_id || '-' || chunk_no AS chunk_id, doc_id, chunk_no,
@@ -72,13 +72,13 @@ def chunk_docs(spark, sf_dir):
           FROM (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil((length(text) - 100) / 400.0) AS BIGINT), 1)))
                        AS chunk_no FROM documents WHERE length(text) > 0) c""")
 def chunk_docs_chars(spark, sf_dir):
-    return dc.chunk(load(spark, sf_dir, "documents"), "doc_id", "text", 500, 100, unit="chars")
+    return dc.chunk(load_spread(spark, sf_dir, "documents"), "doc_id", "text", 500, 100, unit="chars")
 
 
 @query(f"""SELECT doc_id, chunk_no, sha256(chunk_text) AS content_hash, len(string_split(chunk_text, ' ')) AS n_words
            FROM ({_words_sql(f'({_SILVER_SQL})', 'clean_text', 200, 40)}) t""")
 def gold_docs(spark, sf_dir):
-    clean = dc.silver(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    clean = dc.silver(load_spread(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     return dc.gold(clean, "doc_id", "clean_text").select("doc_id", "chunk_no", "content_hash", "n_words")
 
 
@@ -119,7 +119,7 @@ def route_rules_manifest(spark, sf_dir):
 def _index(spark, sf_dir):
     """An older state of the document index: some documents not there yet, some
     with older text, some since removed from the source."""
-    docs = load(spark, sf_dir, "documents")
+    docs = load_spread(spark, sf_dir, "documents")
     old = docs.where("doc_id % 5 <> 0").select(
         "doc_id", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("old "), "text")).otherwise(F.col("text")).alias("text"))
     gone = docs.where("doc_id % 11 = 0").select((-F.col("doc_id") - 1).alias("doc_id"), "text")
@@ -127,7 +127,7 @@ def _index(spark, sf_dir):
 
 
 def _source(spark, sf_dir):
-    return load(spark, sf_dir, "documents").select("doc_id", "text").withColumn("content_hash", F.sha2("text", 256))
+    return load_spread(spark, sf_dir, "documents").select("doc_id", "text").withColumn("content_hash", F.sha2("text", 256))
 
 
 _PLAN_SQL = """

@@ -8,7 +8,7 @@ from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR, Rule
 from rulemill.functions.screening import screening_report
 from rulemill.operators import evaluate as ev
 from rulemill.operators.mining import check_reference, check_unique, phrase_rules
-from rulemill.plans.catalog import query
+from rulemill.plans.catalog import load_spread, query
 from rulemill.plans.sales_sql import (
     SALES_RULES, SALES_RULES_SQL, counts_sql, failed_text_sql, injected_sql, sales_sql)
 from rulemill.functions.text import ISO_8601
@@ -112,7 +112,7 @@ def line_rules(n: int) -> list[Rule]:
 
 @query(counts_sql("lineitem", {r.rule_id: r.rule for r in line_rules(120)}))
 def violations_many_rules(spark, sf_dir):
-    return ev.evaluate(load(spark, sf_dir, "lineitem"), line_rules(120)).select(*_COUNTS)
+    return ev.evaluate(load_spread(spark, sf_dir, "lineitem"), line_rules(120)).select(*_COUNTS)
 
 
 @query(f"""SELECT transaction_id, order_key, part_key, line_number, {failed_text_sql(SALES_RULES_SQL)} AS failed_rules

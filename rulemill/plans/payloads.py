@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import payloads as pl
-from rulemill.plans.catalog import query
+from rulemill.plans.catalog import load_spread, query
 from rulemill.session import shared_dir
 from rulemill.sources import derived as de
 from rulemill.sources.tables import load
@@ -82,7 +82,7 @@ def usage_rollup(spark, sf_dir):
         f"CASE WHEN regexp_matches(text, '{p}') THEN '{k}' END" for k, p in pl.GUARDRAILS.items())
     + ") AS flags FROM documents")
 def guardrail_docs(spark, sf_dir):
-    return pl.guardrails(load(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+    return pl.guardrails(load_spread(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
 
 
 _EDGES = [1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0]

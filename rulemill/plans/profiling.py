@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import profile as pf
-from rulemill.plans.catalog import query
+from rulemill.plans.catalog import load_spread, query
 from rulemill.functions.text import ISO_8601
 from rulemill.sources.tables import load
 
@@ -68,7 +68,7 @@ _LINE_NUMS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantit
     + [f"""SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}), NULL, NULL, NULL
            FROM lineitem""" for c in ("l_returnflag", "l_linestatus")]))
 def summary_lineitem(spark, sf_dir):
-    return pf.summarize(load(spark, sf_dir, "lineitem"), exact=True)
+    return pf.summarize(load_spread(spark, sf_dir, "lineitem"), exact=True)
 
 
 @query("SELECT event_id FROM events ORDER BY event_id LIMIT 5")
@@ -78,12 +78,12 @@ def sample_events(spark, sf_dir):
 
 @query(profile_sql("customer", TABLE_COLUMNS["customer"]))
 def profile_customer(spark, sf_dir):
-    return pf.profile(load(spark, sf_dir, "customer"), "customer", approx=False)
+    return pf.profile(load_spread(spark, sf_dir, "customer"), "customer", approx=False)
 
 
 @query(profile_sql("events", TABLE_COLUMNS["events"]))
 def profile_events(spark, sf_dir):
-    return pf.profile(load(spark, sf_dir, "events"), "events", approx=False)
+    return pf.profile(load_spread(spark, sf_dir, "events"), "events", approx=False)
 
 
 @query("SELECT *, '2026-01-01' AS snapshot FROM ("
@@ -121,7 +121,7 @@ _MIXED = {"id_text": "CAST(event_id AS VARCHAR)", "props": "props", "event_type"
         f"AS {k.replace('n_', 'share_')}" for k, g in _GRAMMAR.items()) + " FROM events"
     for c, e in _MIXED.items()))
 def type_consistency_events(spark, sf_dir):
-    events = load(spark, sf_dir, "events").select(
+    events = load_spread(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("id_text"), "props", "event_type",
         F.date_format("ts", "yyyy-MM-dd").alias("day_text"),
         F.get_json_object("props", "$.k").alias("k_text"))

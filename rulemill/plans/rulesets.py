@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rulemill.functions.rules import CROSS_COLUMN
 from rulemill.operators import mining as mi
 from rulemill.operators import rulesets as rs
-from rulemill.plans.catalog import query
+from rulemill.plans.catalog import load_spread, query
 from rulemill.sources.tables import load
 
 
@@ -16,7 +16,7 @@ def responses(spark, sf_dir):
     """Nine answer shapes, by event: plain list, fenced list, fence without a
     newline, one object, prose, a number in the list, a rule missing, an empty
     list, and a list of two."""
-    e = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e = load_spread(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     n = F.col("event_id").cast("string")
     rule = F.concat(F.lit('{"column":"value","rule":"value <> '), n, F.lit('"'))
     shapes = [

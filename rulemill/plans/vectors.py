@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import vectors as vc
-from rulemill.plans.catalog import query
+from rulemill.plans.catalog import load_spread, query
 from rulemill.sources.tables import load
 
 _SPARSE_SQL = """
@@ -17,7 +17,7 @@ _SPARSE_SQL = """
 
 @query(_SPARSE_SQL.format(id="doc_id", text="text", table="documents"))
 def embed_docs(spark, sf_dir):
-    return vc.embed_hashed(load(spark, sf_dir, "documents"), "doc_id", "text")
+    return vc.embed_hashed(load_spread(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 _TOPK_SQL = """

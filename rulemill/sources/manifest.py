@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rulemill.sources.tables import load
+from rulemill.sources.tables import load, spread_small
 
 # Manifest schema (arrival dates are kept as text).
 MANIFEST_SCHEMA = T.StructType([
@@ -27,7 +27,7 @@ def manifest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A manifest derived from every line item, with the defect kinds the
     manifest rules look for: odd products, zero and missing quantities,
     slash dates, date-only values and missing products."""
-    li = load(spark, sf_dir, "lineitem")
+    li = spread_small(load(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     part = F.col("l_partkey")
     product = (F.when(part % 19 == 0, F.lit(None))
                .when(part % 23 == 0, F.concat(F.lit("XX-P-"), F.lpad(part.cast("string"), 7, "0")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rulemill.sources.tables import load
+from rulemill.sources.tables import load, spread_small
 
 # Transaction schema, statuses and payment methods.
 SALES_SCHEMA = T.StructType([
@@ -43,7 +43,7 @@ def sales_view(spark: SparkSession, sf_dir: str, ordered_dates: bool = False) ->
     ``ordered_dates`` replaces the ship date by one that never precedes the
     order date, the clean base for defect injection.
     """
-    items = load(spark, sf_dir, "lineitem")
+    items = spread_small(load(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     orders = load(spark, sf_dir, "orders")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = (items.join(orders, items.l_orderkey == orders.o_orderkey)
