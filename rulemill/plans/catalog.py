@@ -28,7 +28,7 @@ def query(check: str | None = None, name: str | None = None):
 
 def load_all() -> None:
     from rulemill.plans import (  # noqa: F401
-        documents, evaluation, inference, mining, payloads, profiling,
+        agents, documents, evaluation, inference, mining, payloads, profiling,
         prompts, rulesets, tracking, vectors, versions)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rulemill.operators import documents as dc
 from rulemill.plans.catalog import load_spread, query
@@ -162,9 +161,12 @@ _CHANGES_SQL = """
            SELECT item, label, amount FROM last WHERE op <> 'delete' UNION ALL
            SELECT p_partkey, p_type, p_retailprice FROM part WHERE p_partkey NOT IN (SELECT item FROM last)""")
 def index_upsert(spark, sf_dir):
-    index = load(spark, sf_dir, "part").select(
+    return dc.upsert(_part_index(spark, sf_dir), _changes(load(spark, sf_dir, "events")), "item", "seq")
+
+
+def _part_index(spark, sf_dir):
+    return load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item"), F.col("p_type").alias("label"), F.col("p_retailprice").alias("amount"))
-    return dc.upsert(index, _changes(load(spark, sf_dir, "events")), "item", "seq")
 
 
 def _changes(events):
@@ -175,10 +177,10 @@ def _changes(events):
 
 @query(f"""WITH last AS (SELECT item, arg_max(op, seq) AS op, arg_max(label, seq) AS label, arg_max(amount, seq) AS amount
                          FROM ({_CHANGES_SQL}) c GROUP BY 1)
-           SELECT item, label, amount FROM last WHERE op <> 'delete'""")
+           SELECT item, label, amount FROM last WHERE op <> 'delete' UNION ALL
+           SELECT p_partkey, p_type, p_retailprice FROM part WHERE p_partkey NOT IN (SELECT item FROM last)""")
 def stream_sync(spark, sf_dir):
     out = shared_dir(spark, "stream-sync")
-    schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("label", T.StringType()),
-                           T.StructField("amount", T.DoubleType())])
-    sync_stream(_changes(read_stream(spark, sf_dir, "events")), out, schema, "item", "seq")
-    return current_index(spark, out, schema)
+    changes = _changes(read_stream(spark, sf_dir, "events"))
+    sync_stream(changes, out, "item", "seq")
+    return current_index(spark, _part_index(spark, sf_dir), out, changes.schema, "item", "seq")

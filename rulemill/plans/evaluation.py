@@ -287,9 +287,9 @@ def fk_lineitem_part(spark, sf_dir):
 
 
 @query("""SELECT l_suppkey, count(*) AS n_rows FROM lineitem
-          WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) GROUP BY 1""")
+          WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 3000) GROUP BY 1""")
 def orphans_lineitem_supplier(spark, sf_dir):
-    solvent = load(spark, sf_dir, "supplier").where("s_acctbal >= 0")
+    solvent = load(spark, sf_dir, "supplier").where("s_acctbal >= 3000")
     found = check_reference(load(spark, sf_dir, "lineitem"), "l_suppkey", solvent, "s_suppkey").orphans
     return found.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -24,6 +24,8 @@ def get_spark(app_name: str = "rulemill", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Sessions of a busy key are merged in each task before the shuffle.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update(conf or {})

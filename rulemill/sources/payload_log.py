@@ -14,11 +14,10 @@ def with_day(df: DataFrame, ts_col: str = "ts") -> DataFrame:
 def append_log(df: DataFrame, path: str, ts_col: str = "ts") -> str:
     """Append rows to the log.
 
-    Rows are spread over tasks by day and a hash of the time, so a day that
-    holds most rows is written by many tasks, and each task writes few days.
+    The rebalance hint lets AQE gather small days into few files and split a
+    day that holds most of the rows over many tasks.
     """
-    spread = F.pmod(F.xxhash64(ts_col), F.lit(32))
-    (with_day(df, ts_col).repartition("day", spread)
+    (with_day(df, ts_col).hint("rebalance", "day")
         .write.mode("append").partitionBy("day").parquet(path))
     return path
 

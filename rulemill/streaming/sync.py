@@ -1,45 +1,37 @@
-"""Streaming delta sync of an index table."""
+"""Streaming delta sync of an index table.
+
+The stream appends reduced changes; the index is its base table with the last
+change of each key applied. A batch therefore costs what it changes, not what
+the index holds. Saving ``current_index`` as the next base compacts the log.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rulemill.operators.documents import upsert
 
 
-def current_index(spark: SparkSession, out: str, schema) -> DataFrame:
-    """The newest complete index version, or an empty frame."""
-    newest = _versions(spark, out)
-    if not newest:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{out}/index/v={newest[-1]}")
-
-
-def _versions(spark: SparkSession, out: str) -> list[int]:
-    """Version numbers whose write has committed (marked by ``_SUCCESS``)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{out}/index")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{out}/index/v=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
-
+def sync_stream(changes: DataFrame, out: str, key: str, seq: str) -> None:
+    """Append the last change per key of each batch until the input is drained.
 
-def sync_stream(changes: DataFrame, out: str, index_schema, key: str, seq: str, op: str = "op") -> None:
-    """Apply change batches to the index until the input is drained.
-
-    Each batch reads the version before it and writes its own, named by batch
-    number, so a batch replayed after a failure rewrites the same version from
-    the same base.
+    A batch writes its own folder by batch number, so a batch replayed after a
+    failure replaces what it wrote before.
     """
-    spark = changes.sparkSession
+    rest = [c for c in changes.columns if c != key]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        older = [v for v in _versions(spark, out) if v < batch_id]
-        base = (spark.read.schema(index_schema).parquet(f"{out}/index/v={older[-1]}") if older
-                else spark.createDataFrame([], index_schema))
-        upsert(base, batch, key, seq, op).write.mode("overwrite").parquet(f"{out}/index/v={batch_id}")
+        (batch.groupBy(key).agg(F.max_by(F.struct(*rest), seq).alias("_c")).select(key, "_c.*")
+         .write.mode("overwrite").parquet(f"{out}/changes/batch={batch_id}"))
 
     (changes.writeStream.foreachBatch(apply).option("checkpointLocation", f"{out}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
+
+
+def current_index(spark: SparkSession, base: DataFrame, out: str, change_schema: StructType,
+                  key: str, seq: str, op: str = "op") -> DataFrame:
+    """``base`` with every change written so far."""
+    log = spark.read.schema(change_schema).option("recursiveFileLookup", "true").parquet(f"{out}/changes")
+    return upsert(base, log, key, seq, op)

@@ -154,9 +154,10 @@ def test_stream_sync_over_several_batches(spark, tmp_path):
                                 F.when(F.col("id") == step, "delete").otherwise("upsert").alias("op"))
          .coalesce(1).write.mode("append").parquet(src))
         stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-        sync_stream(stream, out, schema, "k", "seq")
-    assert rows(current_index(spark, out, schema), "k", "v") == sorted(
-        [(k, 200 + k) for k in range(10) if k != 2], key=repr)
+        sync_stream(stream, out, "k", "seq")
+    base = spark.createDataFrame([(2, -1), (77, 77)], schema)
+    assert rows(current_index(spark, base, out, stream.schema, "k", "seq"), "k", "v") == sorted(
+        [(k, 200 + k) for k in range(10) if k != 2] + [(77, 77)], key=repr)
 
 
 def test_stream_usage_counts_each_closed_window_once(spark, sf):
