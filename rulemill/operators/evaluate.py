@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from rulemill.functions.rules import CROSS_COLUMN, Rule, predicate, rules_frame
 
 BATCH_RULES = 50
-BATCH_CHARS = 4000
+BATCH_CHARS = 2400
 
 
 def batches(rules: list[Rule], max_rules: int = BATCH_RULES,

@@ -15,12 +15,14 @@ from rulemill.session import get_spark  # noqa: E402
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--conf", action="append", default=[], help="extra setting, key=value")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     import __spark_entry__ as entry
     spark = get_spark("check", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g", "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"})
+        "spark.driver.memory": "8g", "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1",
+        **dict(c.split("=", 1) for c in args.conf)})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     checks, bad = entry.oracle_sql(), 0

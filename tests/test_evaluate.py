@@ -73,7 +73,7 @@ def test_batches_do_not_change_counts(spark, sf):
 
 
 def test_batches_follow_text_size():
-    rules = [Rule(str(i), CROSS_COLUMN, "x" * 1500) for i in range(5)]
+    rules = [Rule(str(i), CROSS_COLUMN, "x" * 1000) for i in range(5)]
     assert [len(b) for b in ev.batches(rules)] == [2, 2, 1]
     assert [len(b) for b in ev.batches(line_rules(120))][0] <= 50
 
