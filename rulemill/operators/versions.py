@@ -14,10 +14,10 @@ URI = r"^(?:models|prompts):/([^@/]+)(?:@([^@/]+)|/([0-9]+))$"
 def register(versions: DataFrame | None, requests: DataFrame, tie: str = "request_id") -> DataFrame:
     """Give each request the next integer version of its name, by time.
 
-    Position within a name is counted by hour slots, so a name with a third of
+    Position within a name is counted by minute slots, so a name with a third of
     all requests is not sorted in one task.
     """
-    numbered = running_index(requests, ["name"], ["ts", tie], F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    numbered = running_index(requests, ["name"], ["ts", tie], F.date_trunc("minute", F.col("ts").cast("timestamp")))
     if versions is None:
         return numbered.withColumn("version", F.col("idx").cast("bigint")).drop("idx")
     last = versions.groupBy("name").agg(F.max("version").alias("_last"))

@@ -16,20 +16,22 @@ from tests.conftest import rows
 def test_running_index_equals_window(spark, sf):
     e = load(spark, sf, "events")
     want = e.withColumn("idx", F.row_number().over(W.partitionBy("event_type").orderBy("ts", "event_id")))
-    for unit in ("month", "hour", "minute"):
-        got = running_index(e, ["event_type"], ["ts", "event_id"], F.date_trunc(unit, F.col("ts").cast("timestamp")))
+    for unit, hot_rows in (("month", 10), ("hour", 10), ("minute", 205), ("hour", 10**6)):
+        got = running_index(e, ["event_type"], ["ts", "event_id"],
+                            F.date_trunc(unit, F.col("ts").cast("timestamp")), hot_rows=hot_rows)
         assert rows(got, "event_id", "idx") == rows(want, "event_id", "idx")
 
 
-def test_running_index_with_one_hot_key(spark):
-    df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(0).alias("k"), "id")
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
+def test_running_index_with_one_hot_key_and_nulls(spark, hot_rows):
+    df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 7 > 0, 0).alias("k"), "id")
     want = df.withColumn("idx", F.row_number().over(W.partitionBy("k").orderBy("id")))
-    got = running_index(df, ["k"], ["id"], F.floor(F.col("id") / 64))
+    got = running_index(df, ["k"], ["id"], F.floor(F.col("id") / 64), hot_rows=hot_rows)
     assert rows(got, "id", "idx") == rows(want, "id", "idx")
 
 
-@pytest.mark.parametrize("unit", ["day", "hour", "year"])
-def test_asof_join_equals_brute_force(spark, unit):
+@pytest.mark.parametrize("unit,hot_rows", [("day", 0), ("hour", 0), ("year", 0), ("hour", 60), ("day", 10**6)])
+def test_asof_join_equals_brute_force(spark, unit, hot_rows):
     rng = random.Random(3)
     def stamp():
         return f"2024-01-{rng.randint(1, 5):02d} {rng.randint(0, 23):02d}:{rng.choice([0, 30]):02d}:00"
@@ -37,7 +39,7 @@ def test_asof_join_equals_brute_force(spark, unit):
     right = [(rng.choice("abc"), stamp(), 100 + i, i) for i in range(60)]
     ldf = spark.createDataFrame(left, "id int, k string, t string").withColumn("ts", F.to_timestamp("t")).drop("t")
     rdf = spark.createDataFrame(right, "k string, t string, v int, tie int").withColumn("ts", F.to_timestamp("t")).drop("t")
-    got = asof_join(ldf, rdf, ["k"], "ts", "v", "tie", unit)
+    got = asof_join(ldf, rdf, ["k"], "ts", "v", "tie", unit, hot_rows)
     want = []
     for i, k, t in left:
         seen = [(rt, tie, v) for rk, rt, v, tie in right if rk == k and rt <= t]
