@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -66,22 +68,34 @@ def _query_slices(queries: DataFrame, query_id: str, query_vec: str, slice_rows:
         after = rows[query_id].iloc[-1].item()
 
 
-def _grid_search(queries: DataFrame, corpus: DataFrame, n_queries: int, k: int, query_id: str, query_vec: str,
-                 item_id: str, item_vec: str, metric: str, block_rows: int) -> DataFrame:
-    """Exact search when the queries are a large table: both sides are cut into
-    blocks of about ``block_rows`` by a hash of the id, and each pair of blocks
-    is one small task that gives k rows per query. Nothing passes the driver."""
-    def blocked(df, id_col, vec_col, n, mine, other, n_other):
-        block = F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
-        numbers = F.sequence(F.lit(0), F.lit(n_other - 1))
-        return (df.where(F.col(vec_col).isNotNull())
-                .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
-                        block.alias(mine), F.explode(numbers).alias(other)))
+def _grid_search(queries: DataFrame, items: DataFrame, k: int, item_id: str, metric: str,
+                 block_rows: int) -> DataFrame:
+    """Search when the queries are a large table. Both frames hold (cell, id, vec)
+    and are compared within a cell.
+
+    Each cell is cut into blocks of about ``block_rows`` by a hash of the id,
+    more blocks for a fuller cell, and each pair of blocks is one small task
+    that gives k rows per query. Only block counts per cell reach the driver.
+    """
+    def block_counts(df):
+        return {r["cell"]: -(-r["n"] // block_rows)
+                for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    n_q, n_c = block_counts(queries), block_counts(items)
+    shared = sorted(set(n_q) & set(n_c))
+    if not shared:
+        return queries.sparkSession.createDataFrame([], f"query_id bigint, {item_id} bigint, score double")
+
+    def per_cell(counts):
+        return F.create_map(*[F.lit(x) for c in shared for x in (c, counts[c])])[F.col("cell")]
+
+    def blocked(df, mine, my_counts, other, other_counts):
+        return (df.where(F.col("cell").isin(*shared))
+                .withColumn(mine, F.pmod(F.xxhash64("id"), per_cell(my_counts)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), per_cell(other_counts) - 1))))
 
-    n_q = max(1, -(-n_queries // block_rows))
-    n_c = max(1, -(-corpus.count() // block_rows))
-    left = blocked(queries, query_id, query_vec, n_q, "qb", "cb", n_c)
-    right = blocked(corpus, item_id, item_vec, n_c, "cb", "qb", n_q)
+    left = blocked(queries, "qb", n_q, "cb", n_c)
+    right = blocked(items, "cb", n_c, "qb", n_q)
 
     def match(q, c):
         if len(q) == 0 or len(c) == 0:
@@ -93,10 +107,36 @@ def _grid_search(queries: DataFrame, corpus: DataFrame, n_queries: int, k: int,
             "query_id": np.repeat(q["id"].to_numpy(), [len(b[0]) for b in best]),
             item_id: np.concatenate([b[0] for b in best]), "score": np.concatenate([b[1] for b in best])})
 
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(
+    return left.groupBy("cell", "qb", "cb").cogroup(right.groupBy("cell", "qb", "cb")).applyInPandas(
         match, f"query_id bigint, {item_id} bigint, score double")
 
 
+def _one_cell(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    return df.where(F.col(vec_col).isNotNull()).select(
+        F.lit(0).alias("cell"), F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+
+
+def _nearest_cells(df: DataFrame, id_col: str, vec_col: str, centers: np.ndarray, n: int) -> DataFrame:
+    """Rows (cell, id, vec) for the ``n`` nearest cells of each vector."""
+    shared = df.sparkSession.sparkContext.broadcast(centers)
+
+    def assign(batches):
+        cells = shared.value
+        for pdf in batches:
+            if len(pdf):
+                far = _distance(_prepared(_matrix(pdf["vec"]), "cosine"), cells)
+                near = np.argsort(far, axis=1, kind="stable")[:, :n]
+                yield pd.DataFrame({"cell": near.ravel().astype("int32"), "id": np.repeat(pdf["id"].to_numpy(), n),
+                                    "vec": np.repeat(pdf["vec"].to_numpy(), n)})
+
+    return _one_cell(df, id_col, vec_col).mapInPandas(assign, "cell int, id bigint, vec array<double>")
+
+
+def _distance(vecs: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances up to a constant per row."""
+    return (centers ** 2).sum(axis=1)[None, :] - 2 * vecs @ centers.T
+
+
 def _best(ids, scores, k):
     """Row-wise top k of rounded scores, ties by smaller id."""
     order = np.lexsort((ids, -scores))[:k]
@@ -123,7 +163,7 @@ def _search(corpus: DataFrame, ids: np.ndarray, vecs: np.ndarray, item_id: str,
             items = _prepared(_matrix(pdf[item_vec]), metric)
             scores = np.round(q @ items.T, 6) + 0.0
             if cells is not None:
-                near = np.argmin((cells ** 2).sum(axis=1)[None, :] - 2 * items @ cells.T, axis=1)
+                near = np.argmin(_distance(items, cells), axis=1)
                 scores = np.where(wanted[:, near], scores, -np.inf)
             if scores.shape[1] > k:
                 # Everything at or above the k-th score, then exact order by id.
@@ -154,6 +194,13 @@ def _ranked(found: DataFrame, item_id: str, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _merged(parts: list[DataFrame], corpus: DataFrame, item_id: str, k: int) -> DataFrame:
+    if not parts:
+        return corpus.sparkSession.createDataFrame(
+            [], f"query_id bigint, {item_id} bigint, score double, rank int")
+    return _ranked(reduce(DataFrame.unionByName, parts), item_id, k)
+
+
 def topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query_vec: str, item_id: str,
          item_vec: str, metric: str = "cosine", slice_rows: int = QUERY_SLICE,
          max_slices: int = MAX_SLICES) -> DataFrame:
@@ -164,29 +211,22 @@ def topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query_vec
     table beyond ``max_slices`` blocks is searched block by block in Spark,
     with the same result.
     """
-    n_queries = queries.count()
-    if n_queries > slice_rows * max_slices:
-        return _ranked(_grid_search(queries, corpus, n_queries, k, query_id, query_vec, item_id, item_vec,
-                                    metric, slice_rows), item_id, k)
+    if queries.count() > slice_rows * max_slices:
+        return _ranked(_grid_search(_one_cell(queries, query_id, query_vec), _one_cell(corpus, item_id, item_vec),
+                                    k, item_id, metric, slice_rows), item_id, k)
     parts = [_search(corpus, ids, vecs, item_id, item_vec, k, metric)
              for ids, vecs in _query_slices(queries, query_id, query_vec, slice_rows)]
-    if not parts:
-        return corpus.sparkSession.createDataFrame(
-            [], f"query_id bigint, {item_id} bigint, score double, rank int")
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return _ranked(found, item_id, k)
+    return _merged(parts, corpus, item_id, k)
 
 
 def ann_topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query_vec: str, item_id: str,
              item_vec: str, n_cells: int = 16, n_probe: int = 4, seed: int = 7,
-             slice_rows: int = QUERY_SLICE) -> DataFrame:
+             slice_rows: int = QUERY_SLICE, max_slices: int = MAX_SLICES) -> DataFrame:
     """Approximate top-k: items are compared only in the query's nearest cells.
 
     Cells come from k-means over unit vectors; centres are ``n_cells`` rows.
-    Items are filtered by cell where they are read, so no cell, however full,
-    becomes one task. Recall rises to 1 as ``n_probe`` reaches ``n_cells``.
+    Items are filtered by cell where they are read, or for a large query table
+    in blocks of a cell, so no cell, however full, becomes one task. Recall rises to 1 as ``n_probe`` reaches ``n_cells``.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
@@ -196,16 +236,17 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query
         F.try_divide(x, norm), F.lit(0.0)))).alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=10).fit(items)
     centers = np.array(model.clusterCenters())
+    if queries.count() > slice_rows * max_slices:
+        return _ranked(_grid_search(_nearest_cells(queries, query_id, query_vec, centers, n_probe),
+                                    _nearest_cells(corpus, item_id, item_vec, centers, 1),
+                                    k, item_id, "cosine", slice_rows), item_id, k)
     parts = []
     for ids, vecs in _query_slices(queries, query_id, query_vec, slice_rows):
-        far = (centers ** 2).sum(axis=1)[None, :] - 2 * _prepared(vecs, "cosine") @ centers.T
+        far = _distance(_prepared(vecs, "cosine"), centers)
         probes = np.zeros(far.shape, dtype=bool)
-        np.put_along_axis(probes, np.argsort(far, axis=1)[:, :n_probe], True, axis=1)
+        np.put_along_axis(probes, np.argsort(far, axis=1, kind="stable")[:, :n_probe], True, axis=1)
         parts.append(_search(corpus, ids, vecs, item_id, item_vec, k, "cosine", centers, probes))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return _ranked(found, item_id, k)
+    return _merged(parts, corpus, item_id, k)
 
 
 class Retriever:

@@ -12,7 +12,7 @@ from rulemill.sources.tables import load
 
 _RUNS_SQL = """
     SELECT user_id AS run_id, CAST(count(*) AS DOUBLE) AS rules_generated,
-           round(avg(value) / 10, 6) AS latency_seconds,
+           round(avg(value) / 10, 9) AS latency_seconds,
            CAST(count(*) FILTER (WHERE event_type = 'signup') AS DOUBLE) AS schema_rules,
            arg_min(event_type, (ts, event_id)) AS prompt_version, min(ts) AS started
     FROM events GROUP BY 1"""
@@ -28,14 +28,14 @@ _KEYS = ["rules_generated", "latency_seconds"]
 
 @query(f"""SELECT run_id, key, value FROM (
              SELECT run_id, 'rules_generated' AS key, CAST(rules_generated AS VARCHAR) AS value FROM (
-                 SELECT run_id, CAST(CAST(rules_generated AS DECIMAL(20,4)) AS VARCHAR) AS rules_generated FROM ({_RUNS_SQL}) a) x
+                 SELECT run_id, CAST(CAST(rules_generated AS DECIMAL(20,9)) AS VARCHAR) AS rules_generated FROM ({_RUNS_SQL}) a) x
              UNION ALL SELECT run_id, 'latency_seconds',
-                 CAST(CAST(latency_seconds AS DECIMAL(20,4)) AS VARCHAR) FROM ({_RUNS_SQL}) b
+                 CAST(CAST(latency_seconds AS DECIMAL(20,9)) AS VARCHAR) FROM ({_RUNS_SQL}) b
              UNION ALL SELECT run_id, 'prompt_version', prompt_version FROM ({_RUNS_SQL}) c) t""")
 def runs_long(spark, sf_dir):
     wide = de.runs_wide(spark, sf_dir)
     metrics = tr.log_metrics(wide, "run_id", "started", _KEYS).select(
-        "run_id", "key", F.col("value").cast("decimal(20,4)").cast("string").alias("value"))
+        "run_id", "key", F.col("value").cast("decimal(20,9)").cast("string").alias("value"))
     return metrics.unionByName(tr.log_params(wide, "run_id", ["prompt_version"]))
 
 

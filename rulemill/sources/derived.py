@@ -20,7 +20,7 @@ def runs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per user: metrics, the first event's type as prompt version, start time."""
     return (load(spark, sf_dir, "events").groupBy(F.col("user_id").alias("run_id"))
             .agg(F.count(F.lit(1)).cast("double").alias("rules_generated"),
-                 F.round(F.avg("value") / 10, 6).alias("latency_seconds"),
+                 F.round(F.avg("value") / 10, 9).alias("latency_seconds"),
                  F.count_if(F.col("event_type") == "signup").cast("double").alias("schema_rules"),
                  F.min_by("event_type", F.struct("ts", "event_id")).alias("prompt_version"),
                  F.min("ts").alias("started")))

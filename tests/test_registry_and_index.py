@@ -203,12 +203,15 @@ def test_topk_with_fewer_items_than_k(spark, cloud):
 def test_ann_recall(spark, cloud):
     vecs, df = cloud
     exact = brute(vecs, vecs, 9)
-    def recall(probe):
-        got = vc.ann_topk(df, df, 9, "id", "v", "id", "v", n_cells=8, n_probe=probe)
+    def recall(probe, **options):
+        got = vc.ann_topk(df, df, 9, "id", "v", "id", "v", n_cells=8, n_probe=probe, **options)
         pairs = {(r.query_id, r.id) for r in got.collect()}
         return len(pairs & {(a, b) for a, b, _ in exact}) / len(exact)
     assert recall(8) == 1.0
     assert recall(3) > 0.8
+    large = {"slice_rows": 40, "max_slices": 2}
+    assert recall(8, **large) == 1.0
+    assert recall(3, **large) == recall(3)
 
 
 def test_retriever_finds_the_rule_itself(spark):
