@@ -10,9 +10,8 @@ too large is no longer compiled by the JVM.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulemill.functions.rules import CROSS_COLUMN, Rule, predicate, rules_frame
@@ -99,29 +98,20 @@ def tag(df: DataFrame, rules: list[Rule], max_rules: int = BATCH_RULES) -> DataF
 
     ``concat_ws`` skips nulls and is generated code, unlike a lambda filter
     over an array. Use ``split(failed_rules, ',')`` where an array is wanted.
+    The text is exploded from a one-element array because a later filter on it
+    is then not pushed down, which would evaluate every rule twice per row.
     """
     chunks = [F.concat_ws(",", *[F.when(~predicate(r), r.rule_id) for r in b])
-              for b in batches(rules, max_rules)]
-    if len(chunks) == 1:
-        return df.withColumn("failed_rules", chunks[0])
-    return df.withColumn("failed_rules", F.concat_ws(",", *[F.nullif(c, F.lit("")) for c in chunks]))
-
-
-def fails_any(rules: list[Rule]) -> Column:
-    """True where at least one rule is false; stops at the first."""
-    return reduce(lambda x, y: x | y, [F.coalesce(~predicate(r), F.lit(False)) for r in rules], F.lit(False))
+              for b in batches(rules, max_rules)] or [F.lit("")]
+    text = chunks[0] if len(chunks) == 1 else F.concat_ws(",", *[F.nullif(c, F.lit("")) for c in chunks])
+    return df.select("*", F.explode(F.array(text)).alias("failed_rules"))
 
 
 def split(df: DataFrame, rules: list[Rule], severity: str = "error",
           max_rules: int = BATCH_RULES) -> tuple[DataFrame, DataFrame]:
     """(clean, quarantine with ``failed_rules``). Rules of another severity do
-    not quarantine. Only failing rows get the list of what they fail."""
-    active = [r for r in rules if r.severity == severity]
-    groups = batches(active, max_rules)
-    if len(groups) == 1:
-        clean, failing = df.where(~fails_any(active)), df.where(fails_any(active))
-        return clean, tag(failing, active)
-    tagged = tag(df, active, max_rules)
+    not quarantine."""
+    tagged = tag(df, [r for r in rules if r.severity == severity], max_rules)
     return (tagged.where(F.col("failed_rules") == "").drop("failed_rules"),
             tagged.where(F.col("failed_rules") != ""))
 

@@ -85,34 +85,52 @@ def _orderable(f: T.StructField) -> bool:
                                    T.TimestampNTZType, T.BooleanType))
 
 
+def _profile_row(table_name: str, f: T.StructField, n_rows: Column, n_values: Column, n_distinct: Column,
+                 low: Column, high: Column, mean: Column) -> list[Column]:
+    numeric = isinstance(f.dataType, T.NumericType)
+    return [
+        F.lit(table_name).alias("table_name"), F.lit(f.name).alias("column_name"),
+        n_rows.alias("n_rows"), (n_rows - n_values).alias("n_nulls"),
+        F.round(F.try_divide(n_rows - n_values, n_rows), 6).alias("null_rate"),
+        n_distinct.cast("bigint").alias("n_distinct"),
+        as_text(low, f.dataType).alias("min_value"), as_text(high, f.dataType).alias("max_value"),
+        (F.round(mean, 4) if numeric else F.lit(None).cast("double")).alias("mean")]
+
+
 def profile(df: DataFrame, table_name: str, approx: bool = True) -> DataFrame:
     """One row per column: rows, nulls, null rate, distinct values, min, max, mean.
 
-    One aggregate pass. ``approx`` counts distinct values with a sketch; the
-    exact form has to shuffle the distinct values of each column.
+    By default one aggregate pass with a sketch for the distinct values. The
+    exact form reads each column on its own and counts its values, so repeated
+    values shrink before the shuffle and no row is multiplied by the number of
+    columns.
     """
     fields = [f for f in df.schema.fields if _orderable(f)]
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+    if not approx:
+        return reduce(DataFrame.unionByName, [_exact_profile(df, table_name, f) for f in fields])
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for f in fields:
         c = f.name
-        aggs += [F.count(c).alias(f"{c}__n"), distinct(c).alias(f"{c}__d"),
+        aggs += [F.count(c).alias(f"{c}__n"), F.approx_count_distinct(c).alias(f"{c}__d"),
                  F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
         if isinstance(f.dataType, T.NumericType):
             aggs.append(F.avg(c).alias(f"{c}__avg"))
-    wide = df.agg(*aggs)
-    entries = F.array(*[F.struct(
-        F.lit(table_name).alias("table_name"), F.lit(f.name).alias("column_name"),
-        F.col("_rows").alias("n_rows"),
-        (F.col("_rows") - F.col(f"{f.name}__n")).alias("n_nulls"),
-        F.round(F.try_divide(F.col("_rows") - F.col(f"{f.name}__n"), F.col("_rows")), 6).alias("null_rate"),
-        F.col(f"{f.name}__d").cast("bigint").alias("n_distinct"),
-        as_text(F.col(f"{f.name}__min"), f.dataType).alias("min_value"),
-        as_text(F.col(f"{f.name}__max"), f.dataType).alias("max_value"),
-        (F.round(F.col(f"{f.name}__avg"), 4) if isinstance(f.dataType, T.NumericType)
-         else F.lit(None).cast("double")).alias("mean"))
-        for f in fields])
-    return wide.select(F.inline(entries))
+    entries = F.array(*[F.struct(*_profile_row(
+        table_name, f, F.col("_rows"), F.col(f"{f.name}__n"), F.col(f"{f.name}__d"), F.col(f"{f.name}__min"),
+        F.col(f"{f.name}__max"), F.col(f"{f.name}__avg"))) for f in fields])
+    return df.agg(*aggs).select(F.inline(entries))
+
+
+def _exact_profile(df: DataFrame, table_name: str, f: T.StructField) -> DataFrame:
+    value, zero = F.col(f.name), F.lit(0).cast("bigint")
+    present = F.when(value.isNotNull(), F.col("_n"))
+    aggs = [F.coalesce(F.sum("_n"), zero).alias("_rows"), F.coalesce(F.sum(present), zero).alias("_values"),
+            F.count(value).alias("_distinct"), F.min(value).alias("_min"), F.max(value).alias("_max")]
+    if isinstance(f.dataType, T.NumericType):
+        aggs.append(F.try_divide(F.sum(value.cast("double") * F.col("_n")), F.sum(present)).alias("_mean"))
+    one = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).agg(*aggs)
+    return one.select(*_profile_row(
+        table_name, f, F.col("_rows"), F.col("_values"), F.col("_distinct"), F.col("_min"), F.col("_max"), F.col("_mean")))
 
 
 def profile_tables(spark: SparkSession, tables: dict[str, DataFrame], as_of: str,

@@ -234,7 +234,7 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query
     norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
     items = corpus.select(array_to_vector(F.transform(vec, lambda x: F.coalesce(
         F.try_divide(x, norm), F.lit(0.0)))).alias("features"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=10).fit(items)
+    model = KMeans(k=n_cells, seed=seed, maxIter=5, initSteps=1).fit(items)
     centers = np.array(model.clusterCenters())
     if queries.count() > slice_rows * max_slices:
         return _ranked(_grid_search(_nearest_cells(queries, query_id, query_vec, centers, n_probe),

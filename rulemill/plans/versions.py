@@ -8,6 +8,7 @@ from rulemill.functions.ordering import asof_join
 from rulemill.operators import versions as ve
 from rulemill.plans.catalog import query
 from rulemill.plans.tracking import VERSIONS_SQL
+from rulemill.session import checkpointed
 from rulemill.sources import derived as de
 
 # Alias moves point at the newest version of the name at that time.
@@ -25,9 +26,10 @@ def versions(spark, sf_dir):
 
 
 def alias_log(spark, sf_dir):
+    """The alias log is a table, so it is written once and read by its users."""
     made = versions(spark, sf_dir).select("name", "ts", "version", "request_id")
-    return asof_join(de.alias_requests(spark, sf_dir), made, ["name"], "ts", "version", "request_id").where(
-        F.col("version").isNotNull())
+    moves = asof_join(de.alias_requests(spark, sf_dir), made, ["name"], "ts", "version", "request_id")
+    return checkpointed(moves.where(F.col("version").isNotNull()), "alias-log")
 
 
 @query(f"SELECT name, run_id, request_id, version FROM ({VERSIONS_SQL}) v")
