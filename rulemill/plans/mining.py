@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rulemill.operators import mining as mi
 from rulemill.operators.evaluate import evaluate
 from rulemill.plans.catalog import query
-from rulemill.plans.sales_sql import counts_sql, injected_sql, sales_sql
+from rulemill.plans.sales_sql import counts_sql, injected_sql
 from rulemill.sources.sales import SALES_DEFECTS, SALES_KEYS, SALES_SCHEMA, inject, sales_view
 from rulemill.sources.tables import load
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rulemill.functions.rules import CROSS_COLUMN
 from rulemill.operators import mining as mi
 from rulemill.operators import rulesets as rs
 from rulemill.plans.catalog import load_spread, query
