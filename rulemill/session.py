@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,24 +31,11 @@ def get_spark(app_name: str = "rulemill", master: str | None = None,
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="rulemill-")
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the cluster's checkpoint folder.
-
-    The folder comes from ``spark.checkpoint.dir``. Where that is unset a
-    temporary folder is made, but only on a local master: on a cluster a
-    machine-local folder would not be seen by the other executors.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_base()
-    return os.path.join(base, f"rulemill-{purpose}-{uuid.uuid4().hex}")
+    """A fresh sub-folder of the folder all executors share: the one named in
+    ``spark.checkpoint.dir`` or, where that is unset, the session's warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/rulemill-{purpose}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df, purpose: str):
