@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rulemill.llm.common import table
+from rulemill.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,3 +28,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import bpe
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import langid
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")
+    prototypes = langid.learn(docs.where(fold(F.col("doc_id"), 4) != 2).select("text", "lang"))
+    return langid.predict(docs, prototypes, "text", [F.col("doc_id"), held_out])
