@@ -51,3 +51,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
     return toxicity.score(docs, toxicity_labels(spark, sf_dir, docs), [F.col("doc_id"), held_out])
+
+
+@query
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import ann
+    vectors = ann.usable(table(spark, sf_dir, "embeddings"))
+    return ann.search(vectors, vectors.where("id % 20 = 0"), 20)
