@@ -58,3 +58,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import ann
     vectors = ann.usable(table(spark, sf_dir, "embeddings"))
     return ann.search(vectors, vectors.where("id % 20 = 0"), 20)
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import urlfilter
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.read_rules(spark, URL_RULES))
