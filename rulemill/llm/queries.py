@@ -67,3 +67,18 @@ URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block",
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import urlfilter
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.read_rules(spark, URL_RULES))
+
+
+@query
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import licenses
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import packing
+    from rulemill.session import shared_dir
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 49407)
+    packing.write_packed(packed, path := shared_dir(spark, "packed"))
+    return spark.read.parquet(path).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
