@@ -82,3 +82,9 @@ def op5_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 49407)
     packing.write_packed(packed, path := shared_dir(spark, "packed"))
     return spark.read.parquet(path).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
+@query
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import jaccard
+    return jaccard.groups(table(spark, sf_dir, "documents"))
