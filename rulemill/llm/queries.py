@@ -88,3 +88,9 @@ def op5_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import jaccard
     return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import decontaminate
+    return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
