@@ -94,3 +94,10 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import decontaminate
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import linededup
+    out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_deleted").alias("n_deleted"), F.sha2("text", 256).alias("text_sha256"))
