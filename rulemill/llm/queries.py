@@ -39,10 +39,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, prototypes, "text", [F.col("doc_id"), held_out])
 
 
-def toxicity_labels(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+def toxicity_rows(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """Texts and labels of the rows that may be learnt from."""
-    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
-    return docs.where(fold(F.col("doc_id"), 5) != 0).select("doc_id", F.col("text").cast("string").alias("body")).join(labels, "doc_id")
+    from rulemill.llm import toxicity
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
+    return toxicity.choose(docs, labels)
 
 
 @query
@@ -50,7 +51,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import toxicity
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
-    return toxicity.score(docs, toxicity_labels(spark, sf_dir, docs), [F.col("doc_id"), held_out])
+    return toxicity.score(docs, toxicity_rows(spark, sf_dir, docs), [F.col("doc_id"), held_out])
 
 
 @query

@@ -9,8 +9,8 @@ of its most toxic word, as one insult among thousands of words is enough. A
 logistic curve, fitted on labelled rows the counts have not seen, turns it into a
 score.
 
-Class counts are taken from at most ``labelled`` rows of a class (a parameter);
-the model sent to the workers is bounded by them. Corpus counts cover every row.
+Class counts are taken from the rows of at most ``LABELLED`` ids of a class (the
+``rows`` of ``choose``); the model sent to the workers is bounded by them. Corpus counts cover every row.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ ORDER = 6
 DISCOUNT = 0.75
 ALPHABET = 64  # of the uniform distribution below all counts
 LABELLED = 20_000  # rows of a class that counts and curve are fitted on, at most
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18
+SLICE = 1 << 14  # words worked on at once
 START, END = "\x02", "\x03"
 WORD = regex.compile(r"[\p{L}\p{M}]+")
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -41,10 +42,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(29)
 
 
-def sequences(words: list[str]) -> tuple[np.ndarray, ...]:
+FULL, HEAD, TAIL, MID = (0, ORDER, 6), (0, ORDER - 1, 5), (1, ORDER, 15), (1, ORDER - 1, 4)
+
+
+def sequences(words: list[str], *parts: tuple[int, int, int]) -> tuple[np.ndarray, ...]:
     """For each letter of each word and its end: the word's number, and 64-bit keys
-    of the six symbols up to it, of the first five and last five of these, and of
-    the four that both share."""
+    of parts of the six symbols up to it: all, the first five, the last five, and the
+    four that both share."""
     text = "".join([f"{START * (ORDER - 1)}{w}{END}" for w in words])
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     at = np.flatnonzero(codes != ord(START))
@@ -57,14 +61,14 @@ def sequences(words: list[str]) -> tuple[np.ndarray, ...]:
             total = _mix(total * _MULTIPLIERS[5] + (codes[at - (ORDER - 1) + k] + np.uint64(1)) * _MULTIPLIERS[k - first])
         return total.view(np.int64)
 
-    return owner, key(0, ORDER, 6), key(0, ORDER - 1, 5), key(1, ORDER, 15), key(1, ORDER - 1, 4)
+    return owner, *(key(*p) for p in parts)
 
 
 def words_of(text: str | None) -> set[str]:
     return set(WORD.findall(text.lower())) if text else set()
 
 
-def _distinct(columns: list[np.ndarray]) -> list[np.ndarray]:
+def _distinct(columns: tuple[np.ndarray, ...]) -> list[np.ndarray]:
     _, first = np.unique(columns[0], return_index=True)
     return [c[first] for c in columns]
 
@@ -84,9 +88,8 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             if len(seen) < CACHED_WORDS:
                 seen |= new
             words = list({w for c in new for w in WORD.findall(c)})
-            for k in range(0, len(words), 1 << 16):
-                _, full, _, tail, mid = sequences(words[k:k + (1 << 16)])
-                full, tail, mid = _distinct([full, tail, mid])
+            for k in range(0, len(words), SLICE):
+                full, tail, mid = _distinct(sequences(words[k:k + SLICE], FULL, TAIL, MID)[1:])
                 yield pd.DataFrame({"full": full, "tail": tail, "mid": mid})
 
     types = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInPandas(run, "full bigint, tail bigint, mid bigint").distinct()
@@ -100,16 +103,17 @@ def class_counts(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parts = []
-            for body, toxic in zip(pdf["body"], pdf["toxic"], strict=True):
-                words = list(words_of(body))
-                if words:
-                    _, full, head, tail, _ = sequences(words)
-                    full, head, tail = _distinct([full, head, tail])
-                    parts.append((full, head, tail, np.full(len(full), int(toxic))))
-            if parts:
-                full, head, tail, toxic = (np.concatenate(x) for x in zip(*parts, strict=True))
-                out = pd.DataFrame({"full": full, "head": head, "tail": tail, "t": toxic, "o": 1 - toxic})
+            for lo in range(0, len(pdf), 64):
+                own = [list(words_of(body)) for body in pdf["body"].iloc[lo:lo + 64]]
+                row = np.repeat(np.arange(len(own)), [len(w) for w in own])
+                words = [w for one in own for w in one]
+                if not words:
+                    continue
+                owner, full, head, tail = sequences(words, FULL, HEAD, TAIL)
+                row = row[owner]
+                once = _distinct((_mix(full.view(np.uint64) + _mix(row.astype(np.uint64) + np.uint64(1))), full, head, tail, row))
+                toxic = pdf["toxic"].to_numpy(np.int64)[lo:lo + 64][once[4]]
+                out = pd.DataFrame({"full": once[1], "head": once[2], "tail": once[3], "t": toxic, "o": 1 - toxic})
                 yield out.groupby(["full", "head", "tail"], as_index=False).sum()
 
     rows = labelled.mapInPandas(run, "full bigint, head bigint, tail bigint, t bigint, o bigint")
@@ -136,7 +140,7 @@ class Model:
         """Length-normalised log-likelihood difference of each word."""
         if not words:
             return np.zeros(0)
-        owner, full, head, _, _ = sequences(words)
+        owner, full, head = sequences(words, FULL, HEAD)
         known, ratio = self._look_up(self.full, self.ratio, full)
         met, fallback = self._look_up(self.heads, self.fallback, head)
         each = np.where(known, ratio, np.where(met, fallback, 0.0))
@@ -193,8 +197,8 @@ def evidence(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
 
 def model_evidence(model: Model, words: list[str]) -> list[float]:
     out: list[float] = []
-    for k in range(0, len(words), 1 << 15):
-        out += model.evidence(words[k:k + (1 << 15)]).tolist()
+    for k in range(0, len(words), SLICE):
+        out += model.evidence(words[k:k + SLICE]).tolist()
     return out
 
 
@@ -217,19 +221,28 @@ def fit_curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(max(slope, 0.0)), float(w[1] - max(slope, 0.0) * raw.mean())
 
 
-def score(docs: DataFrame, labelled: DataFrame, keep: list[Column], text: str = "text", rows: int = LABELLED) -> DataFrame:
+def choose(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", rows: int = LABELLED) -> DataFrame:
+    """Labelled rows to fit on, (mark, body, toxic): of each class those of the
+    ``rows`` ids first in the order of a hash, and of equal texts one. The ids are
+    few enough to be sent to every task."""
+    named = labels.where("toxic IN (0, 1)").select(F.col(key).alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL").dropDuplicates(["id"])
+    order = (F.xxhash64("id"), "id")
+    ids = named.where("toxic = 0").orderBy(*order).limit(rows).unionByName(named.where("toxic = 1").orderBy(*order).limit(rows))
+    plain = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body")).where("body IS NOT NULL")
+    met = plain.join(F.broadcast(ids), "id").withColumn("mark", F.xxhash64("body"))
+    return met.groupBy("mark", "toxic").agg(F.first("body").alias("body"))
+
+
+def score(docs: DataFrame, chosen: DataFrame, keep: list[Column], text: str = "text") -> DataFrame:
     """Columns ``keep`` of each row of ``docs`` with ``score`` and ``predicted``.
 
-    ``labelled`` has ``body`` and ``toxic`` (0 or 1; rows with a null in either are
-    passed over). Of each class the ``rows`` first in the order of a hash of the
-    text are used, one for each text: three quarters for the counts, the rest for
-    the curve. A null or empty text has no evidence and gets the curve's value at
-    0; repeated rows score alike; without labels every score is below one half.
+    ``chosen`` has the rows that ``choose`` gives. Three quarters of them are for the
+    counts, the rest for the curve. A null or empty text has no evidence and gets the
+    curve's value at 0; repeated rows score alike; without labels of both classes
+    the curve is flat, below one half if none is toxic. Columns of ``docs`` that are not
+    kept take no part.
     """
-    chosen = labelled.where("body IS NOT NULL AND toxic IN (0, 1)").select("body", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("body").alias("mark"))
-    chosen = chosen.groupBy("mark", "toxic").agg(F.first("body").alias("body"))
-    halves = [chosen.where(f"toxic = {c}").orderBy("mark").limit(rows) for c in (0, 1)]
-    chosen = stored(halves[0].unionByName(halves[1]).withColumn("curve", F.pmod(F.shiftright("mark", 7), F.lit(4)) == 0), "toxicity-rows")
+    chosen = stored(chosen.withColumn("curve", F.pmod(F.shiftright("mark", 7), F.lit(4)) == 0), "toxicity-rows")
     model = fit_model(chosen.where("NOT curve").select("body", "toxic"), corpus_counts(docs, text))
     sample = evidence(chosen.where("curve"), model, [F.col("toxic")], "body").toPandas()
     slope, offset = fit_curve(sample["raw"].to_numpy(float), sample["toxic"].to_numpy(float))
@@ -238,10 +251,10 @@ def score(docs: DataFrame, labelled: DataFrame, keep: list[Column], text: str =
     return out.withColumn("score", value).drop("raw").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def reject(docs: DataFrame, labelled: DataFrame, text: str = "text") -> DataFrame:
+def reject(docs: DataFrame, chosen: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, that are not predicted toxic."""
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
     body = names[docs.columns.index(text)]
-    judged = score(plain, labelled, [F.col(n) for n in names], body)
+    judged = score(plain, chosen, [F.col(n) for n in names], body)
     return judged.where("predicted = 0").select(*names).toDF(*docs.columns)
