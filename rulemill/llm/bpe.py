@@ -63,6 +63,8 @@ class Automaton:
             if bare and all(c in symbols for c in bare):
                 spelled[i] = bytes(symbols[c] for c in bare), ends
         for when, (a, b) in enumerate(merges, 1):
+            if any(x in products and not self.born[vocab[x]] for x in (a, b)):
+                raise ValueError("a merge must join labels made before it")
             self._gadget(when, vocab[a], vocab[b], vocab[a + b], spelled)
         self.sizes = [len(spelled[i][0]) if i in spelled else 0 for i in range(size)]
         for i, (spelling, ends) in spelled.items():
@@ -78,22 +80,25 @@ class Automaton:
                 self.inner_at[here] = i
 
     def _gadget(self, when: int, u: int, v: int, w: int, spelled: dict[int, tuple[bytes, bool]]) -> None:
-        if self.born[w] or not self.born[u] < when > self.born[v]:
-            raise ValueError("a merge must join labels made before it into a new one")
-        self.cut[u * self.size + v] = when
+        if self.born[w]:
+            raise ValueError("two merges make one label")
         self.born[w], self.left[w], self.right[w] = when, u, v
-        spelled[w] = spelled[u][0] + spelled[v][0], spelled[v][1]
+        # Where v cannot follow u any more, the merge never applies and w has no arc.
+        if u in spelled and v in spelled and self._resolve(u, v, when - 1):
+            self.cut[u * self.size + v] = when
+            spelled[w] = spelled[u][0] + spelled[v][0], spelled[v][1]
 
     def follows(self, last: int, label: int) -> bool:
         """Is there an arc ``label`` in the state that ``last`` leads to?"""
         key = last * self.size + label
         known = self.table.get(key)
         if known is None:
-            known = self.table[key] = self._resolve(last, label)
+            known = self.table[key] = self._resolve(last, label, self.size)
         return known
 
-    def _resolve(self, last: int, label: int) -> bool:
-        born, now = self.born, len(self.born) + len(self.cut)
+    def _resolve(self, last: int, label: int, now: int) -> bool:
+        """The same after the first ``now`` gadgets, for labels made by then."""
+        born = self.born
         while True:
             if self.cut.get(last * self.size + label, now + 1) <= now:
                 return False
