@@ -50,7 +50,8 @@ def trigram_codes(text: str | None) -> np.ndarray:
     codes = codes[(codes != GAP) | np.concatenate([[False], codes[:-1] != GAP])]
     if not codes.any():
         return np.zeros(0, np.int64)
-    wide = np.concatenate([[GAP], codes, [GAP] * (1 + (codes[-1] != GAP))]).astype(np.int64)
+    codes = codes[int(codes[0] == GAP):len(codes) - int(codes[-1] == GAP)]
+    wide = np.concatenate([[GAP], codes, [GAP]]).astype(np.int64)
     return wide[:-2] << 42 | wide[1:-1] << 21 | wide[2:]
 
 
@@ -116,7 +117,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
                         settle(name)
         for name in [*held]:
             settle(name)
-        yield pd.DataFrame({"lang": list(sums), "sums": [v.tolist() for v in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "sums": [v.tolist() for v in sums.values()]})
 
     source = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("body")).where("lang IS NOT NULL AND body IS NOT NULL")
     parts = source.mapInPandas(run, "lang string, sums array<double>")
@@ -138,7 +140,7 @@ def predict(docs: DataFrame, prototypes: list[tuple[str, list[float]]], text: st
     order. Repeated rows are judged alike; other columns take no part.
     """
     names = [n for n, _ in prototypes]
-    matrix = np.array([v for _, v in prototypes], np.float64).reshape(len(names), -1)
+    matrix = np.array([v for _, v in prototypes], np.float64)
     source = docs.select(*(keep or []), F.col(f"`{text}`").cast("string").alias("body"))
     kept = source.columns[:-1]
     schema = ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "lang_pred string", "score double"])
