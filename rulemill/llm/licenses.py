@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rulemill.llm.words import Vocabulary, word_spans
 
 GRAM, WINDOW = 3, 3
-BAND = 8  # words that a copy may have more or fewer than the template, at any place
+BAND = 8  # words that a copy may have more or fewer than the template, at any place; of short templates a quarter of their words
 COVERAGE = 0.8  # share of a template's words that must be found in order
 
 # Public license notices.
@@ -87,16 +87,17 @@ class Index:
         found = []
         for number, own in starts.items():
             own.sort()
+            band = min(BAND, len(self.words.texts[number]) // 4)
             groups = [own[:1]]
             for s in own[1:]:
-                if s - groups[-1][-1] <= BAND // 2 and s - groups[-1][0] <= BAND:
+                if s - groups[-1][0] <= band:
                     groups[-1].append(s)
                 else:
                     groups.append([s])
             template, last = self.words.texts[number], -1
             for group in groups:
                 middle = group[len(group) // 2]
-                matched, first, after = align(template, words, middle, BAND)
+                matched, first, after = align(template, words, middle, band)
                 if matched and matched >= COVERAGE * len(template) and first >= last:
                     found.append((number, matched / len(template), first, after))
                     last = after
