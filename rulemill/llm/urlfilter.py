@@ -5,8 +5,8 @@ and the longest fitting rule decides. Pages that no rule fits are judged by host
 Trust starts on hosts in proportion to their pages that rules allow and follows
 the links (personalised PageRank); distrust starts in proportion to their pages
 that rules block and runs against the links, from a blocked host to those that
-link to it. A host is blocked if it has more distrust than trust, and more than
-its share of all pages.
+link to it. Both are shares of all there is. A host is blocked if its share of
+distrust is above its share of trust, and above ``THRESHOLD`` times its share of pages.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from rulemill.llm.common import stored
 
 DAMPING = 0.85
 STEPS = 12
+THRESHOLD = 0.8
 CUT_EVERY = 4  # steps after which the ranks are written
 DOMAIN_LINKS = 1.0  # weight, in links, of the edges between a host and the domain above it
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>\\]+)"""
@@ -119,12 +120,15 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     seeds = marked.join(totals, "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("s"))
     ranks = propagate(stored(walks(host_edges(whole)), "url-walks"), stored(seeds, "url-seeds"))
     value = {k: F.sum(F.when(F.col("kind") == k, F.col("v"))).alias(k) for k in ("trust", "distrust")}
+    ranks = stored(ranks, "url-ranks")
+    totals = ranks.groupBy("kind").agg(F.sum("v").alias("total"))
+    ranks = ranks.join(totals, "kind").select("kind", "host", (F.col("v") / F.col("total")).alias("v"))
     scores = ranks.groupBy("host").agg(*value.values())
     n_pages = whole.count()
     judged = hosts.join(scores, "host", "left").select(
         "host", "rules", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
         (F.col("pages") / max(n_pages, 1)).alias("share"))
-    bad = (F.col("host") != "") & (F.col("distrust") > F.col("trust")) & (F.col("distrust") > F.col("share"))
+    bad = (F.col("host") != "") & (F.col("distrust") > F.col("trust")) & (F.col("distrust") > THRESHOLD * F.col("share"))
     judged = stored(judged.select("host", "rules", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("method")), "url-judged")
     out = whole.join(judged, "host", "left").withColumn("fit", decide(F.col("path"), F.col("rules")))
     return out.select(F.col("page").alias("page_id"), "host", "path", F.col("fit.rule").alias("rule"),
