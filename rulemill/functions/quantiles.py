@@ -1,135 +1,70 @@
-"""Exact quantiles that do not hold a whole column in one aggregation buffer.
+"""Exact quantiles without a whole column in one task or buffer.
 
-``percentile`` keeps every distinct value of a group in memory, which is fine
-for a bounded group and fatal for a third of 100 TB. Groups up to a row bound
-use it; larger ones are narrowed by passes of a bounded sketch until the rows
-around each wanted rank fit the bound, and only those are sorted.
+Equal values of a group are counted first. The counts are sorted by even ranges of
+(group, value), each range adds up its own, and the totals of the ranges - one
+number for each - tell where it starts; so every value knows the ranks it covers,
+and the wanted ranks are read off. One path for every size.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DIRECT_ROWS = 5_000_000
-_GRID = 64
+from rulemill.session import checkpointed
 
 
 def melt_numeric(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """Rows (by..., column_name, value) of the non-null values, as doubles."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               F.col(c).cast("double").alias("value")) for c in cols])
+                               F.col(f"`{c}`").cast("double").alias("value")) for c in cols])
     return (df.select(*by, F.explode(pairs).alias("_p"))
             .select(*by, "_p.column_name", "_p.value")
             .where(F.col("value").isNotNull()))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    by: tuple[str, ...] = (), direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """Rows (by..., column_name, prob, value) with linear interpolation."""
-    if df.count() <= direct_rows:
-        wide = df.groupBy(*by).agg(*[
-            F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c)
-            for c in cols])
-        entries = F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("prob"), F.col(c)[i].alias("value"))
-            for c in cols for i, p in enumerate(probs)])
-        return wide.select(*by, F.inline(entries))
-
+def _ranges(long: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct values of each group with ``_start`` and ``_stop``: the ranks, from 0
+    on over all groups, that they cover. Groups are ``_g``, a struct, in which nulls
+    are values like others; NaN sorts last."""
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    parts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = counts.select(F.struct(*keys).alias("_g"), "value", "_n").repartitionByRange(parts, "_g", "value")
+    cut = checkpointed(cut.withColumn("_part", F.spark_partition_id()), "quantiles")
+    whole = cut.groupBy("_part").agg(F.sum("_n").alias("_total"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = whole.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_from"))
+    own = W.partitionBy("_part").orderBy("_g", "value").rowsBetween(W.unboundedPreceding, 0)
+    summed = cut.withColumn("_upto", F.sum("_n").over(own)).join(starts, "_part")
+    stop = F.col("_from") + F.col("_upto")
+    return summed.select("_g", "value", (stop - F.col("_n")).alias("_start"), stop.alias("_stop"))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (by..., column_name, prob, value) with linear interpolation.
+
+    Every group has a row for each column and probability; the value is null where the
+    group has none that is not null. A null key is a group. Of no rows at all
+    there are rows only without ``by``.
+    """
     long = melt_numeric(df, cols, by)
     keys = [*by, "column_name"]
-    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.where(F.col("n") <= direct_rows).select(*keys)
-    hot = sizes.where(F.col("n") > direct_rows)
-    direct = (long.join(small, keys, "left_semi").groupBy(*keys)
-              .agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("v"))
-              .select(*keys, F.posexplode("v").alias("pos", "value"))
-              .select(*keys, F.array(*[F.lit(p) for p in probs])[F.col("pos")].alias("prob"), "value"))
-    # At most total_rows / direct_rows groups are hot, so this list is small.
-    targets = [_Target([row[k] for k in keys], p, row["n"]) for row in hot.collect() for p in probs]
-    if not targets:
-        return direct
-    return direct.unionByName(_narrowed(long, keys, targets, direct_rows))
-
-
-class _Target:
-    """One wanted rank of one hot group, with the value bracket around it."""
-
-    def __init__(self, key: list, prob: float, n: int):
-        self.key, self.prob, self.n = key, prob, n
-        rank = prob * (n - 1)
-        self.lo_rank, self.hi_rank, self.frac = math.floor(rank), math.ceil(rank), rank - math.floor(rank)
-        self.lo, self.hi, self.below, self.inside = -math.inf, math.inf, 0, n
-        self.trial = (self.lo, self.hi)
-
-    def holds(self, below: int, inside: int) -> bool:
-        return below <= self.lo_rank and self.hi_rank < below + inside
-
-
-def _bracket_frame(long: DataFrame, keys: list[str], targets: list[_Target]) -> DataFrame:
-    key_fields = [long.schema[k] for k in keys]
-    schema = T.StructType([
-        *[T.StructField(f.name, f.dataType) for f in key_fields],
-        T.StructField("prob", T.DoubleType()), T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType()), T.StructField("below", T.LongType()),
-        T.StructField("lo_rank", T.LongType()), T.StructField("hi_rank", T.LongType()),
-        T.StructField("frac", T.DoubleType())])
-    rows = [(*t.key, t.prob, *t.trial, t.below, t.lo_rank, t.hi_rank, t.frac) for t in targets]
-    return long.sparkSession.createDataFrame(rows, schema)
-
+    spans = checkpointed(_ranges(long, keys), "quantiles")
+    groups = spans.groupBy("_g").agg(F.min("_start").alias("_first"), (F.max("_stop") - F.min("_start")).alias("_n"))
+    place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), (F.col("_first") + r).alias("rank")) for i, p in enumerate(place) for r in (F.floor(p), F.ceil(p))])
+    hit = F.filter(wanted, lambda w: (w["rank"] >= F.col("_start")) & (w["rank"] < F.col("_stop")))
+    found = spans.join(groups, "_g").select("_g", "_n", "value", F.explode(hit).alias("w"))
+    ends = found.groupBy("_g", F.col("w.i").alias("i")).agg(F.min("_n").alias("_n"), F.min(F.struct("w.rank", "value")).alias("low"), F.max(F.struct("w.rank", "value")).alias("high"))
+    at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
+    part = at * (F.col("_n") - 1) - F.floor(at * (F.col("_n") - 1))
+    low, high = F.col("low.value"), F.col("high.value")
+    value = F.when((part == 0) | (low == high), low).otherwise((1 - part) * low + part * high)
+    values = ends.select("_g", at.alias("prob"), value.alias("value"))
+    every = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob")) for c in cols for p in probs])
+    every = every.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.column_name", "_c.prob")
+    every = every.withColumn("_g", F.struct(*keys))
+    return every.join(values, ["_g", "prob"], "left").select(*by, "column_name", "prob", "value")
 
-def _narrowed(long: DataFrame, keys: list[str], targets: list[_Target], bound: int) -> DataFrame:
-    grid = [i / _GRID for i in range(_GRID + 1)]
-    open_targets = list(targets)
-    while open_targets:
-        # Bounded by the number of hot groups times the number of probabilities.
-        brackets = F.broadcast(_bracket_frame(long, keys, open_targets))
-        within = F.col("value").between(F.col("lo"), F.col("hi"))
-        stats = {
-            (*[r[k] for k in keys], r["prob"]): r
-            for r in long.join(brackets, keys).groupBy(*keys, "prob").agg(
-                F.count_if(F.col("value") < F.col("lo")).alias("below"),
-                F.count_if(within).alias("inside"),
-                F.percentile_approx(F.when(within, F.col("value")), grid, 10_000).alias("cuts"),
-            ).collect()}
-        still_open = []
-        for t in open_targets:
-            r = stats[(*t.key, t.prob)]
-            if t.holds(r["below"], r["inside"]):
-                narrower = t.trial != (t.lo, t.hi)
-                (t.lo, t.hi), t.below, t.inside = t.trial, r["below"], r["inside"]
-                done = t.inside <= bound or t.lo == t.hi
-                if not done:
-                    cuts = r["cuts"]
-                    at = (t.lo_rank - t.below) / t.inside * _GRID
-                    lo = cuts[max(0, math.floor(at) - 1)]
-                    hi = cuts[min(_GRID, math.ceil(at) + 2)]
-                    t.trial = (lo, hi)
-                    # A bracket that cannot shrink is full of few values.
-                    done = (lo, hi) == (t.lo, t.hi) and narrower
-                    if done:
-                        t.trial = (t.lo, t.hi)
-            else:
-                # The sketch missed: fall back to the last proven bracket.
-                t.trial = (t.lo, t.hi)
-                done = True
-            if not done:
-                still_open.append(t)
-        open_targets = still_open
-    for t in targets:
-        t.trial = (t.lo, t.hi)
-    final = F.broadcast(_bracket_frame(long, keys, targets))
-    counts = (long.join(final, keys).where(F.col("value").between(F.col("lo"), F.col("hi")))
-              .groupBy(*keys, "prob", "below", "lo_rank", "hi_rank", "frac", "value")
-              .agg(F.count(F.lit(1)).alias("c")))
-    upto = W.partitionBy(*keys, "prob").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.withColumn("last", F.col("below") + F.sum("c").over(upto) - 1)
-    first = F.col("last") - F.col("c") + 1
-    picks = ranked.groupBy(*keys, "prob", "frac").agg(
-        F.max(F.when(F.col("lo_rank").between(first, F.col("last")), F.col("value"))).alias("a"),
-        F.max(F.when(F.col("hi_rank").between(first, F.col("last")), F.col("value"))).alias("b"))
-    return picks.select(*keys, "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))

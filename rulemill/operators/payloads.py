@@ -156,11 +156,12 @@ def edge_cases(df: DataFrame, key: str, text: str, length: str, category: list[s
     bound = exact_quantiles(df, [length], [tail]).select("value").scalar()
     total = df.agg(F.count(F.lit(1))).scalar()
     shares = df.groupBy(*category).agg(F.count(F.lit(1)).alias("_n"))
-    rare = shares.where(F.col("_n") < total * rare_share).select(*category, F.lit(True).alias("_rare"))
+    same = F.struct(*category)  # nulls in it are equal
+    rare = shares.where(F.col("_n") < total * rare_share).select(same.alias("_g"), F.lit(True).alias("_rare"))
     reasons = F.concat_ws(
         ",", F.when(F.col(length) > bound, "long"),
         F.when(F.length(F.trim(text)) < 20, "short"), F.when(F.col("_rare"), "rare"))
-    return (df.join(rare, category, "left").withColumn("reasons", reasons)
+    return (df.withColumn("_g", same).join(rare, "_g", "left").withColumn("reasons", reasons)
             .where(F.col("reasons") != "").select(key, length, *category, "reasons"))
 
 

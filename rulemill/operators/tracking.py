@@ -81,14 +81,16 @@ def promote(runs: DataFrame, versions: DataFrame, policy: str = "winner",
 
 
 def latency_stats(runs: DataFrame, value: str, by: tuple[str, ...]) -> DataFrame:
-    """Count, mean and exact percentiles of a duration per configuration."""
+    """Count, mean and exact percentiles of a duration per configuration; a null
+    configuration is one like others."""
+    same = F.struct(*by).alias("_g")
     base = runs.groupBy(*by).agg(F.count(value).alias("n"), F.round(F.avg(value), 4).alias("mean"),
                                  F.max(value).alias("slowest"))
     q = exact_quantiles(runs, [value], [0.5, 0.95, 0.99], by)
     wide = q.groupBy(*by).agg(*[
         F.round(F.max(F.when(F.col("prob") == p, F.col("value"))), 4).alias(a)
         for p, a in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))])
-    return base.join(wide, list(by))
+    return base.withColumn("_g", same).join(wide.select(same, "p50", "p95", "p99"), "_g").drop("_g")
 
 
 def ab_compare(scores: DataFrame, config: str, a: str, b: str, key: str, value: str) -> DataFrame:

@@ -16,22 +16,21 @@ from tests.conftest import rows
 def test_running_index_equals_window(spark, sf):
     e = load(spark, sf, "events")
     want = e.withColumn("idx", F.row_number().over(W.partitionBy("event_type").orderBy("ts", "event_id")))
-    for unit, hot_rows in (("month", 10), ("hour", 10), ("minute", 205), ("hour", 10**6)):
-        got = running_index(e, ["event_type"], ["ts", "event_id"],
-                            F.date_trunc(unit, F.col("ts").cast("timestamp")), hot_rows=hot_rows)
+    for unit in ("month", "hour", "minute"):
+        got = running_index(e, ["event_type"], ["ts", "event_id"], F.date_trunc(unit, F.col("ts").cast("timestamp")))
         assert rows(got, "event_id", "idx") == rows(want, "event_id", "idx")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
-def test_running_index_with_one_hot_key_and_nulls(spark, hot_rows):
+@pytest.mark.parametrize("slot", [1, 64, 10**6])
+def test_running_index_with_one_hot_key_and_nulls(spark, slot):
     df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 7 > 0, 0).alias("k"), "id")
     want = df.withColumn("idx", F.row_number().over(W.partitionBy("k").orderBy("id")))
-    got = running_index(df, ["k"], ["id"], F.floor(F.col("id") / 64), hot_rows=hot_rows)
+    got = running_index(df, ["k"], ["id"], F.floor(F.col("id") / slot))
     assert rows(got, "id", "idx") == rows(want, "id", "idx")
 
 
-@pytest.mark.parametrize("unit,hot_rows", [("day", 0), ("hour", 0), ("year", 0), ("hour", 60), ("day", 10**6)])
-def test_asof_join_equals_brute_force(spark, unit, hot_rows):
+@pytest.mark.parametrize("unit", ["hour", "day", "year"])
+def test_asof_join_equals_brute_force(spark, unit):
     rng = random.Random(3)
     def stamp():
         return f"2024-01-{rng.randint(1, 5):02d} {rng.randint(0, 23):02d}:{rng.choice([0, 30]):02d}:00"
@@ -39,7 +38,7 @@ def test_asof_join_equals_brute_force(spark, unit, hot_rows):
     right = [(rng.choice("abc"), stamp(), 100 + i, i) for i in range(60)]
     ldf = spark.createDataFrame(left, "id int, k string, t string").withColumn("ts", F.to_timestamp("t")).drop("t")
     rdf = spark.createDataFrame(right, "k string, t string, v int, tie int").withColumn("ts", F.to_timestamp("t")).drop("t")
-    got = asof_join(ldf, rdf, ["k"], "ts", "v", "tie", unit, hot_rows)
+    got = asof_join(ldf, rdf, ["k"], "ts", "v", "tie", unit)
     want = []
     for i, k, t in left:
         seen = [(rt, tie, v) for rk, rt, v, tie in right if rk == k and rt <= t]
@@ -55,11 +54,10 @@ def numbers(spark, n=4000):
     return data, spark.createDataFrame(data, "g string, v double").repartition(5)
 
 
-@pytest.mark.parametrize("direct_rows", [10_000_000, 300, 20])
-def test_exact_quantiles_narrowing_equals_numpy(spark, direct_rows):
+def test_exact_quantiles_equal_numpy(spark):
     data, df = numbers(spark)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["v"], probs, ("g",), direct_rows).collect()}
+    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["v"], probs, ("g",)).collect()}
     groups = {g for g, _ in data}
     assert len(got) == len(groups) * len(probs)
     for g in groups:
@@ -71,7 +69,21 @@ def test_exact_quantiles_narrowing_equals_numpy(spark, direct_rows):
 def test_exact_quantiles_many_columns_without_groups(spark, sf):
     li = load(spark, sf, "lineitem")
     cols = ["l_quantity", "l_extendedprice"]
-    a = rows(exact_quantiles(li, cols, [0.1, 0.5]), "column_name", "prob", "value")
-    b = rows(exact_quantiles(li, cols, [0.1, 0.5], direct_rows=100), "column_name", "prob", "value")
-    assert [x[:2] for x in a] == [x[:2] for x in b]
-    assert [x[2] for x in a] == pytest.approx([x[2] for x in b])
+    got = {(r.column_name, r.prob): r.value for r in exact_quantiles(li, cols, [0.1, 0.5]).collect()}
+    for c in cols:
+        values = [float(r[0]) for r in li.select(c).collect()]
+        for p in (0.1, 0.5):
+            assert got[(c, p)] == pytest.approx(np.quantile(values, p))
+
+
+def test_exact_quantiles_of_null_keys_nan_and_empty_groups(spark):
+    nan = float("nan")
+    data = [(None, 1.0), (None, 3.0), ("a", nan), ("a", 1.0), ("a", 2.0), ("b", None), ("c", nan)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["v"], [0.5, 1.0], ("g",)).collect()}
+    assert len(got) == 8 and got[(None, 0.5)] == 2.0 and got[(None, 1.0)] == 3.0
+    assert got[("a", 0.5)] == 2.0 and np.isnan(got[("a", 1.0)]) and np.isnan(got[("c", 0.5)])
+    assert got[("b", 0.5)] is None and got[("b", 1.0)] is None
+    none = exact_quantiles(df.limit(0), ["v"], [0.5]).collect()
+    assert [tuple(r) for r in none] == [("v", 0.5, None)]
+    assert exact_quantiles(df.limit(0), ["v"], [0.5], ("g",)).collect() == []
