@@ -34,5 +34,5 @@ def strip_fence(col: Column) -> Column:
 
 
 def tokens(col: Column) -> Column:
-    """Lower-case ASCII word tokens."""
-    return F.regexp_extract_all(F.lower(col), F.lit("([a-z0-9]+)"), F.lit(1))
+    """Lower-case words: runs of letters and digits of any script."""
+    return F.regexp_extract_all(F.lower(col), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))

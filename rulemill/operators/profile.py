@@ -159,11 +159,17 @@ def top_values(df: DataFrame, cols: list[str], k: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+# Up to 18 digits, or 19 within the range of 64 bits: prefixes of 9223372036854775807 followed by a smaller digit.
+_LIMIT = "9223372036854775807"
+BIGINT = ("^([+-]?0*([0-9]{1,18}|" + "|".join(f"{_LIMIT[:k]}[0-{int(_LIMIT[k]) - 1}][0-9]{{{18 - k}}}" for k in range(19) if _LIMIT[k] != "0")
+          + f"|{_LIMIT})|-0*9223372036854775808)$")
+
+
 def type_consistency(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per text column: how many values read as integer, decimal, date-time or
     boolean. Grammars are patterns, because casts differ between engines."""
     patterns = {
-        "n_bigint": r"^[+-]?[0-9]{1,18}$",
+        "n_bigint": BIGINT,
         "n_double": r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$",
         "n_timestamp": ISO_8601,
         "n_boolean": r"^(true|false|TRUE|FALSE|True|False)$",

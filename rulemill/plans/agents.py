@@ -39,15 +39,11 @@ def agent_flow(spark, sf_dir):
     return ag.check(tables, ag.propose(tables, SchemaEchoClient, "amount > 0"))
 
 
-_MANIFEST_IDS = {
-    "product_id_1": "product_id_1", "product_id_2": "product_id_2", "quantity_1": "quantity_1",
-    "quantity_2": "quantity_2", "estimated_arrival_date_1": "estimated_arrival_date_1",
-    "estimated_arrival_date_2": "estimated_arrival_date_2", "estimated_arrival_date_3": "estimated_arrival_date_3",
-}
+_MANIFEST_IDS = ["product_id_1", "product_id_2", "quantity_1", "quantity_2", *(f"estimated_arrival_date_{k}" for k in (1, 2, 3))]
 
 
 @query(f"""SELECT rule_id, passed, failed, unknown FROM (
-           {counts_sql(f"({_MANIFEST_SQL}) m", {k: _MANIFEST_RULES_SQL[v] for k, v in _MANIFEST_IDS.items()})}) c""")
+           {counts_sql(f"({_MANIFEST_SQL}) m", {k: _MANIFEST_RULES_SQL[k] for k in _MANIFEST_IDS})}) c""")
 def agent_flow_manifest(spark, sf_dir):
     """A manifest described, rules proposed as phrases, compiled and evaluated."""
     manifest = manifest_view(spark, sf_dir)

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulemill.sources.tables import load, spread_small
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,16 +28,3 @@ def load_all() -> None:
     from rulemill.plans import (  # noqa: F401
         agents, documents, evaluation, inference, mining, payloads, profiling,
         prompts, rulesets, tracking, vectors, versions)
-
-
-# Keys that spread a table evenly (see spread_small).
-SPREAD_KEYS = {
-    "lineitem": ("l_orderkey", "l_partkey"), "orders": ("o_orderkey",), "events": ("event_id",),
-    "documents": ("doc_id",), "pages": ("page_id",), "customer": ("c_custkey",), "part": ("p_partkey",),
-    "embeddings": ("vec_id",), "conversations": ("conv_id", "turn"),
-}
-
-
-def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for costly per-row work."""
-    return spread_small(load(spark, sf_dir, name), *SPREAD_KEYS[name])

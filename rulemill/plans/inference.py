@@ -15,8 +15,8 @@ from rulemill.sources.tables import load
     f"SELECT '{t}' AS table_name, '{c}' AS \"column\", '{c} IS NOT NULL' AS rule, 'llm' AS source"
     for t, cols in _COLUMN_TYPES.items() for c, _ in cols))
 def infer_offline(spark, sf_dir):
-    """Profile, prompt, model call and parse in one plan."""
-    answered = inf.infer(_prompts(spark, sf_dir), "prompt", inf.SchemaEchoClient)
+    """Profile, prompt, model call written once, and parse."""
+    answered = inf.infer_once(_prompts(spark, sf_dir), "prompt", inf.SchemaEchoClient)
     rules, _ = rs.validate_rules(rs.parse_responses(answered, "response"))
     return rules.select("table_name", "column", "rule", "source")
 

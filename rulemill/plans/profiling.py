@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import profile as pf
-from rulemill.plans.catalog import load_spread, query
+from rulemill.plans.catalog import query
 from rulemill.functions.text import ISO_8601
 from rulemill.sources.tables import load
 
@@ -68,7 +68,7 @@ _LINE_NUMS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantit
     + [f"""SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}), NULL, NULL, NULL
            FROM lineitem""" for c in ("l_returnflag", "l_linestatus")]))
 def summary_lineitem(spark, sf_dir):
-    return pf.summarize(load_spread(spark, sf_dir, "lineitem"), exact=True)
+    return pf.summarize(load(spark, sf_dir, "lineitem"), exact=True)
 
 
 @query("SELECT event_id FROM events ORDER BY event_id LIMIT 5")
@@ -105,24 +105,24 @@ def topvalues_orders(spark, sf_dir):
 
 
 _GRAMMAR = {
-    "n_bigint": "^[+-]?[0-9]{1,18}$",
     "n_double": "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$",
     "n_timestamp": ISO_8601,
     "n_boolean": "^(true|false|TRUE|FALSE|True|False)$",
 }
-_MIXED = {"id_text": "CAST(event_id AS VARCHAR)", "props": "props", "event_type": "event_type",
+_MIXED = {"id_text": "CAST(event_id AS VARCHAR)", "id_long": "CAST(CAST(event_id AS HUGEINT) * 9000000000000000 AS VARCHAR)", "props": "props", "event_type": "event_type",
           "day_text": "strftime(ts, '%Y-%m-%d')", "k_text": "json_extract_string(props, '$.k')"}
 
 
 @query(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({e}) AS n_values, " + ", ".join(
-        f"count(*) FILTER (WHERE regexp_matches({e}, '{g}')) AS {k}, "
-        f"round(CAST(count(*) FILTER (WHERE regexp_matches({e}, '{g}')) AS DOUBLE) / count({e}), 6) "
-        f"AS {k.replace('n_', 'share_')}" for k, g in _GRAMMAR.items()) + " FROM events"
+        f"count(*) FILTER (WHERE {test}) AS {k}, round(CAST(count(*) FILTER (WHERE {test}) AS DOUBLE) / count({e}), 6) "
+        f"AS {k.replace('n_', 'share_')}" for k, test in [("n_bigint", f"TRY_CAST({e} AS BIGINT) IS NOT NULL AND regexp_matches({e}, '^[+-]?[0-9]+$')"), *(
+            (k, f"regexp_matches({e}, '{g}')") for k, g in _GRAMMAR.items())]) + " FROM events"
     for c, e in _MIXED.items()))
 def type_consistency_events(spark, sf_dir):
-    events = load_spread(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("id_text"), "props", "event_type",
+    events = load(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id_text"),
+        (F.col("event_id").cast("decimal(38,0)") * 9000000000000000).cast("decimal(38,0)").cast("string").alias("id_long"), "props", "event_type",
         F.date_format("ts", "yyyy-MM-dd").alias("day_text"),
         F.get_json_object("props", "$.k").alias("k_text"))
     return pf.type_consistency(events, list(_MIXED))

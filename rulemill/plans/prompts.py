@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rulemill.operators import profile as pf
 from rulemill.operators import prompts as pr
-from rulemill.plans.catalog import load_spread, query
+from rulemill.plans.catalog import query
 from rulemill.plans.rulesets import _ENUMS, mined_enums
 from rulemill.sources.tables import load
 
@@ -72,15 +72,17 @@ def render_prompts_single_brace(spark, sf_dir):
 
 @query("""SELECT doc_id, substr(sha256(text), 1, 12) AS prompt_hash, length(text) AS prompt_length FROM documents""")
 def fingerprint_docs(spark, sf_dir):
-    docs = load_spread(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return pr.with_fingerprint(docs, "text").drop("text")
 
 
-@query("""SELECT prompt_hash, count(*) AS n_docs, min(doc_id) AS first_doc FROM (
-            SELECT doc_id, substr(sha256(text), 1, 12) AS prompt_hash FROM documents) f GROUP BY 1""")
+@query("""SELECT substr(whole, 1, 12) AS prompt_hash, count(*) AS n_docs, min(doc_id) AS first_doc FROM (
+            SELECT doc_id, sha256(text) AS whole FROM documents) f GROUP BY whole""")
 def fingerprint_groups(spark, sf_dir):
-    docs = pr.with_fingerprint(load_spread(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-    return docs.groupBy("prompt_hash").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    """Grouped by the whole hash; its first digits are only shown."""
+    docs = load(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("whole"))
+    return docs.agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc")).select(
+        F.substring("whole", 1, 12).alias("prompt_hash"), "n_docs", "first_doc")
 
 
 _COLUMN_TYPES = {

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import vectors as vc
-from rulemill.plans.catalog import load_spread, query
+from rulemill.plans.catalog import query
 from rulemill.sources.tables import load
 
 _SPARSE_SQL = """
     SELECT {id} AS doc_id, bucket, round(n / sqrt(sum(n * n) OVER (PARTITION BY {id})), 6) AS weight FROM (
       SELECT {id}, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 64 AS bucket, count(*) AS n
-      FROM (SELECT {id}, unnest(regexp_extract_all(lower({text}), '([a-z0-9]+)', 1)) AS word FROM {table}) w
+      FROM (SELECT {id}, unnest(regexp_extract_all(lower({text}), '([\\p{{L}}\\p{{N}}]+)', 1)) AS word FROM {table}) w
       GROUP BY 1, 2) c"""
 
 
 @query(_SPARSE_SQL.format(id="doc_id", text="text", table="documents"))
 def embed_docs(spark, sf_dir):
-    return vc.embed_hashed(load_spread(spark, sf_dir, "documents"), "doc_id", "text")
+    return vc.embed_hashed(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 _TOPK_SQL = """

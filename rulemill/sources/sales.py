@@ -38,10 +38,9 @@ def cents(value: Column) -> Column:
 def sales_view(spark: SparkSession, sf_dir: str, ordered_dates: bool = False) -> DataFrame:
     """Transactions derived from lineitem, orders and customer.
 
-    The two smaller tables meet first, so line items are shuffled once. Line
-    items and orders grow together, so neither is broadcast: they meet in a
-    sort-merge join, where AQE splits a skewed key. Customers are broadcast by
-    Spark only while their size is under its threshold.
+    The two smaller tables meet first, so line items are shuffled once at most.
+    Spark broadcasts a side only while its measured size is under its threshold;
+    otherwise they meet in a sort-merge join, where AQE splits a skewed key.
     ``ordered_dates`` replaces the ship date by one that never precedes the
     order date, the clean base for defect injection.
     """
@@ -49,7 +48,7 @@ def sales_view(spark: SparkSession, sf_dir: str, ordered_dates: bool = False) ->
     orders = load(spark, sf_dir, "orders")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     bought = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    joined = items.join(bought.hint("merge"), items.l_orderkey == bought.o_orderkey)
+    joined = items.join(bought, items.l_orderkey == bought.o_orderkey)
 
     order_date = F.col("o_orderdate").cast("date")
     ship_date = F.col("l_shipdate").cast("date")

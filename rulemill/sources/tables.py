@@ -14,20 +14,6 @@ def load(spark: SparkSession, location: str, name: str) -> DataFrame:
     return spark.read.table(f"{location}.{name}")
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input that was stored in too few pieces.
-
-    A file with one row group is one task whatever the cluster. Such an input
-    is hash-spread by ``keys`` before costly per-row work. An input that
-    already comes in as many splits as there are cores, which is any large one,
-    is returned as it is and gets no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def save(df: DataFrame, database: str, table: str, mode: str = "overwrite",
          partition_by: tuple[str, ...] = ()) -> str:
     """Save as a managed table, creating its database when needed."""

@@ -7,7 +7,7 @@ from rulemill.session import checkpointed, shared_dir
 from rulemill.sources.manifest import MANIFEST_SCHEMA, manifest_df
 from rulemill.sources.payload_log import append_log, read_log, stream_log
 from rulemill.sources.sales import SALES_DEFECTS, SALES_KEYS, inject, sales_view
-from rulemill.sources.tables import load, load_file, preview, row_count, save, spread_small
+from rulemill.sources.tables import load, load_file, preview, row_count, save
 from rulemill.streaming.validate import read_stream
 from tests.conftest import rows
 
@@ -50,12 +50,6 @@ def test_preview_is_ordered(spark, sf):
     assert row_count(load(spark, sf, "orders")).first()[0] == load(spark, sf, "orders").count()
 
 
-def test_spread_leaves_split_inputs_alone(spark):
-    many = spark.range(0, 100, 1, numPartitions=16)
-    assert spread_small(many, "id") is many
-    few = spread_small(spark.range(0, 100, 1, numPartitions=1), "id")
-    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
 
 def test_log_appends_by_day(spark, sf, tmp_path):
     events = load(spark, sf, "events")
