@@ -8,15 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulemill.functions.rules import Rule, rules_frame
+from rulemill.functions.rules import PARSE_ERROR, Rule, rules_frame
 from rulemill.functions.screening import screening_report
 from rulemill.operators.documents import route_rules
 from rulemill.operators.evaluate import evaluate
-from rulemill.operators.inference import RuleClient, infer
+from rulemill.operators.inference import RuleClient, infer_once
 from rulemill.operators.mining import phrase_rules, rules_not_null, rules_numeric
 from rulemill.operators.profile import describe_schema, sample_rows
 from rulemill.operators.prompts import build_prompts
-from rulemill.operators.rulesets import combine, flatten_documents, parse_responses, validate_rules
+from rulemill.operators.rulesets import combine, flatten_documents, judge_rules, parse_responses
 
 
 def propose(tables: dict[str, DataFrame], client_factory: Callable[[], RuleClient], examples: str,
@@ -32,13 +32,21 @@ def propose(tables: dict[str, DataFrame], client_factory: Callable[[], RuleClien
         rules_frame(df.sparkSession, rules_not_null(df.schema, contracts.get(t)) + rules_numeric(df.schema))
         .select(F.lit(t).alias("table_name"), "rule_id", "column", "rule", "source")
         for t, df in tables.items()])
-    answered = infer(build_prompts(columns, basic, examples), "prompt", client_factory)
-    model, _ = validate_rules(parse_responses(answered.where("error IS NULL"), "response"))
-    numbered = model.select("table_name", F.concat(F.col("source"), F.lit("_"), F.col("pos").cast("string"))
-                            .alias("rule_id"), "column", "rule", "source")
+    judged = answers(build_prompts(columns, basic, examples), client_factory)
+    numbered = judged.where("reason IS NULL").select(
+        "table_name", F.concat(F.col("source"), F.lit("_"), F.col("pos").cast("string")).alias("rule_id"), "column", "rule", "source")
     return combine(basic, numbered)
 
 
+def answers(prompts: DataFrame, client_factory: Callable[[], RuleClient], **options) -> DataFrame:
+    """The model's rules of each prompt, asked once, with ``reason``: null for a usable
+    rule, else why it was rejected; a failed prompt is one row with its error."""
+    answered = infer_once(prompts, "prompt", client_factory, **options)
+    text = F.when(F.col("error").isNotNull(), F.to_json(F.array(F.struct(F.lit(PARSE_ERROR).alias("column"), F.col("error").alias("rule"))))).otherwise(F.col("response"))
+    judged = judge_rules(parse_responses(answered.withColumn("response", text), "response"))
+    return judged.withColumn("reason", F.when(F.col("error").isNotNull(), "failed prompt").otherwise(F.col("reason")))
+
+
 def check(tables: dict[str, DataFrame], rules: DataFrame) -> DataFrame:
     """Screen and evaluate proposed rules, table by table, as one plan.
 
@@ -81,7 +89,7 @@ def propose_phrases(df: DataFrame, key: list[str], client_factory: Callable[[],
     prompts = context.join(history, "prompt_id").select("prompt_id", F.concat_ws(
         "\n\n", "context", F.concat(F.lit("Rules of similar data:\n"), "history"),
         F.lit("Propose data quality rules as YAML, grouped by column.")).alias("prompt"))
-    rows, _ = flatten_documents(infer(prompts, "prompt", client_factory), "prompt_id", "response")
+    rows, _ = flatten_documents(infer_once(prompts, "prompt", client_factory), "prompt_id", "response")
     groups: dict[str, list[str]] = {}
     for r in rows.orderBy("group_pos", "rule_pos").collect():
         groups.setdefault(r["column"], []).append(r["rule"])

@@ -14,7 +14,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulemill.functions.rules import CROSS_COLUMN, Rule, predicate, rules_frame
+from rulemill.functions.rules import CROSS_COLUMN, RULE_SCHEMA, Rule, predicate
 
 BATCH_RULES = 50
 BATCH_CHARS = 2400
@@ -47,6 +47,8 @@ def _counts(df: DataFrame, rules: list[Rule], keys: list[str], max_rules: int) -
                  F.count_if(~F.col("_ok")).alias("failed"))
             .withColumn("_i", F.col("_i") + start))
         start += len(batch)
+    if not parts:  # no rule: no counts, in the same shape
+        return df.select(*keys, *(F.lit(0).cast(t).alias(c) for c, t in (("_i", "int"), ("n_rows", "bigint"), ("passed", "bigint"), ("failed", "bigint")))).limit(0)
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
@@ -56,7 +58,7 @@ def _counts(df: DataFrame, rules: list[Rule], keys: list[str], max_rules: int) -
 def _numbered(df: DataFrame, rules: list[Rule]) -> DataFrame:
     spark = df.sparkSession
     rows = [(i, *r.row()) for i, r in enumerate(rules)]
-    schema = "_i int, " + ", ".join(f"`{f.name}` string" for f in rules_frame(spark, rules[:1]).schema)
+    schema = "_i int, " + ", ".join(f"`{f.name}` string" for f in RULE_SCHEMA.fields)
     return spark.createDataFrame(rows, schema)
 
 

@@ -18,33 +18,37 @@ def parse_responses(df: DataFrame, raw_col: str) -> DataFrame:
     it, a missing source becomes ``llm`` and an empty list gives no rows.
     """
     cleaned = df.withColumn("_text", strip_fence(F.col(raw_col))).withColumn("_v", F.try_parse_json("_text"))
-    kind = F.schema_of_variant("_v")
-    items = (F.when(kind.startswith("ARRAY"), F.try_variant_get("_v", "$", "array<variant>"))
-             .when(kind.startswith("OBJECT"), F.array("_v")))
-    good = (cleaned.where(kind.startswith("ARRAY") | kind.startswith("OBJECT"))
-            .select(*df.columns, F.posexplode(items).alias("pos", "_item")))
+    kind = F.coalesce(F.schema_of_variant("_v"), F.lit(""))
+    nothing = F.lit(None).cast("variant")
+    items = (F.when(kind.startswith("ARRAY"), F.transform(
+                F.try_variant_get("_v", "$", "array<variant>"), lambda v: F.struct(v.alias("v"), F.lit(False).alias("bad"))))
+             .when(kind.startswith("OBJECT"), F.array(F.struct(F.col("_v").alias("v"), F.lit(False).alias("bad"))))
+             .otherwise(F.array(F.struct(nothing.alias("v"), F.lit(True).alias("bad")))))
+    each = cleaned.select(*df.columns, "_text", F.posexplode(items).alias("pos", "_item"))
+    bad = F.col("_item.bad")
 
     def field(name):
-        return F.try_variant_get("_item", f"$.{name}", "string")
+        return F.try_variant_get(F.col("_item.v"), f"$.{name}", "string")
 
-    is_object = F.coalesce(F.schema_of_variant("_item").startswith("OBJECT"), F.lit(False))
-    rows = good.select(
-        *df.columns, "pos", field("column").alias("column"), field("rule").alias("rule"),
-        F.when(is_object, F.coalesce(field("source"), F.lit("llm"))).alias("source"),
-        field("note").alias("note"), is_object.alias("is_object"))
-    bad = cleaned.where(
-        ~F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(False))).select(
-        *df.columns, F.lit(0).alias("pos"), F.lit(PARSE_ERROR).alias("column"), F.col("_text").alias("rule"),
-        F.lit("llm").alias("source"), F.lit(None).cast("string").alias("note"), F.lit(True).alias("is_object"))
-    return rows.unionByName(bad)
+    is_object = F.coalesce(F.schema_of_variant(F.col("_item.v")).startswith("OBJECT"), F.lit(False))
+    return each.select(
+        *df.columns, "pos", F.when(bad, PARSE_ERROR).otherwise(field("column")).alias("column"),
+        F.when(bad, F.col("_text")).otherwise(field("rule")).alias("rule"),
+        F.when(bad, F.lit("llm")).when(is_object, F.coalesce(field("source"), F.lit("llm"))).alias("source"),
+        F.when(~bad, field("note")).alias("note"), (bad | is_object).alias("is_object"))
+
+
+def judge_rules(rules: DataFrame) -> DataFrame:
+    """Adds ``reason``: null for a rule that is an object with a column and a rule."""
+    return rules.withColumn("reason", F.when(~F.col("is_object"), "not an object")
+                            .when(F.col("column").isNull(), "missing column")
+                            .when(F.col("rule").isNull(), "missing rule"))
 
 
 def validate_rules(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected with ``reason``): a rule is an object with a column and a rule."""
-    reason = (F.when(~F.col("is_object"), "not an object")
-              .when(F.col("column").isNull(), "missing column")
-              .when(F.col("rule").isNull(), "missing rule"))
-    checked = rules.withColumn("reason", reason)
+    """(valid, rejected with ``reason``). Both read the same input: where it is
+    costly, take ``judge_rules`` or write the rules first."""
+    checked = judge_rules(rules)
     return (checked.where(F.col("reason").isNull()).drop("reason"),
             checked.where(F.col("reason").isNotNull()))
 
