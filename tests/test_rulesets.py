@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from rulemill.operators import agent as ag
 from rulemill.operators import inference as inf
 from rulemill.operators import mining as mi
 from rulemill.operators import profile as pf
@@ -204,3 +205,47 @@ def test_format_regex_matches_itself(spark, text, want):
     assert df.where(F.col("s").rlike(got.regex)).count() == 1
     if want:
         assert got.regex == want
+
+
+class Counting:
+    """Writes a file for every prompt it is asked."""
+
+    folder = ""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def generate_rules(self, prompt):
+        import os
+        import uuid
+        open(os.path.join(self.folder, uuid.uuid4().hex), "w").close()
+        if "bad" in prompt:
+            raise ValueError("no answer")
+        return '[{"column": "a", "rule": "a > 0"}, {"column": "b"}, 7]'
+
+
+class Batched(Counting):
+    def generate_batch(self, prompts):
+        if any("bad" in p for p in prompts):
+            raise RuntimeError("batch failed")
+        return [self.generate_rules(p) for p in prompts]
+
+
+@pytest.mark.parametrize("kind", [Counting, Batched])
+def test_each_prompt_is_asked_once(spark, tmp_path, kind):
+    folder = str(tmp_path)
+    prompts = spark.createDataFrame([(f"t{k}", f"prompt {k}") for k in range(9)] + [("t9", "bad prompt")], "table_name string, prompt string")
+    judged = ag.answers(prompts, lambda: kind(folder), batch_size=4, partitions=2)
+    kept, lost = judged.where("reason IS NULL"), judged.where("reason IS NOT NULL")
+    assert kept.count() == 9 and lost.count() == 19
+    assert {r["reason"] for r in lost.collect()} == {"missing rule", "not an object", "failed prompt"}
+    assert [r["rule"] for r in lost.where("reason = 'failed prompt'").collect()] == ["ValueError: no answer"]
+    assert len(list(tmp_path.iterdir())) == 10
+
+
+def test_an_empty_rule_list_is_no_error(spark):
+    from rulemill.operators import evaluate as ev
+    df = spark.createDataFrame([(1, "x")], "a int, k string")
+    assert ev.evaluate(df, []).collect() == [] and ev.evaluate_by(df, [], ["k"]).collect() == []
+    card = ev.scorecard(df, [], "t").first()
+    assert card["rule_coverage"] == 0.0 and card["n_rules"] == 0
