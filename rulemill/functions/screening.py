@@ -22,7 +22,7 @@ from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR, Rule, predicate
 _TOKEN = re.compile(r"""
     (?P<space>\s+)
   | (?P<text>[rR]?'(?:[^']|'')*')
-  | (?P<number>\d+(?:\.\d+)?)
+  | (?P<number>\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)
   | (?P<quoted>`[^`]+`)
   | (?P<name>[A-Za-z_]\w*)
   | (?P<op><=|>=|<>|!=|==|=|<|>|\+|-|\*|\(|\)|,)
@@ -40,6 +40,15 @@ _FUNCTIONS = {
     "day", "datediff", "date_add", "date_sub", "try_cast", "try_add", "try_subtract", "try_multiply",
     "try_divide",
 }
+# What a call gives; of the others the family of the first argument.
+_RESULTS = {
+    "number": {"abs", "length", "char_length", "round", "floor", "ceil", "year", "month", "day", "datediff",
+               "try_add", "try_subtract", "try_multiply", "try_divide"},
+    "text": {"lower", "upper", "trim", "ltrim", "rtrim", "substring", "left", "right", "concat"},
+    "boolean": {"startswith", "endswith", "contains", "regexp_like", "isnull", "isnotnull", "isnan"},
+    "time": {"date_add", "date_sub"},
+}
+_SAME = {"coalesce", "nullif", "greatest", "least"}
 _COMPARISONS = {"=", "==", "<>", "!=", "<", "<=", ">", ">=", "like", "rlike"}
 _ARITHMETIC = {"+", "-", "*"}
 
@@ -76,6 +85,65 @@ def _family(kind: str, word: str, types: dict[str, T.DataType]) -> str | None:
     return None
 
 
+def _close(toks: list[tuple[str, str]], at: int, step: int) -> int:
+    """The place of the bracket that matches the one at ``at``."""
+    depth = 0
+    while 0 <= at < len(toks):
+        depth += {"(": 1, ")": -1}.get(toks[at][1], 0) if toks[at][0] == "op" else 0
+        if depth == 0:
+            return at
+        at += step
+    return at
+
+
+def _operand(toks: list[tuple[str, str]], at: int, step: int, types: dict[str, T.DataType]) -> str | None:
+    """Family of the operand that begins (or, going left, ends) at ``at``; null where
+    it cannot be told from the text."""
+    if not 0 <= at < len(toks):
+        return None
+    kind, word = toks[at]
+    if word == ")" and step < 0:
+        start = _close(toks, at, -1)
+    elif word == "(" or kind == "name" and at + 1 < len(toks) and toks[at + 1][1] == "(" and step > 0:
+        start = at if word == "(" else at + 1
+    else:
+        return _family(kind, word, types)
+    name = toks[start - 1][1].lower() if start > 0 and toks[start - 1][0] == "name" and toks[start - 1][1].lower() not in _KEYWORDS else ""
+    end = _close(toks, start, 1)
+    if name == "try_cast":
+        return {"string": "text", "boolean": "boolean", "date": "time", "timestamp": "time"}.get(toks[end - 1][1].lower(), "number")
+    for family, names in _RESULTS.items():
+        if name in names:
+            return family
+    inner = toks[start + 1:end]
+    if not name and any(k == "op" and w in _ARITHMETIC for k, w in inner) and not any(w.lower() in _COMPARISONS for _, w in inner):
+        return "number"
+    return _operand(toks, start + 1, 1, types) if name in _SAME or len(inner) == 1 else None
+
+
+def _arguments(toks: list[tuple[str, str]], start: int) -> list[int]:
+    """Where the arguments of a call begin whose bracket is at ``start``."""
+    end, depth, out = _close(toks, start, 1), 0, [start + 1]
+    for k in range(start + 1, end):
+        depth += {"(": 1, ")": -1}.get(toks[k][1], 0) if toks[k][0] == "op" else 0
+        if depth == 0 and toks[k][1] == ",":
+            out.append(k + 1)
+    return out
+
+
+def _pattern_reason(token: tuple[str, str]) -> str | None:
+    """A pattern must be a literal that Java compiles."""
+    from pyspark import SparkContext
+    if token[0] != "text":
+        return "pattern is not a literal"
+    text = token[1].lstrip("rR")[1:-1].replace("''", "'")
+    try:
+        SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(text)
+    except Exception:
+        return "malformed pattern"
+    return None
+
+
 def _mixes(a: str | None, b: str | None) -> bool:
     if a is None or b is None or "other" in (a, b):
         return False
@@ -107,7 +175,17 @@ def _reason(text: str, types: dict[str, T.DataType]) -> str | None:
                 return f"unknown column: {word}"
         if kind == "quoted" and low.strip("`") not in types:
             return f"unknown column: {word.strip('`')}"
-        left, right = _family(*prev, types), _family(*nxt, types)
+        left, right = _operand(toks, i - 1, -1, types), _operand(toks, i + 1, 1, types)
+        if low in _SAME and nxt[1] == "(":
+            families = {f for f in (_operand(toks, k, 1, types) for k in _arguments(toks, i + 1)) if f}
+            if len({f.replace("text literal", "text") for f in families}) > 1:
+                return f"mixes {' and '.join(sorted(families))}"
+        if low == "rlike" or low == "regexp_like" and nxt[1] == "(":
+            places = [i + 1] if low == "rlike" else _arguments(toks, i + 1)[1:2]
+            bad = _pattern_reason(toks[places[0]]) if places and places[0] < len(toks) else "pattern is not a literal"
+            follows = toks[places[0] + 1][1].lower() if places and places[0] + 1 < len(toks) else ""
+            if bad or follows in ("||", "+"):
+                return bad or "pattern is not a literal"
         if low in _COMPARISONS or low == "between":
             time_literal = {left, right} == {"time", "text literal"}
             if time_literal:

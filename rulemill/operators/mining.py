@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,11 +16,16 @@ from rulemill.functions.rules import CROSS_COLUMN, Rule
 from rulemill.functions.text import shape
 
 
+def quoted(name: str) -> str:
+    """A column name as rule text: in backticks unless it is a plain word."""
+    return name if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name) else "`" + name.replace("`", "``") + "`"
+
+
 def rules_not_null(schema: T.StructType, contract: list[str] | None = None) -> list[Rule]:
     """NOT NULL rules. Stored tables lose nullability, so the columns that must
     be present can be declared by ``contract``."""
     required = {f.name for f in schema.fields if not f.nullable} | set(contract or [])
-    return [Rule(f"not_null_{f.name}", f.name, f"{f.name} IS NOT NULL", "schema",
+    return [Rule(f"not_null_{f.name}", f.name, f"{quoted(f.name)} IS NOT NULL", "schema",
                  "Column is declared non-nullable")
             for f in schema.fields if f.name in required]
 
@@ -32,7 +38,7 @@ def rules_numeric(schema: T.StructType, form: str = "default") -> list[Rule]:
     form reports negative values.
     """
     text = {"reference": "{c} IS NOT NULL OR {c} >= 0", "default": "{c} IS NULL OR {c} >= 0"}[form]
-    return [Rule(f"numeric_{f.name}", f.name, text.format(c=f.name), "schema", "Numeric column")
+    return [Rule(f"numeric_{f.name}", f.name, text.format(c=quoted(f.name)), "schema", "Numeric column")
             for f in schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
@@ -79,7 +85,7 @@ def mine_outliers(df: DataFrame, cols: list[str], k: float = 1.5, method: str =
 def outlier_rules(bounds: DataFrame) -> list[Rule]:
     """Rules from mined bounds (one row per column)."""
     return [Rule(f"range_{r['column_name']}", r["column_name"],
-                 f"{r['column_name']} BETWEEN {r['lo']!r} AND {r['hi']!r}", "mined", "Outlier bounds")
+                 f"{quoted(r['column_name'])} BETWEEN {r['lo']!r} AND {r['hi']!r}", "mined", "Outlier bounds")
             for r in bounds.orderBy("column_name").collect()]
 
 
@@ -97,12 +103,12 @@ def same_type_pairs(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[tuple[
 
 def mine_order_pairs(df: DataFrame, pairs: list[tuple[str, str]], min_support: float) -> DataFrame:
     """Column pairs where ``a <= b`` holds for at least ``min_support`` of rows."""
-    held = {(a, b): F.col(a) <= F.col(b) for a, b in pairs}
+    held = {(a, b): F.col(f"`{a}`") <= F.col(f"`{b}`") for a, b in pairs}
     wide = df.agg(*[e for i, h in enumerate(held.values()) for e in (
         F.count(h).alias(f"n{i}"), F.count_if(h).alias(f"h{i}"))])
     entries = F.array(*[F.struct(
         F.lit(a).alias("left_column"), F.lit(b).alias("right_column"),
-        F.lit(f"{a} <= {b}").alias("rule"), F.col(f"n{i}").alias("n_pairs"),
+        F.lit(f"{quoted(a)} <= {quoted(b)}").alias("rule"), F.col(f"n{i}").alias("n_pairs"),
         F.round(F.try_divide(F.col(f"h{i}"), F.col(f"n{i}")), 6).alias("support"))
         for i, (a, b) in enumerate(held)])
     return (wide.select(F.inline(entries)).where(F.col("support") >= min_support)
@@ -113,10 +119,10 @@ def mine_products(df: DataFrame, triples: list[tuple[str, str, str]], tol: float
     """Support of ``abs(a * b - c) <= tol`` for each (a, b, c)."""
     aggs, entries = [], []
     for i, (a, b, c) in enumerate(triples):
-        ok = F.abs(F.col(a) * F.col(b) - F.col(c)) <= tol
+        ok = F.abs(F.col(f"`{a}`") * F.col(f"`{b}`") - F.col(f"`{c}`")) <= tol
         aggs += [F.count(ok).alias(f"n{i}"), F.count_if(ok).alias(f"h{i}")]
         entries.append(F.struct(
-            F.lit(f"abs({a} * {b} - {c}) <= {tol}").alias("rule"), F.col(f"n{i}").alias("n_rows"),
+            F.lit(f"abs({quoted(a)} * {quoted(b)} - {quoted(c)}) <= {tol}").alias("rule"), F.col(f"n{i}").alias("n_rows"),
             F.round(F.try_divide(F.col(f"h{i}"), F.col(f"n{i}")), 6).alias("support")))
     return df.agg(*aggs).select(F.inline(F.array(*entries)))
 
@@ -140,22 +146,25 @@ def mine_enums(df: DataFrame, cols: list[str], max_card: int) -> DataFrame:
     A sketch drops the wide columns first, so only columns known to be narrow
     are grouped by value and their value lists gathered.
     """
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    sketch = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in cols]).first()
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     narrow = [c for c in cols if sketch[c] <= 2 * max_card]
     if not narrow:
         return df.sparkSession.createDataFrame(
             [], "column_name string, n_values bigint, n_rows bigint, rule string")
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
                       for c in narrow])
     counts = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    quoted = F.concat(F.lit("'"), F.replace("value", F.lit("'"), F.lit("''")), F.lit("'"))
+    text = F.concat(F.lit("'"), F.replace("value", F.lit("'"), F.lit("''")), F.lit("'"))
+    literal = F.when(F.col("column_name").isin(numbers), F.col("value")).otherwise(text)
+    names = F.element_at(F.create_map(*[F.lit(x) for c in narrow for x in (c, quoted(c))]), F.col("column_name"))
     return (counts.groupBy("column_name")
             .agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"),
-                 F.array_sort(F.collect_list(quoted)).alias("values"))
+                 F.array_sort(F.collect_list(literal)).alias("values"))
             .where(F.col("n_values") <= max_card)
             .select("column_name", "n_values", "n_rows",
-                    F.concat(F.col("column_name"), F.lit(" IN ("), F.array_join("values", ", "), F.lit(")"))
+                    F.concat(names, F.lit(" IN ("), F.array_join("values", ", "), F.lit(")"))
                     .alias("rule")))
 
 

@@ -166,18 +166,27 @@ CANDIDATES = [
     Rule("c18", "quantity", "quantity BETWEEN 1 AND 50", "llm"),
     Rule("c19", "order_date", "order_date >= '1996-01-01'", "llm"),
     Rule("c20", CROSS_COLUMN, "coalesce(discount_price, 0) <= original_price", "llm"),
+    Rule("c21", "status", "lower(status) > 5", "llm"),
+    Rule("c22", "status", "coalesce(status, 0) > 1", "llm"),
+    Rule("c23", "status", "substring(status, 1, 1) = 3", "llm"),
+    Rule("c24", "status", "status RLIKE '[a'", "llm"),
+    Rule("c25", "status", "status RLIKE concat('(', status)", "llm"),
+    Rule("c26", "quantity", "quantity < 1e3", "llm"),
 ]
 _ACCEPTED_SQL = {
     "c01": SALES_RULES_SQL["amount_positive"], "c02": SALES_RULES_SQL["email_format"],
     "c03": SALES_RULES_SQL["ship_after_order"], "c04": "status IN ('completed', 'pending')",
     "c05": SALES_RULES_SQL["quantity_range"], "c18": "quantity BETWEEN 1 AND 50",
     "c19": "order_date >= DATE '1996-01-01'", "c20": "coalesce(discount_price, 0) <= original_price",
+    "c26": "quantity < 1000",
 }
 _REJECTED = {
     "c06": "unknown column: email", "c07": "unknown column: end_date", "c08": "function not allowed: sum",
     "c09": "unknown column: SELECT", "c10": "function not allowed: reflect", "c11": "compares text with number",
     "c12": "not Boolean", "c13": "character not allowed", "c14": "comment or escaped quote",
     "c15": "function not allowed: current_date", "c16": "parse error", "c17": "empty rule",
+    "c21": "compares text with number", "c22": "mixes number and text", "c23": "compares text with number",
+    "c24": "malformed pattern", "c25": "pattern is not a literal",
 }
 
 
