@@ -25,12 +25,25 @@ def latest(log: DataFrame, n: int, ts: str = "ts", tie: str = "event_id") -> Dat
 
 
 def decode_rules(log: DataFrame, body: str) -> DataFrame:
-    """Rule list out of a JSON response: ``{"predictions": [...]}`` or a list.
-    Anything else gives an empty list. Adds ``n_rules`` and ``rules`` (JSON)."""
-    listed = F.coalesce(F.get_json_object(body, "$.predictions"), F.col(body))
-    n = F.json_array_length(listed)
-    return log.withColumn("n_rules", F.coalesce(n, F.lit(0)).cast("bigint")).withColumn(
-        "rules", F.when(n.isNotNull(), listed).otherwise("[]"))
+    """Rule list out of a JSON response. Adds ``n_rules`` and ``rules`` (JSON).
+
+    A response is ``{"predictions": [...]}`` or a list. A prediction that has
+    ``rules``, a list or its JSON text, stands for these; any other is a rule
+    itself. Unreadable responses and rule texts give an empty list.
+    """
+    whole = F.try_parse_json(body)
+    listed = F.coalesce(F.try_variant_get(whole, "$.predictions", "array<variant>"), F.try_variant_get(whole, "$", "array<variant>"))
+    nothing = F.array().cast("array<variant>")
+
+    def rules_of(v):
+        own = F.try_variant_get(v, "$.rules", "variant")
+        text = F.try_parse_json(F.try_variant_get(v, "$.rules", "string"))
+        read = F.coalesce(F.try_variant_get(own, "$", "array<variant>"), F.try_variant_get(text, "$", "array<variant>"), nothing)
+        return F.when(own.isNotNull(), read).otherwise(F.array(v))
+
+    rules = F.flatten(F.transform(F.coalesce(listed, nothing), rules_of))
+    return log.withColumn("_rules", rules).withColumn("n_rules", F.size("_rules").cast("bigint")).withColumn(
+        "rules", F.to_json("_rules")).drop("_rules")
 
 
 def decode_field(log: DataFrame, body: str, field: str, dtype: str) -> DataFrame:

@@ -25,25 +25,33 @@ def decode_props(spark, sf_dir):
     return pl.decode_field(load(spark, sf_dir, "events"), "props", "k", "bigint").select("event_id", "k")
 
 
-@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS n_rules,
-                 CASE event_id % 4 WHEN 0 THEN '[{"rule":"a"},{"rule":"b"}]'
-                      WHEN 1 THEN '[{"rule":"' || event_type || '"}]' ELSE '[]' END AS rules FROM events""")
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 3 THEN 3 WHEN 4 THEN 1 ELSE 0 END AS n_rules,
+                 CASE event_id % 6 WHEN 0 THEN '[{"rule":"a"},{"rule":"b"}]'
+                      WHEN 1 THEN '[{"rule":"' || event_type || '"}]'
+                      WHEN 3 THEN '[{"column":"' || event_type || '","rule":"x > 0"},{"rule":"b"},{"rule":"c"}]'
+                      WHEN 4 THEN '[{"rule":"d"}]' ELSE '[]' END AS rules FROM events""")
 def decode_rules(spark, sf_dir):
-    body = (F.when(F.col("event_id") % 4 == 0, '{"predictions":[{"rule":"a"},{"rule":"b"}]}')
-            .when(F.col("event_id") % 4 == 1, F.concat(F.lit('[{"rule":"'), "event_type", F.lit('"}]')))
-            .when(F.col("event_id") % 4 == 2, "service unavailable"))
+    """Rules as predictions, as a plain list, as text and as a list inside predictions, and junk."""
+    kind = F.col("event_id") % 6
+    body = (F.when(kind == 0, '{"predictions":[{"rule":"a"},{"rule":"b"}]}')
+            .when(kind == 1, F.concat(F.lit('[{"rule":"'), "event_type", F.lit('"}]')))
+            .when(kind == 2, "service unavailable")
+            .when(kind == 3, F.concat(F.lit('{"predictions":[{"rules":"[{\\"column\\":\\"'), "event_type",
+                                      F.lit('\\",\\"rule\\":\\"x > 0\\"},{\\"rule\\":\\"b\\"}]","n":2},{"rule":"c"}]}')))
+            .when(kind == 4, '{"predictions":[{"rules":[{"rule":"d"}]},{"rules":"not json"}]}'))
     log = load(spark, sf_dir, "events").withColumn("body", body)
     return pl.decode_rules(log, "body").select("event_id", "n_rules", "rules")
 
 
-@query("""SELECT conv_id, turn, length(text) AS request_chars, coalesce(length(response), 0) AS response_chars FROM (
+@query("""SELECT conv_id, turn, md5(text) AS request_md5, length(text) AS request_chars,
+                 md5(response) AS response_md5, coalesce(length(response), 0) AS response_chars FROM (
             SELECT conv_id, turn, role, text,
                    CASE WHEN lead(role) OVER w = 'assistant' THEN lead(text) OVER w END AS response
             FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t WHERE role = 'user'""")
 def pair_turns(spark, sf_dir):
     pairs = pl.pair_turns(load(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
-    return pairs.select("conv_id", "turn", F.length("request").alias("request_chars"),
-                        F.coalesce(F.length("response"), F.lit(0)).alias("response_chars"))
+    return pairs.select("conv_id", "turn", F.md5("request").alias("request_md5"), F.length("request").alias("request_chars"),
+                        F.md5("response").alias("response_md5"), F.coalesce(F.length("response"), F.lit(0)).alias("response_chars"))
 
 
 @query("""SELECT event_id, call_no, call_no > 3 AS limited FROM (
