@@ -38,9 +38,31 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rulemill-{purpose}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(df, purpose: str):
-    """Cut lineage by writing to the shared folder and reading it back."""
+    """Cut lineage by writing to the shared folder and reading it back.
+
+    The shuffle files of the write are removed when it is done: what reads the
+    result reads the written table.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(*frames) -> None:
+    """Remove tables that ``checkpointed`` wrote, once nothing reads them any more."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(conf).delete(path, True)
