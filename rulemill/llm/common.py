@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulemill.session import checkpointed as stored  # noqa: F401  (written to the cluster's shared folder)
+from rulemill.session import discard  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

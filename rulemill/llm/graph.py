@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulemill.llm.common import stored
+from rulemill.llm.common import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        own = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, own = own, stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(last)
         before, state = state, _state(own)
         if state == before:
             break

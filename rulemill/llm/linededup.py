@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulemill.llm.common import partitions, stored
+from rulemill.llm.common import discard, partitions, stored
 
 MIN_WORDS = 10  # of a run
 
@@ -100,6 +100,7 @@ def suffix_ranks(suffixes: DataFrame) -> list[DataFrame]:
         pairs = stored(pairs.select("sid", "left", "r", "r2"), "suffix-pairs")
         groups = ranked(pairs.groupBy("r", "r2").agg(F.count("*").alias("n")), "r", "r2")
         levels.append(stored(pairs.join(groups, ["r", "r2"]).select("sid", "left", F.col("rank").alias("r")), "suffix-ranks"))
+        discard(pairs)
         span *= 2
 
 
@@ -115,7 +116,8 @@ def earlier_runs(levels: list[DataFrame]) -> DataFrame:
         inside = stored(going.join(inner, ["g", "off", "r"]), "line-inside")
         stay = members.join(inside.where("sid != first").select("g", "off", "sid"), ["g", "off", "sid"], "left_anti")
         narrow = inside.select(F.col("first").alias("g"), (F.col("off") + need).alias("off"), "sid", "left")
-        members = stored(stay.select("g", "off", "sid", "left").unionByName(narrow), "line-intervals")
+        last, members = members, stored(stay.select("g", "off", "sid", "left").unionByName(narrow), "line-intervals")
+        discard(going, inside, *([last] if level < len(levels) - 1 else []))
     return members.where("g >= 0 AND sid != g").groupBy("sid").agg(F.max("off").alias("run"))
 
 
