@@ -27,16 +27,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulemill.llm.common import stored
+from rulemill.llm.common import discard, stored
 from rulemill.llm.graph import components
 
 WORDS = 5
 SHARE = (80, 100)  # intersection to union
 PIVOT_ROUNDS = 2
-OFTEN = 8  # occurrences in one stretch of documents from which a token is counted as frequent
+OFTEN = 2  # occurrences in one stretch of documents from which a token is counted as frequent
 STRETCH = 1 << 22  # shingles of a stretch
-MOST_FREQUENT = 1 << 17  # tokens whose frequency the orders know
-BROADCAST_ROWS = 1 << 21  # of ids, 16 MB; more are joined by a shuffle
+MOST_FREQUENT = 1 << 19  # tokens whose frequency the orders know: 8 MB
+BROADCAST_ROWS = 1 << 18  # of ids: some 30 MB as a hash table; more are joined by a shuffle
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,8 +54,8 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-def shingles(text: str | None, hashes: dict[bytes, int], size: int = WORDS) -> np.ndarray:
-    """64-bit keys of a text's distinct shingles, sorted. Words end at ASCII white
+def shingles(text: str | None, hashes: dict[bytes, int], size: int = WORDS, distinct: bool = True) -> np.ndarray:
+    """64-bit keys of a text's shingles, the distinct ones sorted or all in turn. Words end at ASCII white
     space and A-Z is lower-cased; fewer words than ``size`` are one shingle."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
@@ -64,8 +64,10 @@ def shingles(text: str | None, hashes: dict[bytes, int], size: int = WORDS) -> n
     span = min(size, len(words))
     total = np.full(len(own) - span + 1, span, np.uint64)
     for k in range(span):
-        total = mix(total * _M + own[k:len(own) - span + 1 + k])
-    return np.unique(total)
+        total *= _M
+        total += own[k:len(own) - span + 1 + k]
+    total = mix(total)
+    return np.unique(total) if distinct else total
 
 
 def text_hash(body: Column) -> Column:
@@ -101,13 +103,15 @@ def frequent_tokens(docs: DataFrame) -> Orders:
         hashes, held, size = _WordHashes(), [], 0
 
         def settle() -> pd.DataFrame:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+            tokens = np.concatenate(held)
+            slot = (tokens >> np.uint64(42)).astype(np.int64)  # tokens of a slot with few entries are not frequent
+            tokens, counts = np.unique(tokens[np.bincount(slot, minlength=1 << 22)[slot] >= OFTEN], return_counts=True)
             often = counts >= OFTEN
             return pd.DataFrame({"token": tokens[often].view(np.int64), "n": counts[often]})
 
         for pdf in batches:
             for body in pdf["body"]:
-                held.append(shingles(body, hashes))
+                held.append(shingles(body, hashes, distinct=False))
                 size += len(held[-1])
                 if size >= STRETCH:
                     yield settle()
@@ -140,45 +144,69 @@ def prefixes(docs: DataFrame, orders: Orders) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, orders: Orders) -> DataFrame:
-    """(node, n, tokens, other) of the classes (node, doc, mark): all tokens in the
-    second order, and the prefix under the third."""
+    """(node, n, tokens, other) of the classes (node, doc, mark): all tokens, those of
+    the prefix under the second order first, and the prefix under the third. A class
+    of repeated rows may come once from each task."""
     shared = docs.sparkSession.sparkContext.broadcast(orders)
     few = classes.count() <= BROADCAST_ROWS
     wanted = classes.select("node", F.col("doc").alias("own"), F.col("mark").alias("wanted"))
     rows = docs.join(F.broadcast(wanted) if few else wanted, F.col("doc").eqNullSafe(F.col("own"))).select("node", "wanted", "body")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = _WordHashes()
+        hashes, done = _WordHashes(), set()
         for pdf in batches:
             out = []
             for node, wanted, body in zip(pdf["node"], pdf["wanted"], pdf["body"], strict=True):
+                if node in done:
+                    continue
                 tokens = shingles(body, hashes)
                 if hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() == wanted:
+                    done.add(node)
                     first = shared.value.prefix(tokens, 2)
                     rest = np.setdiff1d(tokens, first, assume_unique=True)
                     out.append((node, len(tokens), np.concatenate([first, rest]).view(np.int64), shared.value.prefix(tokens, 3).view(np.int64)))
             yield pd.DataFrame(out, columns=["node", "n", "tokens", "other"])
 
-    return rows.mapInPandas(run, "node bigint, n bigint, tokens array<bigint>, other array<bigint>").dropDuplicates(["node"])
+    return rows.mapInPandas(run, "node bigint, n bigint, tokens array<bigint>, other array<bigint>")
 
 
-def alike_in_size(a: Column, b: Column) -> Column:
-    return SHARE[1] * F.least(a, b) >= SHARE[0] * F.greatest(a, b)
+def may_link(na: Column, pa: Column, nb: Column, pb: Column) -> Column:
+    """Can two sets be similar enough whose first shared token stands at these places
+    of theirs? A pair's first one passes, so testing every shared token loses none."""
+    most = 1 + F.least(na - pa, nb - pb) - 1
+    return (SHARE[1] * F.least(na, nb) >= SHARE[0] * F.greatest(na, nb)) & ((SHARE[0] + SHARE[1]) * most >= SHARE[0] * (na + nb))
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) that share a prefix token under the second and third order
-    and whose overlap is large enough."""
-    p = F.col("n") - F.ceil(F.col("n") * SHARE[0] / SHARE[1]) + 1
+def share_prefixes(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) that share a prefix token under the second and third order too."""
+    p = (F.col("n") - F.ceil(F.col("n") * SHARE[0] / SHARE[1]) + 1).cast("int")
+    own = sets.select("node", F.slice("tokens", F.lit(1), p).alias("second"), F.col("other").alias("third"))
+    both = pairs.join(own.toDF("u", "su", "tu"), "u").join(own.toDF("v", "sv", "tv"), "v")
+    return both.where(F.arrays_overlap("su", "sv") & F.arrays_overlap("tu", "tv")).select("u", "v").distinct()
 
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("tokens").alias(f"t{name}"),
-                           F.slice("tokens", F.lit(1), p.cast("int")).alias(f"p{name}"), F.col("other").alias(f"o{name}"))
 
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
-    both = both.where(F.arrays_overlap("pu", "pv") & F.arrays_overlap("ou", "ov"))
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose overlap is large enough."""
+    own = sets.select("node", "n", "tokens")
+    both = pairs.join(own.toDF("u", "nu", "tu"), "u").join(own.toDF("v", "nv", "tv"), "v")
     shared = F.size(F.array_intersect("tu", "tv"))
-    return both.where(SHARE[1] * shared >= SHARE[0] * (F.col("nu") + F.col("nv") - shared)).select("u", "v")
+    return both.where(SHARE[1] * shared >= SHARE[0] * (F.col("nu") + F.col("nv") - shared)).select("u", "v").distinct()
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Sent to all tasks where a count shows that they are few enough, else shuffled."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, orders: Orders) -> DataFrame:
+    """The pairs that link; sets are read for the texts in them only."""
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = stored(classes.join(nodes, "node", "left_semi"), "jaccard-wanted")
+    sets = stored(sets_of(source, wanted, orders), "jaccard-sets")
+    near = stored(share_prefixes(pairs, sets), "jaccard-near")
+    links = stored(verify(near, sets), "jaccard-links")
+    discard(pairs, wanted, sets, near)
+    return links
 
 
 def _labels(links: DataFrame, rows: DataFrame) -> DataFrame:
@@ -193,22 +221,22 @@ def _pair(a: Column, b: Column) -> list[Column]:
 
 def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Each member of a bucket with one pivot of it, if they are in different
-    components; (token, node, n, root)."""
+    components; of (token, node, n, pos, root)."""
     rank = F.xxhash64("node", F.lit(turn))
-    pivot = rows.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "root")).alias("p"))
-    met = rows.join(pivot, "token").where((F.col("root") != F.col("p.root")) & alike_in_size(F.col("n"), F.col("p.n")))
+    pivot = rows.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "pos", "root")).alias("p"))
+    met = rows.join(pivot, "token").where((F.col("root") != F.col("p.root")) & may_link(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos")))
     return met.select(*_pair(F.col("node"), F.col("p.node"))).distinct()
 
 
 def remaining_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of members of a bucket that are in different components."""
+    """All pairs of members of a bucket that are in different components and may link."""
     groups = rows.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = groups.toDF("token", "ra", "la", "ha"), groups.toDF("token", "rb", "lb", "hb")
     near = (SHARE[1] * F.col("ha") >= SHARE[0] * F.col("lb")) & (SHARE[1] * F.col("hb") >= SHARE[0] * F.col("la"))
     crossing = a.join(b, "token").where((F.col("ra") < F.col("rb")) & near).select("token", "ra", "rb")
-    left = crossing.join(rows.select("token", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na")), ["token", "ra"])
-    met = left.join(rows.select("token", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb")), ["token", "rb"])
-    return met.where(alike_in_size(F.col("na"), F.col("nb"))).select(*_pair(F.col("a"), F.col("b"))).distinct()
+    left = crossing.join(rows.select("token", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")), ["token", "ra"])
+    met = left.join(rows.select("token", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb")), ["token", "rb"])
+    return met.where(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"))).select(*_pair(F.col("a"), F.col("b"))).distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,18 +255,18 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     classes = rows.where("n > 0").groupBy("mark").agg(F.min(F.struct("rid", "doc", "n")).alias("first"))
     classes = stored(classes.select("mark", F.col("first.rid").alias("node"), F.col("first.doc").alias("doc"), F.col("first.n").alias("n")), "jaccard-classes")
     # a class is compared through its first row alone
-    tokens = rows.join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").select(F.explode("prefix").alias("token"), F.col("rid").alias("node"), "n")
-    often = tokens.groupBy("token").count().where("count > 1").select("token")
-    shared = stored(tokens.join(often, "token"), "jaccard-buckets")
-    nodes = shared.select("node").distinct()
-    sets = stored(sets_of(source, classes.join(nodes, "node", "left_semi"), orders), "jaccard-sets")
-    links = None
-    labelled = shared.withColumn("root", F.col("node"))
-    for turn in range(PIVOT_ROUNDS):
-        found = stored(verify(pivot_pairs(labelled, turn), sets), "jaccard-links")
+    firsts = classes.select(F.col("node").alias("rid"))
+    tokens = rows.join(_small(firsts), "rid", "left_semi").select(F.posexplode("prefix").alias("pos", "token"), F.col("rid").alias("node"), "n")
+    often = stored(tokens.groupBy("token").count().where("count > 1").select("token"), "jaccard-tokens")
+    buckets = stored(tokens.join(_small(often), "token", "left_semi"), "jaccard-buckets")
+    discard(often)
+    links, labelled = None, buckets.withColumn("root", F.col("node"))
+    for turn in range(PIVOT_ROUNDS + 1):
+        pairs = pivot_pairs(labelled, turn) if turn < PIVOT_ROUNDS else remaining_pairs(labelled)
+        found = _verified(stored(pairs, "jaccard-pairs"), source, classes, orders)
         links = found if links is None else links.unionByName(found)
-        labelled = stored(_labels(links, shared), "jaccard-labels")
-    links = links.unionByName(stored(verify(remaining_pairs(labelled), sets), "jaccard-links"))
+        if turn < PIVOT_ROUNDS:
+            labelled = stored(_labels(links, buckets), "jaccard-labels")
     roots = stored(components(links), "jaccard-roots")
     named = classes.join(roots, "node", "left").select("mark", F.coalesce("root", "node").alias("root"))
     whole = rows.select("doc", "hash", "n", "mark", "rid").where("n > 0").join(named, "mark").select("doc", "hash", "n", "rid", "root")
