@@ -34,34 +34,23 @@ CACHED_WORDS = 1 << 18
 SLICE = 1 << 14  # words worked on at once
 START, END = "\x02", "\x03"
 WORD = regex.compile(r"[\p{L}\p{M}]+")
-_MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(31)) * np.uint64(0x7FB5D329728EA185)
-    return x ^ x >> np.uint64(29)
-
-
-FULL, HEAD, TAIL, MID = (0, ORDER, 6), (0, ORDER - 1, 5), (1, ORDER, 15), (1, ORDER - 1, 4)
-
-
-def sequences(words: list[str], *parts: tuple[int, int, int]) -> tuple[np.ndarray, ...]:
-    """For each letter of each word and its end: the word's number, and 64-bit keys
-    of parts of the six symbols up to it: all, the first five, the last five, and the
-    four that both share."""
+def sequences(words: list[str], lower: bool = False) -> tuple[np.ndarray, ...]:
+    """For each letter of each word and its end: the word's number and 64-bit keys of
+    the six symbols up to it and of the first five, or, for ``lower``, of the last
+    five and of the four before the last. A key is a polynomial of the symbols, so
+    one symbol more is one step more."""
     text = "".join([f"{START * (ORDER - 1)}{w}{END}" for w in words])
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     at = np.flatnonzero(codes != ord(START))
     sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), sizes)
-
-    def key(first: int, last: int, tag: int) -> np.ndarray:
-        total = np.full(len(at), tag, np.uint64)
-        for k in range(first, last):
-            total = _mix(total * _MULTIPLIERS[5] + (codes[at - (ORDER - 1) + k] + np.uint64(1)) * _MULTIPLIERS[k - first])
-        return total.view(np.int64)
-
-    return owner, *(key(*p) for p in parts)
+    short = np.zeros(len(at), np.uint64)
+    for back in range(ORDER - 1 - int(lower), 0, -1):
+        short = short * _STEP + codes[at - back]
+    return owner, (short * _STEP + codes[at]).view(np.int64), short.view(np.int64)
 
 
 def words_of(text: str | None) -> set[str]:
@@ -89,11 +78,12 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 seen |= new
             words = list({w for c in new for w in WORD.findall(c)})
             for k in range(0, len(words), SLICE):
-                full, tail, mid = _distinct(sequences(words[k:k + SLICE], FULL, TAIL, MID)[1:])
+                part = words[k:k + SLICE]
+                full, tail, mid = _distinct((sequences(part)[1], *sequences(part, lower=True)[1:]))
                 yield pd.DataFrame({"full": full, "tail": tail, "mid": mid})
 
     types = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInPandas(run, "full bigint, tail bigint, mid bigint").distinct()
-    tails = types.groupBy("tail", "mid").agg(F.count("*").alias("n"))
+    tails = stored(types.groupBy("tail", "mid").agg(F.count("*").alias("n")), "toxicity-tails")
     mids = tails.groupBy("mid").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     return tails.join(mids, "mid").select("tail", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") / ALPHABET) / F.col("total")).alias("shared"))
 
@@ -109,9 +99,10 @@ def class_counts(labelled: DataFrame) -> DataFrame:
                 words = [w for one in own for w in one]
                 if not words:
                     continue
-                owner, full, head, tail = sequences(words, FULL, HEAD, TAIL)
+                owner, full, head = sequences(words)
+                tail = sequences(words, lower=True)[1]
                 row = row[owner]
-                once = _distinct((_mix(full.view(np.uint64) + _mix(row.astype(np.uint64) + np.uint64(1))), full, head, tail, row))
+                once = _distinct((full.view(np.uint64) * _STEP + row.astype(np.uint64), full, head, tail, row))
                 toxic = pdf["toxic"].to_numpy(np.int64)[lo:lo + 64][once[4]]
                 out = pd.DataFrame({"full": once[1], "head": once[2], "tail": once[3], "t": toxic, "o": 1 - toxic})
                 yield out.groupby(["full", "head", "tail"], as_index=False).sum()
@@ -140,7 +131,7 @@ class Model:
         """Length-normalised log-likelihood difference of each word."""
         if not words:
             return np.zeros(0)
-        owner, full, head = sequences(words, FULL, HEAD)
+        owner, full, head = sequences(words)
         known, ratio = self._look_up(self.full, self.ratio, full)
         met, fallback = self._look_up(self.heads, self.fallback, head)
         each = np.where(known, ratio, np.where(met, fallback, 0.0))
@@ -166,6 +157,13 @@ def fit_model(labelled: DataFrame, shared: DataFrame) -> Model:
     return Model(full.toPandas(), back.toPandas())
 
 
+class _Known(dict):
+    """Evidence of the texts between white space met first, and of those of the rows at hand."""
+
+    def __missing__(self, chunk: str) -> float:
+        return self.recent[chunk]
+
+
 def evidence(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
     """Columns ``keep`` with ``raw``: the evidence of the most toxic word of the
     whole text, 0 without words."""
@@ -175,21 +173,21 @@ def evidence(docs: DataFrame, model: Model, keep: list[Column], text: str = "tex
     schema = ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "raw double"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, float] = {}
+        known, none = _Known(), -math.inf
         for pdf in batches:
             raws = []
             for lo in range(0, len(pdf), 256):
                 chunks = [set(t.lower().split()) if t else set() for t in pdf["body"].iloc[lo:lo + 256]]
                 new = list(set().union(*chunks) - known.keys())
                 found = [WORD.findall(c) for c in new]
-                value = dict(zip(*((w := list({x for f in found for x in f})), model_evidence(shared.value, w)), strict=True))
-                fresh_ones = {c: max([value[x] for x in f], default=-math.inf) for c, f in zip(new, found, strict=True)}
-                local = known if len(known) < CACHED_WORDS else fresh_ones
-                if local is known:
-                    known.update(fresh_ones)
+                words = list({x for f in found for x in f})
+                value = dict(zip(words, model_evidence(shared.value, words), strict=True))
+                known.recent = {c: max(map(value.__getitem__, f), default=none) for c, f in zip(new, found, strict=True)}
+                if len(known) < CACHED_WORDS:
+                    known.update(known.recent)
                 for own in chunks:
-                    best = max([known.get(c, -math.inf) if c in known else fresh_ones[c] for c in own], default=-math.inf)
-                    raws.append(best if best > -math.inf else 0.0)
+                    best = max(map(known.__getitem__, own), default=none)
+                    raws.append(best if best > none else 0.0)
             yield pdf[kept].assign(raw=raws)
 
     return source.mapInPandas(run, schema)
