@@ -25,11 +25,11 @@ from rulemill.llm.common import stored
 
 LIST_ROWS = 256  # rows aimed at for a list
 SAMPLE_ROWS = 32_768  # the centroids are fitted on at most so many vectors
-MOST_LISTS = 65_536  # beyond that lists get longer and are cut into blocks
+MOST_LISTS = 65_536  # beyond that lists get longer and are cut into parts
 COPIES = 4  # lists a vector is in, at most
 BORDER = 1.1  # a list takes a vector whose nearest centroid is nearer by this factor at most
 RATIO = 1.13  # a query takes lists up to this factor farther than its nearest
-BLOCK_ROWS = 4_096  # rows of a list that one task scores at once
+BUNDLE_ROWS = 16_384  # rows of near lists, or of a part of a long list, that are scored at once
 NEIGHBOURS = 24  # of a centroid in the graph
 PLACE_BEAM = 16  # centroids kept while a vector's lists are searched
 ASK_BEAM = 64  # the same for a query; doubled until the ratio ends the search
@@ -74,6 +74,41 @@ def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return out
 
 
+def _side_by_side(c: np.ndarray) -> np.ndarray:
+    """An order in which near centroids stand near: halves along the widest axis, again and again."""
+    out, todo = [], [np.arange(len(c))]
+    while todo:
+        part = todo.pop()
+        if len(part) <= 2:
+            out += part.tolist()
+            continue
+        axis = int(np.argmax(c[part].var(0)))
+        part = part[np.argsort(c[part, axis], kind="stable")]
+        todo += [part[len(part) // 2:], part[:len(part) // 2]]
+    return np.array(out, np.int64)
+
+
+class Bundles:
+    """Which lists are scored together: neighbours in number, up to BUNDLE_ROWS rows;
+    a longer list stands alone in several parts. As large as the number of lists."""
+
+    def __init__(self, sizes: np.ndarray, rows: int = BUNDLE_ROWS):
+        self.of, self.parts = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+        bundle, held = 0, 0
+        for k, n in enumerate(sizes.tolist()):
+            if held and held + n > rows:
+                bundle, held = bundle + 1, 0
+            self.of[k], self.parts[k], held = bundle, max(1, -(-n // rows)), held + n
+
+    def ask(self, lists: np.ndarray) -> list[tuple[int, int, list[int]]]:
+        """(bundle, part, lists) that together hold these lists."""
+        out: dict[tuple[int, int], list[int]] = {}
+        for k in lists.tolist():
+            for part in range(int(self.parts[k])):
+                out.setdefault((int(self.of[k]), part), []).append(k)
+        return [(b, p, ks) for (b, p), ks in out.items()]
+
+
 class CentroidGraph:
     """Centroids, the nearest others of each, and entry points; as large as the
     number of lists, which is bounded."""
@@ -123,7 +158,8 @@ def fit(vectors: DataFrame, list_rows: int = LIST_ROWS, sample: int = SAMPLE_ROW
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()
     x = _raised(np.stack(rows["v"].to_numpy()).astype(np.float64), stats["longest"])
     lists = int(min(max(1, round(stats["n"] / list_rows)), MOST_LISTS, max(1, len(x) // 4)))
-    return CentroidGraph(_kmeans(x, lists)), float(stats["longest"])
+    c = _kmeans(x, lists)
+    return CentroidGraph(c[_side_by_side(c)]), float(stats["longest"])
 
 
 def _raised(x: np.ndarray, longest: float) -> np.ndarray:
@@ -166,63 +202,77 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, ratio: float = R
                 to += chosen.tolist()
             yield pd.DataFrame({"list": to, "id": pdf["id"].to_numpy()[rows], "v": pdf["v"].to_numpy()[rows]})
 
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = shared.value
+    postings = stored(heads.mapInPandas(place, "list int, id long, v array<double>"), "ann-postings")
+    sizes = np.zeros(lists, np.int64)
+    for row in postings.groupBy("list").count().collect():
+        sizes[row["list"]] = row["count"]
+    bundles = spark.sparkContext.broadcast(Bundles(sizes))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        x = bundles.value
         for pdf in batches:
-            rows, to = [], []
-            for row, v in enumerate(pdf["v"]):
-                beam = ASK_BEAM
-                found, far = g.search(np.append(v, 0.0), beam)
-                while len(found) == beam and far[-1] <= far[0] * ratio:
-                    beam *= 2
-                    found, far = g.search(np.append(v, 0.0), beam)
-                chosen = found[far <= far[0] * ratio + 1e-12]
-                rows += [row] * len(chosen)
-                to += chosen.tolist()
-            yield pd.DataFrame({"list": to, "query_id": pdf["id"].to_numpy()[rows], "q": pdf["v"].to_numpy()[rows]})
-
-    postings = stored(heads.mapInPandas(place, "list int, id long, v array<double>")
-                      .withColumn("block_seed", F.pmod(F.xxhash64("id"), F.lit(1 << 20))), "ann-postings")
-    blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    cut = postings.join(blocks, "list").select("list", (F.col("block_seed") % F.col("blocks")).cast("int").alias("block"), "id", "v")
-    asked = stored(queries.dropDuplicates(["id"]).mapInPandas(choose, "list int, query_id long, q array<double>"), "ann-asked")
-    first = _score(_ask(asked, blocks), cut, k)
-    best = stored(_best(first, alike, k), "ann-first")
-    short = queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")).dropDuplicates(["query_id"])
+            list_, mark = pdf["list"].to_numpy(), pdf["mark"].to_numpy()
+            yield pdf[["list", "id", "v"]].assign(bundle=x.of[list_], part=mark % x.parts[list_])
+
+    cut = postings.withColumn("mark", F.pmod(F.xxhash64("id"), F.lit(1 << 40))).mapInPandas(deal, "bundle long, part long, list int, id long, v array<double>")
+
+    def ask(everything: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            g, x = shared.value, bundles.value
+            for pdf in batches:
+                out = []
+                for query, v in zip(pdf["id"], pdf["v"], strict=True):
+                    found = np.arange(lists) if everything else _near_lists(g, np.append(v, 0.0), ratio)
+                    out += [(b, p, query, v, ks) for b, p, ks in x.ask(np.sort(found))]
+                yield pd.DataFrame(out, columns=["bundle", "part", "query_id", "q", "lists"])
+        return run
+
+    asked_schema = "bundle long, part long, query_id long, q array<double>, lists array<int>"
+    once = queries.dropDuplicates(["id"])
+    best = stored(_best(_score(once.mapInPandas(ask(False), asked_schema), cut, k), alike, k), "ann-first")
     counts = best.groupBy("query_id").count()
-    short = short.join(counts, "query_id", "left").where(F.coalesce("count", F.lit(0)) < k).select("query_id", "q")
-    everywhere = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1)))).select("list", "query_id", "q")
-    rest = _best(_score(_ask(everywhere, blocks), cut, k), alike, k)
-    whole = best.join(short.select("query_id"), "query_id", "left_anti").unionByName(rest.select(best.columns))
+    short = stored(once.join(counts, once["id"] == counts["query_id"], "left").where(F.coalesce("count", F.lit(0)) < k).select("id", "v"), "ann-short")
+    rest = _best(_score(short.mapInPandas(ask(True), asked_schema), cut, k), alike, k)
+    whole = best.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(rest.select(best.columns))
     return whole.select("query_id", "rank", "vec_id", "score")
 
 
-def _ask(asked: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Queries by list and block."""
-    return asked.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("list", "block", "query_id", "q")
+def _near_lists(graph: CentroidGraph, q: np.ndarray, ratio: float) -> np.ndarray:
+    """Lists whose centroid is at most ``ratio`` times as far as the nearest one."""
+    beam = ASK_BEAM
+    found, far = graph.search(q, beam)
+    while len(found) == beam and far[-1] <= far[0] * ratio:
+        beam *= 2
+        found, far = graph.search(q, beam)
+    return found[far <= far[0] * ratio + 1e-12]
 
 
 def _score(asked: DataFrame, postings: DataFrame, k: int) -> DataFrame:
-    """The best of each query in each block: at most k + 1 vectors."""
+    """The best of each query in each bundle: at most k + 1 different vectors."""
 
     def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
             return pd.DataFrame({"query_id": [], "head": [], "score": []})
-        ids, x = p["id"].to_numpy(), np.stack(p["v"].to_numpy())
-        order = np.argsort(ids, kind="stable")
-        ids, x = ids[order], x[order]
+        order = np.lexsort((p["id"].to_numpy(), p["list"].to_numpy()))
+        ids, owner, x = p["id"].to_numpy()[order], p["list"].to_numpy()[order], np.stack(p["v"].to_numpy()[order])
         out = []
-        for lo in range(0, len(q), 512):
-            own = np.stack(q["q"].iloc[lo:lo + 512].to_numpy())
-            near = own @ x.T
-            for row, query in enumerate(q["query_id"].iloc[lo:lo + 512]):
-                close = np.arange(len(x)) if len(x) <= k + 1 else np.flatnonzero(near[row] >= np.partition(near[row], -(k + 1))[-(k + 1)] - 1e-9 * np.abs(near[row]).max())
-                scores = exact(own[row], x[close])
-                best = np.argsort(-scores, kind="stable")[:k + 1]
-                out.append((np.full(len(best), query), ids[close[best]], scores[best]))
-        return pd.DataFrame(dict(zip(("query_id", "head", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
-
-    return asked.groupBy("list", "block").cogroup(postings.groupBy("list", "block")).applyInPandas(run, "query_id long, head long, score double")
+        for query, v, lists in zip(q["query_id"], q["q"], q["lists"], strict=True):
+            low, high = np.searchsorted(owner, lists), np.searchsorted(owner, lists, "right")
+            rows = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])
+            rows = rows[np.unique(ids[rows], return_index=True)[1]]  # copies on the border once, by id
+            if not len(rows):
+                continue
+            near = x[rows] @ v
+            if len(rows) > k + 1:
+                close = near >= np.partition(near, -(k + 1))[-(k + 1)] - 1e-9 * np.abs(near).max()
+                rows = rows[close]
+            scores = exact(v, x[rows])
+            best = np.argsort(-scores, kind="stable")[:k + 1]
+            out.append((np.full(len(best), query), ids[rows[best]], scores[best]))
+        columns = map(np.concatenate, zip(*out, strict=True)) if out else ([], [], [])
+        return pd.DataFrame(dict(zip(("query_id", "head", "score"), columns, strict=True)))
+
+    return asked.groupBy("bundle", "part").cogroup(postings.groupBy("bundle", "part")).applyInPandas(run, "query_id long, head long, score double")
 
 
 def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
