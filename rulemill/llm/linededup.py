@@ -11,8 +11,8 @@ the interval of all suffixes, intervals are narrowed by falling powers of two: t
 that share the next power of lines, by their ranks there, form an inner interval, and
 the earliest of them stays behind for the others. A suffix that is not the earliest
 of an interval of n common lines begins a run of n lines that stands earlier in the corpus. The
-longest such run of each suffix is maximal; if it has enough words, its lines are
-deleted, so that the first copy of every line stays.
+longest such run of each suffix is maximal; its lines are deleted, however short it
+is, so that the first copy of every line stays.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rulemill.llm.common import discard, partitions, stored
 
-MIN_WORDS = 10  # of a run
+MIN_WORDS = 1  # of a run; every line has one at least, so no run is too short
 
 
 def text_hash(body: Column) -> Column:
@@ -159,8 +159,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
     """All columns of ``docs``, the text without its deleted lines, and two columns
     ``_lines`` and ``_deleted`` with the number of non-blank lines there were and of those deleted.
 
-    Of every run of lines of at least ``min_words`` words the copy in the smallest id
-    stays (null ids last; of one id with several texts by a hash of the text).
+    Of every run of lines the copy in the smallest id stays (null ids last; of one id
+    with several texts by a hash of the text). A caller's larger ``min_words`` leaves the later
+    copies of runs of fewer words as well.
     Lines are compared without white space at their ends; blank lines are no lines
     and stay where they are. Null and empty texts are returned as they are. Rows
     alike in id and text stand for one document and are treated alike. Very long texts are sequences like any

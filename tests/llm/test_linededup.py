@@ -78,6 +78,22 @@ def test_odd_rows(spark):
     assert linededup.dedup(docs_of(spark, [])).collect() == []
 
 
+def test_short_runs_go_by_default(spark):
+    hot, word = "nine words of boilerplate that many documents hold again", "menu"
+    rows = [(k, f"own line {k}\n{hot}\nother line {k}\n{word}\n  {word}") for k in range(30)]
+    out = linededup.dedup(docs_of(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=repr) == by_pairs(rows, 1)
+    assert sum(hot in r["text"] for r in out) == sum(word in r["text"] for r in out) == 1
+    assert sum(r["_deleted"] for r in out) == 29 * 3 + 1
+
+
+def test_query_keeps_one_copy_of_each_line(spark, sf):
+    rows = {(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    lines = [x.strip() for _, t in rows for x in (t or "").split("\n") if x.strip()]
+    out = linededup.dedup(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").distinct())
+    assert out.groupBy().sum("_deleted").collect()[0][0] == len(lines) - len(set(lines)) > 0
+
+
 def test_query(spark, sf):
     rows = queries.QUERIES["op3_line_dedup"](spark, sf).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
