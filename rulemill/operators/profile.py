@@ -85,6 +85,11 @@ def _orderable(f: T.StructField) -> bool:
                                    T.TimestampNTZType, T.BooleanType))
 
 
+def _no_order() -> list[Column]:
+    """Distinct values, minimum, maximum and mean of a column whose values have no order."""
+    return [F.lit(None)] * 4
+
+
 def _profile_row(table_name: str, f: T.StructField, n_rows: Column, n_values: Column, n_distinct: Column,
                  low: Column, high: Column, mean: Column) -> list[Column]:
     numeric = isinstance(f.dataType, T.NumericType)
@@ -103,25 +108,29 @@ def profile(df: DataFrame, table_name: str, approx: bool = True) -> DataFrame:
     By default one aggregate pass with a sketch for the distinct values. The
     exact form reads each column on its own and counts its values, so repeated
     values shrink before the shuffle and no row is multiplied by the number of
-    columns.
+    columns. Of arrays and other types without an order only nulls are counted.
     """
-    fields = [f for f in df.schema.fields if _orderable(f)]
+    fields = df.schema.fields
     if not approx:
         return reduce(DataFrame.unionByName, [_exact_profile(df, table_name, f) for f in fields])
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for f in fields:
         c = f.name
-        aggs += [F.count(c).alias(f"{c}__n"), F.approx_count_distinct(c).alias(f"{c}__d"),
-                 F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
+        aggs.append(F.count(c).alias(f"{c}__n"))
+        if _orderable(f):
+            aggs += [F.approx_count_distinct(c).alias(f"{c}__d"), F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
         if isinstance(f.dataType, T.NumericType):
             aggs.append(F.avg(c).alias(f"{c}__avg"))
     entries = F.array(*[F.struct(*_profile_row(
-        table_name, f, F.col("_rows"), F.col(f"{f.name}__n"), F.col(f"{f.name}__d"), F.col(f"{f.name}__min"),
-        F.col(f"{f.name}__max"), F.col(f"{f.name}__avg"))) for f in fields])
+        table_name, f, F.col("_rows"), F.col(f"{f.name}__n"), *([F.col(f"{f.name}__{x}") for x in ("d", "min", "max", "avg")]
+                                                                if _orderable(f) else _no_order()))) for f in fields])
     return df.agg(*aggs).select(F.inline(entries))
 
 
 def _exact_profile(df: DataFrame, table_name: str, f: T.StructField) -> DataFrame:
+    if not _orderable(f):
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"), F.count(f.name).alias("_values"))
+        return counts.select(*_profile_row(table_name, f, F.col("_rows"), F.col("_values"), *_no_order()))
     value, zero = F.col(f.name), F.lit(0).cast("bigint")
     present = F.when(value.isNotNull(), F.col("_n"))
     aggs = [F.coalesce(F.sum("_n"), zero).alias("_rows"), F.coalesce(F.sum(present), zero).alias("_values"),

@@ -11,12 +11,19 @@ from rulemill.sources.tables import load
 
 
 def profile_sql(table: str, columns: dict[str, str]) -> str:
-    """Profile rows per column; kinds are int, double, text and time."""
+    """Profile rows per column; kinds are int, double, text, time and array, of which only nulls are counted."""
     shown = {"int": "CAST({f} AS VARCHAR)", "text": "{f}",
              "double": "CAST(CAST(round({f}, 6) AS DECIMAL(30,6)) AS VARCHAR)",
              "time": "strftime({f}, '%Y-%m-%d %H:%M:%S')"}
     parts = []
     for c, kind in columns.items():
+        if kind == "array":
+            parts.append(f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows,
+            count(*) - count({c}) AS n_nulls,
+            round(CAST(count(*) - count({c}) AS DOUBLE) / count(*), 6) AS null_rate,
+            CAST(NULL AS BIGINT) AS n_distinct, CAST(NULL AS VARCHAR) AS min_value,
+            CAST(NULL AS VARCHAR) AS max_value, CAST(NULL AS DOUBLE) AS mean FROM {table}""")
+            continue
         mean = f"round(avg({c}), 4)" if kind in ("int", "double") else "CAST(NULL AS DOUBLE)"
         parts.append(f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows,
             count(*) - count({c}) AS n_nulls,
@@ -38,6 +45,15 @@ TABLE_COLUMNS = {
                "o_orderdate": "time", "o_orderpriority": "text"},
     "events": {"event_id": "int", "ts": "time", "user_id": "int", "event_type": "text", "value": "double",
                "props": "text"},
+    "lineitem": {"l_orderkey": "int", "l_partkey": "int", "l_suppkey": "int", "l_linenumber": "int",
+                 "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+                 "l_returnflag": "text", "l_linestatus": "text", "l_shipdate": "time"},
+    "documents": {"doc_id": "int", "text": "text", "lang": "text", "source": "text", "n_chars": "int"},
+    "pages": {"page_id": "int", "url": "text", "html": "text"},
+    "embeddings": {"vec_id": "int", "embedding": "array", "label": "int"},
+    "benchmark": {"item_id": "int", "text": "text"},
+    "labels": {"doc_id": "int", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "int", "turn": "int", "role": "text", "text": "text"},
 }
 
 _ORDER_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),

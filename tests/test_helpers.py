@@ -87,3 +87,22 @@ def test_exact_quantiles_of_null_keys_nan_and_empty_groups(spark):
     none = exact_quantiles(df.limit(0), ["v"], [0.5]).collect()
     assert [tuple(r) for r in none] == [("v", 0.5, None)]
     assert exact_quantiles(df.limit(0), ["v"], [0.5], ("g",)).collect() == []
+
+
+def test_profiles_count_nulls_of_arrays(spark):
+    from rulemill.operators import profile as pf
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (2, []), (4, None)], "id int, v array<double>")
+    for approx in (True, False):
+        got = {r["column_name"]: r for r in pf.profile(df, "t", approx).collect()}
+        assert set(got) == {"id", "v"} and got["id"]["n_distinct"] == 3 and got["id"]["max_value"] == "4"
+        assert (got["v"]["n_rows"], got["v"]["n_nulls"], got["v"]["null_rate"]) == (4, 2, 0.5)
+        assert all(got["v"][c] is None for c in ("n_distinct", "min_value", "max_value", "mean"))
+
+
+def test_catalogue_has_all_columns_of_all_tables(spark, sf):
+    import os
+    from rulemill.plans.profiling import TABLE_COLUMNS
+    tables = {f.removesuffix(".parquet") for f in os.listdir(sf) if f.endswith(".parquet")}
+    assert tables == set(TABLE_COLUMNS) and len(tables) == 14
+    for t in tables:
+        assert spark.read.parquet(f"{sf}/{t}.parquet").columns == list(TABLE_COLUMNS[t])
