@@ -7,8 +7,11 @@ and walks that an edit has parted tend to meet again, so a small edit distance
 becomes a small Hamming distance. Each repetition has a walk and a sample of its
 places; two stretches whose samples are equal are candidates. Items are embedded
 from every word on, so an edited passage is found from any stretch of it that is
-whole, and the place says where its item-sized window begins. Windows are verified
-by their exact edit distance in words.
+whole, and the place says where its item-sized window begins. A walk is 18 steps, some
+9 words, long: an edited copy of a short item often has no whole stretch of that length.
+Items of fewer than EXACT_WORDS words are therefore looked for by pieces: cut into one piece
+more than edits are allowed, an item has at least one piece that no edit touches, so its
+candidates are complete. Windows are verified by their exact edit distance in words.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from rulemill.llm.words import Vocabulary
 
 STEPS = 18
 SAMPLED = 9  # places of a walk, the first among them
-REPETITIONS = 8  # of walk and sample: recall of passages with a fifth of their words edited is above 0.99
+REPETITIONS = 8  # of walk and sample
+EXACT_WORDS = 40  # items of fewer are found by pieces, longer ones by walks
 EDITS = 0.2  # edited words, of an item's words
 SLICE_WORDS = 1 << 20
 SEED = 4_001
@@ -33,7 +37,7 @@ SEED = 4_001
 class Items:
     """The benchmark's index; as large as the benchmark."""
 
-    def __init__(self, ids: list, texts: list[str], repetitions: int = REPETITIONS, edits: float = EDITS):
+    def __init__(self, ids: list, texts: list[str], repetitions: int = REPETITIONS, edits: float = EDITS, exact_words: int = EXACT_WORDS):
         self.ids, self.repetitions = ids, repetitions
         self.words = Vocabulary(texts)
         self.bound = [int(edits * len(w)) for w in self.words.texts]
@@ -54,11 +58,30 @@ class Items:
             self.keys.append(key[order])
             self.anchors.append(np.stack([owner[at], place[at]], 1).astype(np.int64)[order])
             covered[owner[at].astype(int)] = True
-        # Items too short for a walk are looked for from their first word.
-        short = [(int(w[0]), k) for k, w in enumerate(self.words.texts) if len(w) and not covered[k]]
-        short.sort()
-        self.keys.append(np.array([w for w, _ in short], np.int64))
-        self.anchors.append(np.array([(k, 0) for _, k in short], np.int64).reshape(-1, 2))
+        # Pieces of the items that are short, or that no walk covers, by the pieces' length.
+        cuts: dict[int, list[tuple[int, int, int]]] = {}
+        for k, w in enumerate(self.words.texts):
+            if len(w) and (len(w) < exact_words or not covered[k]):
+                ends = [len(w) * x // (self.bound[k] + 1) for x in range(self.bound[k] + 2)]
+                for low, high in zip(ends, ends[1:]):
+                    if high > low:
+                        cuts.setdefault(high - low, []).append((int(self.spans(w, np.array([low]), high - low)[1][0]), k, low))
+        self.lengths = sorted(cuts)
+        for length in self.lengths:
+            rows = np.array(sorted(cuts[length]), np.int64)
+            self.keys.append(rows[:, 0])
+            self.anchors.append(rows[:, 1:])
+
+    @staticmethod
+    def spans(words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places from which ``length`` known words follow, and the key of these."""
+        at = at[at + length <= len(words)]
+        key = np.zeros(len(at), np.int64)
+        for step in range(length):
+            seen = words[at + step]
+            at, key, seen = at[seen > 0], key[seen > 0], seen[seen > 0]
+            key = key * np.int64(0x100000001B3) + seen  # wraps
+        return at, key
 
     def walk(self, words: np.ndarray, at: np.ndarray, repetition: int) -> tuple[np.ndarray, np.ndarray]:
         """Places from which a walk samples known words only, and its sample's key."""
@@ -79,7 +102,7 @@ class Items:
         for r, (keys, anchors) in enumerate(zip(self.keys, self.anchors, strict=True)):
             if not len(keys):
                 continue
-            at, key = self.walk(words, known, r) if r < self.repetitions else (known, words[known].astype(np.int64))
+            at, key = self.walk(words, known, r) if r < self.repetitions else self.spans(words, known, self.lengths[r - self.repetitions])
             low = np.searchsorted(keys, key)
             hit = keys[np.minimum(low, len(keys) - 1)] == key
             at, low, high = at[hit], low[hit], np.searchsorted(keys, key[hit], "right")
@@ -172,8 +195,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     """(doc_id, item_id, distance, item_words, first_word, words) of every near copy.
 
     A copy is a stretch of words within ``edits`` x the item's words of edit distance,
-    rounded down; so items of few words must occur exactly. Letter case of A-Z and
-    punctuation do not count. Null and empty texts have none, very long ones are read
+    rounded down; so items of fewer than five words must occur exactly. All copies of
+    items of fewer than EXACT_WORDS words are found; of longer ones those that a walk
+    meets. Letter case of A-Z and punctuation do not count. Null and empty texts have none, very long ones are read
     whole, repeated rows are reported each, equal items as well; an empty benchmark
     finds nothing. Other columns are dropped, so none can clash.
     """

@@ -50,6 +50,21 @@ def test_finds_edited_passages_and_nothing_else(spark):
     assert got - want <= {(i, k) for i, k in got if nearest(split_words(item_texts[k]), split_words(texts[i])) <= 0.2 * len(split_words(item_texts[k]))}
 
 
+def test_copies_at_the_bound_are_found_at_every_length():
+    rng = random.Random(12)
+    word = lambda of: f"{of}{rng.randrange(3000)}"
+    for n in [*range(1, 21), 25, 30, 39, 40, 60]:
+        items, copies = [[word("w") for _ in range(n)] for _ in range(80)], []
+        for k, words in enumerate(items):
+            words, e = list(words), int(0.2 * n)
+            for at in [int((x + 0.5) * n / e) for x in range(e)] if k % 2 else rng.sample(range(n), e):
+                words[at] = word("z")
+            copies.append(" ".join([*(word("u") for _ in range(20)), *words, *(word("u") for _ in range(20))]))
+        found = decontaminate.Items(list(range(80)), [" ".join(x) for x in items]).find(copies)
+        got = len({f[0] for f in found if f[0] == f[1]})
+        assert got == 80 if n < decontaminate.EXACT_WORDS else got >= 79, n
+
+
 def test_short_items_must_occur_exactly(spark):
     items = spark.createDataFrame([(1, "red fox"), (2, "blue"), (3, None), (4, ""), (5, "...")], "item_id long, text string")
     docs = docs_of(spark, [(1, "the Red, fox runs"), (2, "the red dog, a fox"), (3, "BLUE")])
