@@ -102,3 +102,29 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.llm import linededup
     out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_deleted").alias("n_deleted"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import exactdedup
+    return exactdedup.copies(table(spark, sf_dir, "documents"))
+
+
+CHECKS["op11_exact"] = """
+    WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           row_number() OVER (PARTITION BY h ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, h AS text_sha256
+    FROM d WINDOW w AS (PARTITION BY h)"""
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import repair
+    out = repair.digests(repair.repair(repair.damage(table(spark, sf_dir, "conversations"))))
+    return out.withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rulemill.llm import centroids
+    return centroids.report(table(spark, sf_dir, "embeddings"))
