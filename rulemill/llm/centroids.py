@@ -50,9 +50,10 @@ class Bisectors:
 
     def __init__(self, centroids: list[list[int]]):
         k = len(centroids)
-        self.centroids = np.array(centroids, object).reshape(k, -1)
+        size = len(centroids[0]) if k else 0
+        self.centroids = np.array(centroids, object).reshape(k, size)
         squares = [sum(v * v for v in c) for c in centroids]
-        self.normals = np.array([[[2 * (q - p) for p, q in zip(a, b, strict=True)] for b in centroids] for a in centroids], object).reshape(k, k, -1)
+        self.normals = np.array([[[2 * (q - p) for p, q in zip(a, b, strict=True)] for b in centroids] for a in centroids], object).reshape(k, k, size)
         self.thresholds = np.array([[squares[b] - squares[a] for b in range(k)] for a in range(k)], object)
         self.most = max([1, *(abs(int(v)) for v in self.normals.flat), *(abs(int(v)) for v in self.centroids.flat)])
 
