@@ -3,207 +3,59 @@
 Spark's analyser accepts far more than a row check: aggregates, subqueries and
 calls into the JVM all analyse as Boolean. So a rule may only be built from
 known columns, literals, a short list of operators and a fixed list of
-functions; the analyser then confirms that it is Boolean over an empty frame.
-Under ANSI rules a bad implicit cast or a division by zero stops the whole job,
-so text compared with numbers, plain division and plain casts are refused too.
+functions, read into a typed tree (``functions.expressions``); the analyser then confirms that it is
+Boolean over an empty frame. Under ANSI rules a bad implicit cast, an overflow or a division by zero stops the
+whole job, so operands of different families, plain division and plain casts are refused, and
+arithmetic is accepted in its ``try_`` form: where it overflows, the rule is unknown.
 """
 
 from __future__ import annotations
 
-import re
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rulemill.functions.expressions import CAST_TYPES, FUNCTIONS, KEYWORDS, Refused, parse, safe_text, tokens
 from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR, Rule, predicate
 
-_TOKEN = re.compile(r"""
-    (?P<space>\s+)
-  | (?P<text>[rR]?'(?:[^']|'')*')
-  | (?P<number>\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)
-  | (?P<quoted>`[^`]+`)
-  | (?P<name>[A-Za-z_]\w*)
-  | (?P<op><=|>=|<>|!=|==|=|<|>|\+|-|\*|\(|\)|,)
-""", re.X)
-
-_KEYWORDS = {
-    "and", "or", "not", "in", "between", "is", "null", "like", "rlike", "true", "false",
-    "case", "when", "then", "else", "end", "as", "date", "timestamp",
-}
-_TYPES = {"double", "float", "int", "bigint", "string", "boolean", "date", "timestamp"}
-_FUNCTIONS = {
-    "abs", "coalesce", "nullif", "length", "char_length", "lower", "upper", "trim", "ltrim", "rtrim",
-    "substring", "left", "right", "startswith", "endswith", "contains", "concat", "regexp_like",
-    "round", "floor", "ceil", "greatest", "least", "isnull", "isnotnull", "isnan", "year", "month",
-    "day", "datediff", "date_add", "date_sub", "try_cast", "try_add", "try_subtract", "try_multiply",
-    "try_divide",
-}
-# What a call gives; of the others the family of the first argument.
-_RESULTS = {
-    "number": {"abs", "length", "char_length", "round", "floor", "ceil", "year", "month", "day", "datediff",
-               "try_add", "try_subtract", "try_multiply", "try_divide"},
-    "text": {"lower", "upper", "trim", "ltrim", "rtrim", "substring", "left", "right", "concat"},
-    "boolean": {"startswith", "endswith", "contains", "regexp_like", "isnull", "isnotnull", "isnan"},
-    "time": {"date_add", "date_sub"},
-}
-_SAME = {"coalesce", "nullif", "greatest", "least"}
-_COMPARISONS = {"=", "==", "<>", "!=", "<", "<=", ">", ">=", "like", "rlike"}
-_ARITHMETIC = {"+", "-", "*"}
-
-
-def _tokens(text: str) -> list[tuple[str, str]] | None:
-    out, at = [], 0
-    while at < len(text):
-        m = _TOKEN.match(text, at)
-        if not m:
-            return None
-        if m.lastgroup != "space":
-            out.append((m.lastgroup, m.group()))
-        at = m.end()
-    return out
-
-
-def _family(kind: str, word: str, types: dict[str, T.DataType]) -> str | None:
-    if kind == "number":
-        return "number"
-    if kind == "text":
-        return "text literal"
-    if kind in ("name", "quoted"):
-        dtype = types.get(word.strip("`").lower())
-        if isinstance(dtype, T.NumericType):
-            return "number"
-        if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return "time"
-        if isinstance(dtype, T.StringType):
-            return "text"
-        if isinstance(dtype, T.BooleanType):
-            return "boolean"
-        if dtype is not None:
-            return "other"
-    return None
-
-
-def _close(toks: list[tuple[str, str]], at: int, step: int) -> int:
-    """The place of the bracket that matches the one at ``at``."""
-    depth = 0
-    while 0 <= at < len(toks):
-        depth += {"(": 1, ")": -1}.get(toks[at][1], 0) if toks[at][0] == "op" else 0
-        if depth == 0:
-            return at
-        at += step
-    return at
-
-
-def _operand(toks: list[tuple[str, str]], at: int, step: int, types: dict[str, T.DataType]) -> str | None:
-    """Family of the operand that begins (or, going left, ends) at ``at``; null where
-    it cannot be told from the text."""
-    if not 0 <= at < len(toks):
-        return None
-    kind, word = toks[at]
-    if word == ")" and step < 0:
-        start = _close(toks, at, -1)
-    elif word == "(" or kind == "name" and at + 1 < len(toks) and toks[at + 1][1] == "(" and step > 0:
-        start = at if word == "(" else at + 1
-    else:
-        return _family(kind, word, types)
-    name = toks[start - 1][1].lower() if start > 0 and toks[start - 1][0] == "name" and toks[start - 1][1].lower() not in _KEYWORDS else ""
-    end = _close(toks, start, 1)
-    if name == "try_cast":
-        return {"string": "text", "boolean": "boolean", "date": "time", "timestamp": "time"}.get(toks[end - 1][1].lower(), "number")
-    for family, names in _RESULTS.items():
-        if name in names:
-            return family
-    inner = toks[start + 1:end]
-    if not name and any(k == "op" and w in _ARITHMETIC for k, w in inner) and not any(w.lower() in _COMPARISONS for _, w in inner):
-        return "number"
-    return _operand(toks, start + 1, 1, types) if name in _SAME or len(inner) == 1 else None
-
-
-def _arguments(toks: list[tuple[str, str]], start: int) -> list[int]:
-    """Where the arguments of a call begin whose bracket is at ``start``."""
-    end, depth, out = _close(toks, start, 1), 0, [start + 1]
-    for k in range(start + 1, end):
-        depth += {"(": 1, ")": -1}.get(toks[k][1], 0) if toks[k][0] == "op" else 0
-        if depth == 0 and toks[k][1] == ",":
-            out.append(k + 1)
-    return out
-
-
-def _pattern_reason(token: tuple[str, str]) -> str | None:
-    """A pattern must be a literal that Java compiles."""
+
+def _compiles(pattern: str) -> bool:
+    """Does Java compile the pattern?"""
     from pyspark import SparkContext
-    if token[0] != "text":
-        return "pattern is not a literal"
-    text = token[1].lstrip("rR")[1:-1].replace("''", "'")
     try:
-        SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(text)
+        SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(pattern)
     except Exception:
-        return "malformed pattern"
-    return None
-
-
-def _mixes(a: str | None, b: str | None) -> bool:
-    if a is None or b is None or "other" in (a, b):
         return False
-    a, b = (x.replace("text literal", "text") for x in (a, b))
-    return a != b
+    return True
 
 
-def _reason(text: str, types: dict[str, T.DataType]) -> str | None:
-    """Why the text is refused, or None."""
-    if "--" in text or "/*" in text or "\\'" in text:
-        return "comment or escaped quote"
-    toks = _tokens(text)
-    if toks is None:
-        return "character not allowed"
+def _check_names(toks: list[tuple[str, str]], types: dict[str, T.DataType]) -> None:
+    """Refuses names that are neither columns nor listed, wherever they stand."""
     for i, (kind, word) in enumerate(toks):
-        low = word.lower()
-        nxt = toks[i + 1] if i + 1 < len(toks) else ("", "")
-        prev = toks[i - 1] if i else ("", "")
-        if kind == "name":
-            is_call = nxt[1] == "(" and low not in ("in", "and", "or", "not", "when", "then", "else",
-                                                    "between", "like", "rlike")
-            if is_call and low not in _FUNCTIONS:
-                return f"function not allowed: {low}"
-            if not is_call and low in types:
-                pass
-            elif not is_call and low in _TYPES and prev[1].lower() == "as":
-                pass
-            elif not is_call and low not in _KEYWORDS:
-                return f"unknown column: {word}"
+        low, nxt, prev = word.lower(), toks[i + 1][1] if i + 1 < len(toks) else "", toks[i - 1][1].lower() if i else ""
         if kind == "quoted" and low.strip("`") not in types:
-            return f"unknown column: {word.strip('`')}"
-        left, right = _operand(toks, i - 1, -1, types), _operand(toks, i + 1, 1, types)
-        if low in _SAME and nxt[1] == "(":
-            families = {f for f in (_operand(toks, k, 1, types) for k in _arguments(toks, i + 1)) if f}
-            if len({f.replace("text literal", "text") for f in families}) > 1:
-                return f"mixes {' and '.join(sorted(families))}"
-        if low == "rlike" or low == "regexp_like" and nxt[1] == "(":
-            places = [i + 1] if low == "rlike" else _arguments(toks, i + 1)[1:2]
-            bad = _pattern_reason(toks[places[0]]) if places and places[0] < len(toks) else "pattern is not a literal"
-            follows = toks[places[0] + 1][1].lower() if places and places[0] + 1 < len(toks) else ""
-            if bad or follows in ("||", "+"):
-                return bad or "pattern is not a literal"
-        if low in _COMPARISONS or low == "between":
-            time_literal = {left, right} == {"time", "text literal"}
-            if time_literal:
-                literal = nxt[1] if right == "text literal" else prev[1]
-                if not re.fullmatch(r"'\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?'", literal):
-                    return "malformed date literal"
-            elif _mixes(left, right):
-                return f"compares {left} with {right}"
-        if low == "in" and nxt[1] == "(":
-            j = i + 2
-            while j < len(toks) and toks[j][1] != ")":
-                item = _family(*toks[j], types)
-                if _mixes(left, item) and left != "time":
-                    return f"compares {left} with {item}"
-                j += 1
-        if kind == "op" and word in _ARITHMETIC and ({left, right} & {"text", "text literal", "boolean"}):
-            return "arithmetic on text"
-    return None
+            raise Refused(f"unknown column: {word.strip('`')}")
+        if kind != "name" or low in KEYWORDS:
+            continue
+        if nxt == "(":
+            if low not in FUNCTIONS:
+                raise Refused(f"function not allowed: {low}")
+        elif low not in types and not (low in CAST_TYPES and prev == "as"):
+            raise Refused(f"unknown column: {word}")
+
+
+def read_rule(text: str, types: dict[str, T.DataType]) -> str:
+    """The text to run, or ``Refused``."""
+    if "--" in text or "/*" in text or "\\'" in text:
+        raise Refused("comment or escaped quote")
+    _check_names(tokens(text), types)
+    node = parse(text, types, _compiles)
+    if node.family not in ("boolean", None):
+        raise Refused("not Boolean")
+    return safe_text(text, node)
 
 
 def _analyser_reason(empty: DataFrame, rule: Rule) -> str | None:
@@ -218,7 +70,8 @@ def _analyser_reason(empty: DataFrame, rule: Rule) -> str | None:
 
 def screen(spark: SparkSession, rules: list[Rule],
            schema: T.StructType) -> tuple[list[Rule], list[tuple[Rule, str]]]:
-    """(accepted, rejected with reason). Only rule text and the schema are looked at."""
+    """(accepted, rejected with reason). Only rule text and the schema are looked at. Accepted
+    rules with arithmetic carry its ``try_`` form as their text."""
     types = {f.name.lower(): f.dataType for f in schema.fields}
     empty = spark.createDataFrame([], schema)
     accepted, rejected = [], []
@@ -230,7 +83,11 @@ def screen(spark: SparkSession, rules: list[Rule],
         elif rule.column != CROSS_COLUMN and rule.column.lower() not in types:
             reason = f"unknown column: {rule.column}"
         else:
-            reason = _reason(rule.rule, types) or _analyser_reason(empty, rule)
+            try:
+                rule = replace(rule, rule=read_rule(rule.rule, types))
+                reason = _analyser_reason(empty, rule)
+            except Refused as e:
+                reason = str(e)
         if reason:
             rejected.append((rule, reason))
         else:

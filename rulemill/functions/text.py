@@ -22,6 +22,12 @@ def squeeze(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(col), "[ \\t\\r\\n]+", " "))
 
 
+def squeeze_code(col: Column) -> Column:
+    """``squeeze``, but quoted text keeps its case and its blanks."""
+    parts = F.transform(F.split(col, "'"), lambda x, i: F.when(i % 2 == 1, x).otherwise(F.regexp_replace(F.lower(x), "[ \\t\\r\\n]+", " ")))
+    return F.trim(F.array_join(parts, "'"))
+
+
 def fingerprint(col: Column, length: int = 12) -> Column:
     """Leading hex digits of SHA-256."""
     return F.substring(F.sha2(col, 256), 1, length)

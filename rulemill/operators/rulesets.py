@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR
-from rulemill.functions.text import squeeze, strip_fence
+from rulemill.functions.text import squeeze_code, strip_fence
 
 
 def parse_responses(df: DataFrame, raw_col: str) -> DataFrame:
@@ -59,12 +59,13 @@ def combine(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def novel_rules(new: DataFrame, known: DataFrame) -> DataFrame:
-    """Rules of ``new`` that no known rule covers, one row per normalised text.
+    """Rules of ``new`` whose text no known rule has, one row per normalised text, in
+    which quoted text keeps its case. ``coverage.coverage`` compares what rules find instead.
 
     Both sides shrink to distinct keys before they meet.
     """
     def keyed(df):
-        return df.select(F.lower("column").alias("column_key"), squeeze(F.col("rule")).alias("rule_key"), "rule")
+        return df.select(F.lower("column").alias("column_key"), squeeze_code(F.col("rule")).alias("rule_key"), "rule")
 
     fresh = (keyed(new).groupBy("column_key", "rule_key")
              .agg(F.min("rule").alias("rule"), F.count(F.lit(1)).alias("n_proposals")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR, Rule
 from rulemill.functions.screening import screening_report
 from rulemill.operators import evaluate as ev
+from rulemill.operators import mutation
 from rulemill.operators.mining import check_reference, check_unique, phrase_rules
 from rulemill.plans.catalog import query
 from rulemill.plans.sales_sql import (
@@ -246,6 +247,38 @@ def defect_recall(spark, sf_dir):
     return ev.recall(_injected(spark, sf_dir), SALES_RULES, _CAUGHT_BY)
 
 
+# Rules that both engines read alike, changed one place at a time.
+_MUTATED = [
+    Rule("quantity", "quantity", "quantity BETWEEN 1 AND 50"),
+    Rule("price", CROSS_COLUMN, "discount_price IS NULL OR discount_price <= original_price"),
+    Rule("status", "status", "status IN ('completed', 'pending', 'shipped')"),
+    Rule("dates", CROSS_COLUMN, "ship_date >= order_date AND NOT (amount <= 0)"),
+    Rule("amount", "amount", "amount > 0 AND (quantity > 1 OR amount < 90000)"),
+]
+
+
+def _mutants_check():
+    parts = [
+        f"""SELECT '{m.rule_id}' AS rule_id, '{m.mutant_id}' AS mutant_id, '{m.change}' AS change, '{m.rule.replace("'", "''")}' AS mutant, label,
+                   count(*) AS n_rows, count(*) FILTER (WHERE ({r.rule}) IS DISTINCT FROM ({m.rule.replace("`", '"')})) AS n_killing FROM inj GROUP BY label"""
+        for r in _MUTATED for m in mutation.mutants(r)]
+    return f"WITH inj AS (SELECT *, coalesce(nullif(defects, ''), 'none') AS label FROM ({injected_sql()}) s) " + " UNION ALL ".join(parts)
+
+
+@query(_mutants_check())
+def rule_mutants(spark, sf_dir):
+    return mutation.kill_matrix(_injected(spark, sf_dir), _MUTATED, F.coalesce(F.nullif("defects", F.lit("")), F.lit("none")))
+
+
+@query(f"""WITH each AS (SELECT rule_id, mutant_id, sum(n_killing) AS n FROM ({_mutants_check()}) m GROUP BY 1, 2)
+           SELECT rule_id, count(*) AS n_mutants, count(*) FILTER (WHERE n > 0) AS n_killed,
+                  round(avg(CASE WHEN n > 0 THEN 1 ELSE 0 END), 6) AS score,
+                  coalesce(string_agg(mutant_id, ',' ORDER BY mutant_id) FILTER (WHERE n = 0), '') AS survivors
+           FROM each GROUP BY 1""")
+def mutation_score(spark, sf_dir):
+    return mutation.mutation_score(rule_mutants(spark, sf_dir))
+
+
 # The phrase rules of the manifest, plus a strict shape rule.
 MANIFEST_PHRASES = [
     ("product_id", ["is not null", "starts with CW-", "matches ^CW-[PT]-[0-9]{7}$"]),

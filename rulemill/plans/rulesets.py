@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rulemill.operators import mining as mi
 from rulemill.operators import rulesets as rs
+from rulemill.operators.coverage import coverage
 from rulemill.plans.catalog import query
 from rulemill.sources.tables import load
 
@@ -93,6 +94,37 @@ def novel_rules(spark, sf_dir):
     return rs.novel_rules(new, known)
 
 
+# Rules over a price: proposed from orders in four forms, known from parts as intervals that break them.
+_PROPOSED_SQL = """SELECT CASE o_orderkey % 4 WHEN 0 THEN 'price NOT BETWEEN ' || a || ' AND ' || (a + 5) WHEN 1 THEN 'price <> ' || a
+                               WHEN 2 THEN 'NOT (price >= ' || a || ' AND ' || (a + 3) || ' > price)'
+                               ELSE 'price <= ' || a || ' OR price > ' || (a + 9) END AS rule,
+                          a AS lo, a + CASE o_orderkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 0 WHEN 2 THEN 3 ELSE 9 END AS hi
+                   FROM (SELECT o_orderkey, CAST(floor(o_totalprice / 10) AS BIGINT) AS a FROM orders) o"""
+
+
+@query(f"""WITH known AS (SELECT DISTINCT lo, lo + p_size AS hi FROM (
+               SELECT CAST(floor(p_retailprice) AS BIGINT) * 13 - p_partkey % 97 AS lo, p_size FROM part) p),
+             marked AS (SELECT *, CASE WHEN lo <= max(hi) OVER (ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                                  THEN 0 ELSE 1 END AS fresh FROM known),
+             islands AS (SELECT min(lo) AS lo, max(hi) AS hi FROM (
+               SELECT lo, hi, sum(fresh) OVER (ORDER BY lo, hi) AS island FROM marked) m GROUP BY island)
+           SELECT rule, count(*) AS n_proposals,
+                  CASE WHEN max(i_hi) >= max(hi) THEN 'covered' ELSE 'novel' END AS verdict
+           FROM (SELECT n.rule, n.lo, n.hi, i.hi AS i_hi FROM ({_PROPOSED_SQL}) n ASOF LEFT JOIN islands i ON n.lo >= i.lo) j
+           GROUP BY rule""")
+def rule_coverage(spark, sf_dir):
+    a = F.floor(F.col("o_totalprice") / 10)
+    text = lambda c: c.cast("string")
+    form = F.col("o_orderkey") % 4
+    rule = (F.when(form == 0, F.concat(F.lit("price NOT BETWEEN "), text(a), F.lit(" AND "), text(a + 5)))
+            .when(form == 1, F.concat(F.lit("price <> "), text(a)))
+            .when(form == 2, F.concat(F.lit("NOT (price >= "), text(a), F.lit(" AND "), text(a + 3), F.lit(" > price)")))
+            .otherwise(F.concat(F.lit("price <= "), text(a), F.lit(" OR price > "), text(a + 9))))
+    low = F.floor("p_retailprice") * 13 - F.col("p_partkey") % 97
+    known = load(spark, sf_dir, "part").select(F.concat(F.lit("PRICE < "), text(low), F.lit(" or price > "), text(low + F.col("p_size"))).alias("rule"))
+    return coverage(load(spark, sf_dir, "orders").select(rule.alias("rule")), known)
+
+
 _ENUMS = {"orders": ["o_orderstatus", "o_orderpriority"], "customer": ["c_mktsegment", "c_nationkey"],
           "part": ["p_brand", "p_type"], "lineitem": ["l_returnflag", "l_linestatus"]}
 
