@@ -136,5 +136,5 @@ def test_query_on_given_table_and_empty_table(spark, sf, tmp_path):
 def test_real_outputs_hold_the_repaired_rows(spark):
     plain = spark.createDataFrame([(3, 1, "assistant", "Hello.", False), (3, 2, "user", "Yes.", False), (3, 3, "assistant", "Fine.", False)],
                                   "conv long, turn long, role string, text string, gone boolean")
-    row = repair.repair(plain).collect()[0]
+    row = repair.repair(plain, 1).collect()[0]
     assert [(x["role"], x["text"]) for x in row["lines"]] == [("user", "Yes."), ("assistant", "Fine.")] and (row["cost"], row["audit"]) == (2, "DKK")
