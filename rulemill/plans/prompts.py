@@ -96,10 +96,15 @@ _COLUMN_TYPES = {
 _EXAMPLE = "amount > 0"
 
 
+def _shown(table, column):
+    """Numbers stand bare in mined lists, all else in quotes."""
+    return "v" if dict(_COLUMN_TYPES[table])[column] in ("int", "bigint", "double") else "'''' || v || ''''"
+
+
 def _prompt_sql(table):
     columns = "\n".join(f"- {c} ({t}, nullable=true)" for c, t in _COLUMN_TYPES[table])
     rules = " || chr(10) || ".join(
-        f"""(SELECT '- {c} IN (' || string_agg('''' || v || '''', ', ' ORDER BY v) || ')'
+        f"""(SELECT '- {c} IN (' || string_agg({_shown(table, c)}, ', ' ORDER BY v) || ')'
              FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM {table}) d)""" for c in sorted(_ENUMS[table]))
     return f"""SELECT '{table}' AS table_name, 'Table: {table}
 
