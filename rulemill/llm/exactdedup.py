@@ -35,7 +35,8 @@ def split_level(rows: DataFrame, used: int, to: int) -> DataFrame:
     found = rows.groupBy("g", "n", "digit").agg(
         F.count("*").alias("size"), F.min("rid").alias("next"), F.max(F.struct("doc", (-F.col("rid")).alias("rid"))).alias("keep"))
     found = stored(found.where("size > 1"), "radix-groups")
-    met = rows.join(found.toDF("g_", "n_", "digit_", "size", "next", "keep"),
+    # One plan at every size: small group tables would be sent to all tasks, large ones not.
+    met = rows.hint("merge").join(found.toDF("g_", "n_", "digit_", "size", "next", "keep"),
                     (F.col("g") == F.col("g_")) & (F.col("n") == F.col("n_")) & (F.col("digit") == F.col("digit_")), "left")
     goes_on = F.col("next").isNotNull() & (F.col("n") > to)
     out = met.select("rid", "doc", "sha", "n", F.when(goes_on, F.col("next")).alias("g"), F.when(goes_on, F.col("body")).alias("body"),
