@@ -78,6 +78,23 @@ def rate_limit(log: DataFrame, n: int, period: str, key: list[str], ts: str = "t
     return numbered.withColumn("limited", F.col("call_no") > n)
 
 
+def sliding_limit(log: DataFrame, n: int, period_ms: int, slots: int, key: str, call: str, ts: str = "ts") -> DataFrame:
+    """(key, id, call_no, limited): calls of the key in the call's slot, up to it, and in the slots before that make up one period.
+
+    The position among all calls of the key less the calls of older slots: both come from slot totals, and only one
+    slot of one key is sorted together. Calls without a time or key are left out.
+    """
+    slot_ms = period_ms // slots
+    calls = log.select(F.col(key).alias("key"), F.col(call).alias("id"), F.unix_millis(F.col(ts).cast("timestamp")).alias("ms")).dropna(subset=["key", "ms"])
+    calls = calls.withColumn("slot", F.floor(F.col("ms") / slot_ms))
+    placed = running_index(calls, ["key"], ["ms", "id"], F.col("slot"), out="at")
+    totals = calls.groupBy("key", "slot").agg(F.count(F.lit(1)).alias("m"))
+    older = F.coalesce(F.sum("m").over(W.partitionBy("key").orderBy("slot").rangeBetween(W.unboundedPreceding, -slots)), F.lit(0))
+    joined = placed.join(totals.select("key", "slot", older.alias("older")), ["key", "slot"])
+    number = F.col("at") - F.col("older")
+    return joined.select("key", "id", number.alias("call_no"), (number > n).alias("limited"))
+
+
 def usage_windows(log: DataFrame, duration: str, keys: list[str], value: str, ts: str = "ts",
                   slide: str | None = None) -> DataFrame:
     """Calls and volume per tumbling (or sliding) window and key."""

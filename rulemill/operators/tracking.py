@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rulemill.functions.quantiles import exact_quantiles
+from rulemill.session import checkpointed
 
 
 def log_metrics(wide: DataFrame, id_col: str, ts_col: str, keys: list[str]) -> DataFrame:
@@ -107,15 +109,67 @@ def ab_compare(scores: DataFrame, config: str, a: str, b: str, key: str, value:
         F.round(F.try_divide(F.count_if(F.col("b") < F.col("a")), F.count_if(both)), 6).alias("win_rate_b"))
 
 
-def span_self_time(spans: DataFrame) -> DataFrame:
-    """Adds ``self_time``: a span's duration less that of its children, not below zero."""
-    children = (spans.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("span_id"))
-                .agg(F.sum("duration").alias("_child")))
+def _spanned(spans: DataFrame) -> DataFrame:
+    """Adds ``_from`` and ``_to``, the span's interval in microseconds."""
+    start = F.unix_micros(F.col("ts").cast("timestamp"))
+    return spans.withColumn("_from", start).withColumn("_to", start + F.round(F.col("duration") * 1_000_000).cast("bigint"))
+
+
+def covered_time(spans: DataFrame, slot_us: int = 60_000_000) -> DataFrame:
+    """(parent_id, covered): the time in which at least one child of a span ran, inside the span itself.
+
+    A sweep over each parent's children in order of their start: a child adds what lies behind the latest end so far. The latest end
+    is carried over time slots as a small table, so only the children of one parent that start in one slot are sorted together.
+    """
+    timed = _spanned(spans)
+    parents = timed.select(F.col("span_id").alias("parent_id"), F.col("_from").alias("_pf"), F.col("_to").alias("_pt"))
+    inside = timed.where("parent_id IS NOT NULL").join(parents, "parent_id").select(
+        "parent_id", F.greatest("_from", "_pf").alias("lo"), F.least("_to", "_pt").alias("hi")).where("lo < hi")
+    inside = inside.withColumn("slot", F.floor(F.col("lo") / slot_us))
+    latest = inside.groupBy("parent_id", "slot").agg(F.max("hi").alias("_end"))
+    earlier = W.partitionBy("parent_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
+    carried = latest.select("parent_id", "slot", F.max("_end").over(earlier).alias("_carried"))
+    within = W.partitionBy("parent_id", "slot").orderBy("lo", "hi").rowsBetween(W.unboundedPreceding, -1)
+    swept = inside.withColumn("_seen", F.max("hi").over(within)).join(carried, ["parent_id", "slot"])
+    reach = F.greatest("lo", "_seen", "_carried")  # nulls do not count
+    return swept.groupBy("parent_id").agg((F.sum(F.greatest(F.col("hi") - reach, F.lit(0))) / 1_000_000).alias("covered"))
+
+
+def span_self_time(spans: DataFrame, slot_us: int = 60_000_000) -> DataFrame:
+    """Adds ``self_time``: a span's duration less the time in which its children ran, children that overlap counted once and only as
+    far as they lie inside the span. Needs ``ts``, the span's start."""
+    children = covered_time(spans, slot_us).withColumnRenamed("parent_id", "span_id")
     return spans.join(children, "span_id", "left").withColumn(
-        "self_time", F.greatest(F.col("duration") - F.coalesce("_child", F.lit(0.0)), F.lit(0.0))).drop("_child")
+        "self_time", F.col("duration") - F.coalesce("covered", F.lit(0.0))).drop("covered")
 
 
 def span_breakdown(spans: DataFrame, by: list[str]) -> DataFrame:
     return span_self_time(spans).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_spans"), F.round(F.sum("duration"), 4).alias("total_time"),
         F.round(F.sum("self_time"), 4).alias("self_time"))
+
+
+def critical_path(spans: DataFrame) -> DataFrame:
+    """(trace_id, depth, span_id, name, duration, own_time): from each root down, always the child that ended last,
+    of equal ends the larger id. ``own_time`` is the span's time less its overlap with the next span on the path.
+
+    Each span's last child is one reduction; then every path goes down by one level a round, one row per trace, each round
+    written, until no path goes on. A span has one parent, so no path can run in a circle.
+    """
+    timed = _spanned(spans).select("trace_id", "span_id", "parent_id", "name", "duration", "_from", "_to")
+    last = timed.where("parent_id IS NOT NULL").groupBy("trace_id", "parent_id").agg(
+        F.max(F.struct("_to", "span_id", "name", "duration", "_from")).alias("c"))
+    last = checkpointed(last, "last-child")
+    at = checkpointed(timed.where("parent_id IS NULL").select("trace_id", F.lit(0).alias("depth"), "span_id", "name", "duration", "_from", "_to"), "path")
+    levels = []
+    while at.head(1):
+        following = last.select("trace_id", F.col("parent_id").alias("span_id"), "c")
+        met = at.join(following, ["trace_id", "span_id"], "left")
+        overlap = F.greatest(F.least("_to", "c._to") - F.greatest("_from", "c._from"), F.lit(0)) / 1_000_000
+        level = checkpointed(met.withColumn("own_time", F.round(F.col("duration") - F.when(F.col("c").isNotNull(), overlap).otherwise(0.0), 4)), "path")
+        levels.append(level.select("trace_id", "depth", "span_id", "name", "duration", "own_time"))
+        at = level.where("c IS NOT NULL").select("trace_id", (F.col("depth") + 1).alias("depth"), *[F.col(f"c.{x}").alias(x) for x in ("span_id", "name", "duration", "_from", "_to")])
+    out = levels[0] if levels else at.select("trace_id", "depth", "span_id", "name", "duration", F.lit(0.0).alias("own_time"))
+    for more in levels[1:]:
+        out = out.unionByName(more)
+    return out

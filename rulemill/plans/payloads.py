@@ -9,7 +9,8 @@ from rulemill.plans.catalog import query
 from rulemill.session import shared_dir
 from rulemill.sources import derived as de
 from rulemill.sources.tables import load
-from rulemill.streaming.usage import drain, session_stream, usage_stream
+from rulemill.streaming.limits import limit_stream, session_for_state
+from rulemill.streaming.usage import all_windows, drain, read_split, session_stream, split_late, usage_stream
 from rulemill.streaming.validate import read_stream
 
 
@@ -157,28 +158,61 @@ def eval_set(spark, sf_dir):
         "doc_id", "quality", "toxic", "lang", "pick")
 
 
-# The stream's last event closes every window that ended a delay before it.
-@query("""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS calls,
-                 round(sum(value), 4) AS volume
-          FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, event_type, value FROM events) t
-          WHERE w + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR
-          GROUP BY 1, 2""")
+_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR"
+
+
+# The stream's last event closes every window that ended a delay before it; the others come from the state.
+@query(f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS calls,
+                 round(sum(value), 4) AS volume, w + INTERVAL 1 HOUR <= {_CLOSED} AS closed
+          FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, event_type, value FROM events) t GROUP BY w, event_type""")
 def stream_usage(spark, sf_dir):
     out = shared_dir(spark, "stream-usage")
     drain(usage_stream(read_stream(spark, sf_dir, "events"), "1 hour", "2 hours", ["event_type"], "value"), out)
-    rows = spark.read.parquet(f"{out}/rows")
-    return rows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type",
-                       "calls", F.round("volume", 4).alias("volume"))
+    return all_windows(spark, out, ["event_type"]).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "calls", F.round("volume", 4).alias("volume"), "closed")
 
 
-@query("""WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS first
+@query(f"""WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS first
                      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
                s AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g),
                k AS (SELECT user_id, no, min(ts) AS started, max(ts) AS ended, count(*) AS calls FROM s GROUP BY 1, 2)
-          SELECT strftime(started, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, calls FROM k
-          WHERE ended + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR""")
+          SELECT strftime(started, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, calls, ended + INTERVAL 6 HOUR <= {_CLOSED} AS closed FROM k""")
 def stream_sessions(spark, sf_dir):
     out = shared_dir(spark, "stream-sessions")
     drain(session_stream(read_stream(spark, sf_dir, "events"), "6 hours", "2 hours", ["user_id"], "value"), out)
-    return spark.read.parquet(f"{out}/rows").select(
-        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "user_id", "calls")
+    return all_windows(spark, out, ["user_id"]).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "user_id", "calls", "closed")
+
+
+# Two deliveries, the second with a third of all events and much of it late.
+_LATE = "event_id % 3 = 0 AND ts < (SELECT max(ts) FROM events WHERE event_id % 3 <> 0) - INTERVAL 36 HOUR"
+
+
+@query(f"""SELECT event_type, event_id % 3 = 0 AS second_delivery, coalesce({_LATE}, false) AS late, count(*) AS n_rows, min(event_id) AS first_id, max(event_id) AS last_id
+           FROM events GROUP BY 1, 2, 3""")
+def stream_late(spark, sf_dir):
+    out, events = shared_dir(spark, "stream-late"), load(spark, sf_dir, "events")
+    for delivered in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        events.where(delivered).write.mode("append").parquet(f"{out}/in")
+        split_late(spark.readStream.schema(events.schema).parquet(f"{out}/in"), f"{out}/out", "36 hours")
+    rows = read_split(spark, f"{out}/out", events.schema)
+    return rows.groupBy("event_type", (F.col("batch") > 0).alias("second_delivery"), "late").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
+_SLIDING = """SELECT user_id AS key, event_id AS id, pos - older AS call_no, pos - older > 3 AS limited FROM (
+    SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS pos,
+           coalesce(count(*) OVER (PARTITION BY user_id ORDER BY epoch_ms(ts) // 3600000 RANGE BETWEEN UNBOUNDED PRECEDING AND 24 PRECEDING), 0) AS older
+    FROM events WHERE user_id IS NOT NULL) t"""
+
+
+@query(_SLIDING)
+def rate_limit_sliding(spark, sf_dir):
+    return pl.sliding_limit(load(spark, sf_dir, "events"), 3, 24 * 3_600_000, 24, "user_id", "event_id")
+
+
+@query(_SLIDING)
+def stream_rate_limit(spark, sf_dir):
+    own, out = session_for_state(spark), shared_dir(spark, "stream-limit")
+    limit_stream(read_stream(own, sf_dir, "events"), 3, 24 * 3_600_000, 24, "user_id", "event_id", out)
+    return spark.read.parquet(f"{out}/rows")

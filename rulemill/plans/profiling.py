@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import profile as pf
+from rulemill.operators import sketches as sk
 from rulemill.plans.catalog import query
+from rulemill.session import shared_dir
 from rulemill.functions.text import ISO_8601
 from rulemill.sources.tables import load
 
@@ -142,3 +144,31 @@ def type_consistency_events(spark, sf_dir):
         F.date_format("ts", "yyyy-MM-dd").alias("day_text"),
         F.get_json_object("props", "$.k").alias("k_text"))
     return pf.type_consistency(events, list(_MIXED))
+
+
+@query("""SELECT column_name, count(*) AS n_rows, count(*) - count(v) AS n_nulls, min(n) AS low, max(n) AS high,
+                 min(CASE WHEN n IS NULL THEN v END) AS low_text, max(CASE WHEN n IS NULL THEN v END) AS high_text, round(avg(n), 4) AS mean,
+                 true AS distinct_close, true AS median_close
+          FROM (SELECT 'event_type' AS column_name, event_type AS v, CAST(NULL AS DOUBLE) AS n FROM events
+                UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR), CAST(user_id AS DOUBLE) FROM events
+                UNION ALL SELECT 'value', CAST(value AS VARCHAR), value FROM events) t GROUP BY 1""")
+def profile_history(spark, sf_dir):
+    """The events profiled day by day, the last day appended twice; days merged without the table, then held against it."""
+    e, path = load(spark, sf_dir, "events").select("event_type", "user_id", "value", "ts"), shared_dir(spark, "profile-history")
+    day, last = F.date_format("ts", "yyyy-MM-dd"), e.agg(F.max("ts")).scalar()
+    days = lambda df: sk.sketch(df, "events", day).where("column_name <> 'ts'")
+    sk.append_sketches(days(e.where(F.to_date("ts") < F.to_date(last))), path)
+    for _ in range(2):
+        sk.append_sketches(days(e.where(F.to_date("ts") == F.to_date(last))), path)
+    merged = sk.merged_profile(sk.read_sketches(spark, path))
+    exact = e.agg(*[F.count_distinct(c).alias(c) for c in ("event_type", "user_id", "value")]).select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in ("event_type", "user_id", "value")])))
+    median = {c: merged.where(F.col("column_name") == c).agg(F.max("p50")).scalar() for c in ("user_id", "value")}
+    around = e.agg(*[x for c, m in median.items() for x in (
+        F.count_if(F.col(c) < m).alias(f"{c}_below"), F.count_if(F.col(c) <= m).alias(f"{c}_upto"), F.count(c).alias(f"{c}_n"))])
+    ranks = around.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), ((F.col(f"{c}_below") <= (0.5 + sk.RANK_ERROR) * F.col(f"{c}_n")) & (F.col(f"{c}_upto") >= (0.5 - sk.RANK_ERROR) * F.col(f"{c}_n"))).alias("near"))
+        for c in ("user_id", "value")])))
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= sk.DISTINCT_ERROR * F.col("exact") + 1
+    return merged.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "n_rows", "n_nulls", "low", "high", "low_text", "high_text", "mean", close.alias("distinct_close"), F.coalesce("near", F.lit(True)).alias("median_close"))

@@ -124,16 +124,36 @@ def ab_compare(spark, sf_dir):
 
 
 _SPANS_SQL = """
-    SELECT trace_id, event_id AS span_id, CASE WHEN event_id <> root THEN root END AS parent_id,
-           event_type AS name, value AS duration
+    SELECT trace_id, event_id AS span_id, CASE WHEN event_id <> root THEN root END AS parent_id, event_type AS name, value AS duration,
+           epoch_us(ts) AS lo, epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT) AS hi
     FROM (SELECT *, first_value(event_id) OVER (PARTITION BY trace_id ORDER BY ts, event_id) AS root
           FROM (SELECT *, user_id || '/' || strftime(ts, '%Y-%m-%d') AS trace_id FROM events) a) b"""
 
 
 @query(f"""WITH s AS ({_SPANS_SQL}),
-                c AS (SELECT parent_id, sum(duration) AS child FROM s WHERE parent_id IS NOT NULL GROUP BY 1)
+                i AS (SELECT c.parent_id, greatest(c.lo, p.lo) AS lo, least(c.hi, p.hi) AS hi FROM s c JOIN s p ON p.span_id = c.parent_id),
+                w AS (SELECT *, max(hi) OVER (PARTITION BY parent_id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+                      FROM i WHERE lo < hi),
+                c AS (SELECT parent_id, sum(greatest(hi - greatest(lo, coalesce(seen, lo)), 0)) / 1000000.0 AS child FROM w GROUP BY 1)
            SELECT trace_id, name, count(*) AS n_spans, round(sum(duration), 4) AS total_time,
-                  round(sum(greatest(duration - coalesce(child, 0.0), 0.0)), 4) AS self_time
+                  round(sum(duration - coalesce(child, 0.0)), 4) AS self_time
            FROM s LEFT JOIN c ON c.parent_id = s.span_id GROUP BY 1, 2""")
 def span_breakdown(spark, sf_dir):
     return tr.span_breakdown(de.spans(spark, sf_dir), ["trace_id", "name"])
+
+
+@query("""WITH RECURSIVE k AS (
+               SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY ts, event_id) AS k FROM (
+                 SELECT event_id, event_type, ts, value * 60 AS duration, user_id || '/' || strftime(ts, '%Y-%m-%d') AS trace_id FROM events) e),
+             s AS (SELECT c.trace_id, c.event_id AS span_id, p.event_id AS parent_id, c.event_type AS name, c.duration, epoch_us(c.ts) AS lo,
+                          epoch_us(c.ts) + CAST(round(c.duration * 1000000) AS BIGINT) AS hi
+                   FROM k c LEFT JOIN k p ON p.trace_id = c.trace_id AND p.k = c.k // 2),
+             l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY hi DESC, span_id DESC) AS rn FROM s WHERE parent_id IS NOT NULL) r WHERE rn = 1),
+             path AS (SELECT trace_id, 0 AS depth, span_id, name, duration, lo, hi FROM s WHERE parent_id IS NULL
+                      UNION ALL SELECT l.trace_id, path.depth + 1, l.span_id, l.name, l.duration, l.lo, l.hi FROM path JOIN l ON l.parent_id = path.span_id)
+          SELECT path.trace_id, path.depth, path.span_id, path.name, path.duration,
+                 round(path.duration - CASE WHEN l.span_id IS NULL THEN 0.0
+                                       ELSE greatest(least(path.hi, l.hi) - greatest(path.lo, l.lo), 0) / 1000000.0 END, 4) AS own_time
+          FROM path LEFT JOIN l ON l.parent_id = path.span_id""")
+def trace_critical_path(spark, sf_dir):
+    return tr.critical_path(de.span_tree(spark, sf_dir))

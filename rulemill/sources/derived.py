@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulemill.functions.ordering import running_index
 from rulemill.sources.tables import load
 
 
@@ -70,6 +71,16 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("name"), "ts", F.col("value").alias("duration"))
 
 
+def span_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One span per event of a user's day; the k-th span's parent is the one at half its position."""
+    e = load(spark, sf_dir, "events").withColumn(
+        "trace_id", F.concat(F.col("user_id").cast("string"), F.lit("/"), F.date_format("ts", "yyyy-MM-dd")))
+    placed = running_index(e, ["trace_id"], ["ts", "event_id"], F.date_trunc("hour", F.col("ts").cast("timestamp")), out="k")
+    above = placed.select("trace_id", F.col("k").alias("_up"), F.col("event_id").alias("parent_id"))
+    return placed.withColumn("_up", F.floor(F.col("k") / 2)).join(above, ["trace_id", "_up"], "left").select(
+        "trace_id", F.col("event_id").alias("span_id"), "parent_id", F.col("event_type").alias("name"), "ts", (F.col("value") * 60).alias("duration"))
+
+
 def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log: event type as endpoint, user as key, value as latency."""
     return load(spark, sf_dir, "events").select(
