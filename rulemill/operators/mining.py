@@ -140,6 +140,33 @@ def mine_formats(df: DataFrame, col: str, k: int) -> DataFrame:
                     F.concat(F.lit("^"), regex, F.lit("$")).alias("regex")))
 
 
+_RUN = r"(A+|9+|[^A9])"
+
+
+def mine_patterns(df: DataFrame, col: str, k: int) -> DataFrame:
+    """The ``k`` most common patterns of a text column, runs of letters and of digits of any script with their lengths:
+    (column_name, pattern, regex, n, coverage). ``A9-99`` and ``A9-999`` are one pattern with two to three digits.
+
+    Texts shrink to their shapes in the task that reads them, shapes to patterns, and only the k patterns are
+    looked at run by run. A text is counted by exactly one pattern and matches its regex. Empty texts are a pattern
+    of their own; nulls do not count.
+    """
+    shapes = (df.where(F.col(col).isNotNull())
+              .groupBy(F.regexp_replace(F.regexp_replace(F.col(col), r"\p{L}", "A"), r"\p{Nd}", "9").alias("shape")).agg(F.count(F.lit(1)).alias("n")))
+    merged = shapes.withColumn("pattern", F.regexp_replace(F.regexp_replace("shape", "A+", "A"), "9+", "9"))
+    total = shapes.agg(F.sum("n")).scalar()
+    top = merged.groupBy("pattern").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pattern").limit(k).withColumn("coverage", F.round(F.col("n") / total, 6))
+    runs = merged.join(top.select("pattern"), "pattern", "left_semi").select("pattern", F.posexplode(F.regexp_extract_all("shape", F.lit(_RUN), F.lit(1))).alias("at", "run"))
+    lengths = runs.groupBy("pattern", "at").agg(F.min(F.length("run")).alias("lo"), F.max(F.length("run")).alias("hi"), F.first(F.left("run", F.lit(1))).alias("kind"))
+    count = F.when(F.col("hi") == 1, "").when(F.col("lo") == F.col("hi"), F.concat(F.lit("{"), F.col("lo").cast("string"), F.lit("}"))).otherwise(
+        F.concat(F.lit("{"), F.col("lo").cast("string"), F.lit(","), F.col("hi").cast("string"), F.lit("}")))
+    piece = F.when(F.col("kind") == "A", F.concat(F.lit(r"\p{L}"), count)).when(F.col("kind") == "9", F.concat(F.lit(r"\p{Nd}"), count)).when(
+        F.col("kind").rlike(r"^[!-/:-@\[-`{-~]"), F.concat(F.lit("\\"), "kind")).otherwise(F.col("kind"))
+    regex = lengths.groupBy("pattern").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", piece.alias("piece")))), lambda x: x["piece"]), "").alias("regex"))
+    return top.join(regex, "pattern", "left").select(
+        F.lit(col).alias("column_name"), "pattern", F.concat(F.lit("^"), F.coalesce("regex", F.lit("")), F.lit(r"\z")).alias("regex"), "n", "coverage")
+
+
 def mine_enums(df: DataFrame, cols: list[str], max_card: int) -> DataFrame:
     """``IN`` rules for the columns with at most ``max_card`` values.
 

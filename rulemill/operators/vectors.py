@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,10 +10,10 @@ from pyspark.sql import functions as F
 
 from rulemill.functions.text import tokens
 
-# Query vectors held by each task at a time: bounds the broadcast.
-QUERY_SLICE = 4096
-# Query blocks searched by broadcast; beyond this both sides are blocked in Spark.
-MAX_SLICES = 8
+# Vectors of one side that a task holds.
+BLOCK_ROWS = 1024
+# Vectors, about so many, that the cells of the approximate search are fitted on.
+TRAINED = 16_384
 
 
 def embed_hashed(df: DataFrame, key: str, text: str, dims: int = 64) -> DataFrame:
@@ -52,201 +50,130 @@ def _prepared(m: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(f"unknown metric: {metric}")
 
 
-def _query_slices(queries: DataFrame, query_id: str, query_vec: str, slice_rows: int):
-    """Query vectors as numpy blocks of at most ``slice_rows``, one fetched at a
-    time, in id order."""
-    after = None
-    base = queries.select(query_id, query_vec).where(F.col(query_vec).isNotNull())
-    while True:
-        part = base if after is None else base.where(F.col(query_id) > F.lit(after))
-        rows = part.orderBy(query_id).limit(slice_rows).toPandas()
-        if len(rows) == 0:
-            return
-        yield rows[query_id].to_numpy(), _matrix(rows[query_vec])
-        if len(rows) < slice_rows:
-            return
-        after = rows[query_id].iloc[-1].item()
-
-
-def _grid_search(queries: DataFrame, items: DataFrame, k: int, item_id: str, metric: str,
-                 block_rows: int) -> DataFrame:
-    """Search when the queries are a large table. Both frames hold (cell, id, vec)
-    and are compared within a cell.
-
-    Each cell is cut into blocks of about ``block_rows`` by a hash of the id,
-    more blocks for a fuller cell, and each pair of blocks is one small task
-    that gives k rows per query. Only block counts per cell reach the driver.
-    """
-    def block_counts(df):
-        return {r["cell"]: -(-r["n"] // block_rows)
-                for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    n_q, n_c = block_counts(queries), block_counts(items)
-    shared = sorted(set(n_q) & set(n_c))
-    if not shared:
-        return queries.sparkSession.createDataFrame([], f"query_id bigint, {item_id} bigint, score double")
-
-    def per_cell(counts):
-        return F.create_map(*[F.lit(x) for c in shared for x in (c, counts[c])])[F.col("cell")]
-
-    def blocked(df, mine, my_counts, other, other_counts):
-        return (df.where(F.col("cell").isin(*shared))
-                .withColumn(mine, F.pmod(F.xxhash64("id"), per_cell(my_counts)).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), per_cell(other_counts) - 1))))
-
-    left = blocked(queries, "qb", n_q, "cb", n_c)
-    right = blocked(items, "cb", n_c, "qb", n_q)
-
-    def match(q, c):
-        if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({"query_id": [], item_id: [], "score": []})
-        ids = c["id"].to_numpy()
-        scores = np.round(_prepared(_matrix(q["vec"]), metric) @ _prepared(_matrix(c["vec"]), metric).T, 6) + 0.0
-        best = [_best(ids, row, k) for row in scores]
-        return pd.DataFrame({
-            "query_id": np.repeat(q["id"].to_numpy(), [len(b[0]) for b in best]),
-            item_id: np.concatenate([b[0] for b in best]), "score": np.concatenate([b[1] for b in best])})
-
-    return left.groupBy("cell", "qb", "cb").cogroup(right.groupBy("cell", "qb", "cb")).applyInPandas(
-        match, f"query_id bigint, {item_id} bigint, score double")
-
-
-def _one_cell(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+def _cells(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """Rows (cell, id, vec), all in one cell."""
     return df.where(F.col(vec_col).isNotNull()).select(
         F.lit(0).alias("cell"), F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
 
 
+def _distance(vecs: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances up to a constant per row."""
+    return (centers ** 2).sum(axis=1)[None, :] - 2 * vecs @ centers.T
+
+
 def _nearest_cells(df: DataFrame, id_col: str, vec_col: str, centers: np.ndarray, n: int) -> DataFrame:
     """Rows (cell, id, vec) for the ``n`` nearest cells of each vector."""
     shared = df.sparkSession.sparkContext.broadcast(centers)
+    rows = _cells(df, id_col, vec_col).select("id", "vec")
 
     def assign(batches):
-        cells = shared.value
         for pdf in batches:
             if len(pdf):
-                far = _distance(_prepared(_matrix(pdf["vec"]), "cosine"), cells)
+                far = _distance(_prepared(_matrix(pdf["vec"]), "cosine"), shared.value)
                 near = np.argsort(far, axis=1, kind="stable")[:, :n]
-                yield pd.DataFrame({"cell": near.ravel().astype("int32"), "id": np.repeat(pdf["id"].to_numpy(), n),
-                                    "vec": np.repeat(pdf["vec"].to_numpy(), n)})
+                yield pd.DataFrame({"cell": near.ravel().astype("int32"), "id": np.repeat(pdf["id"].to_numpy(), near.shape[1]),
+                                    "vec": np.repeat(pdf["vec"].to_numpy(), near.shape[1])})
 
-    return _one_cell(df, id_col, vec_col).mapInPandas(assign, "cell int, id bigint, vec array<double>")
+    return rows.mapInPandas(assign, f"cell int, id {dict(rows.dtypes)['id']}, vec array<double>")
 
 
-def _distance(vecs: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Squared distances up to a constant per row."""
-    return (centers ** 2).sum(axis=1)[None, :] - 2 * vecs @ centers.T
+def _best(scores: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best of one query's scores, ties in ``order``."""
+    if len(scores) > k:
+        near = np.nonzero(scores >= -np.partition(-scores, k - 1)[k - 1])[0]
+        return near[np.lexsort((order[near], -scores[near]))[:k]]
+    return np.lexsort((order, -scores))[:k]
 
 
-def _best(ids, scores, k):
-    """Row-wise top k of rounded scores, ties by smaller id."""
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+def _search(queries: DataFrame, items: DataFrame, k: int, item_id: str, metric: str, block_rows: int) -> DataFrame:
+    """Top k of (cell, id, vec) queries among the (cell, id, vec) items of the same cell: (query_id, item_id, score).
 
+    Each cell is cut into blocks of about ``block_rows`` by a hash of the row, more blocks for a fuller cell,
+    and each pair of blocks is one small task that gives at most k rows per query. Only block counts per cell reach the driver. Rows
+    whose ids are equal are one query, or one item, with the best of their scores.
+    """
+    def block_counts(df):
+        return {r["cell"]: -(-r["n"] // block_rows)
+                for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-def _search(corpus: DataFrame, ids: np.ndarray, vecs: np.ndarray, item_id: str, item_vec: str, k: int,
-            metric: str, centers: np.ndarray | None = None, probes: np.ndarray | None = None) -> DataFrame:
-    """Partition-wise top k of a query block over the whole corpus.
+    q_type, i_type = dict(queries.dtypes)["id"], dict(items.dtypes)["id"]
+    schema = f"query_id {q_type}, `{item_id}` {i_type}, score double"
+    n_q, n_c = block_counts(queries), block_counts(items)
+    shared = sorted(set(n_q) & set(n_c))
+    if not shared:
+        return queries.sparkSession.createDataFrame([], schema)
 
-    Each task keeps k best per query across its batches, so its output is
-    bounded by k times the block, whatever the corpus holds.
-    """
-    spark = corpus.sparkSession
-    shared = spark.sparkContext.broadcast((ids, _prepared(vecs, metric), centers, probes))
+    def per_cell(counts):
+        return F.create_map(*[F.lit(x) for c in shared for x in (c, counts[c])])[F.col("cell")]
 
-    def scan(batches):
-        q_ids, q, cells, wanted = shared.value
-        best: dict[int, tuple] = {}
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            item_ids = pdf[item_id].to_numpy()
-            items = _prepared(_matrix(pdf[item_vec]), metric)
-            scores = np.round(q @ items.T, 6) + 0.0
-            if cells is not None:
-                near = np.argmin(_distance(items, cells), axis=1)
-                scores = np.where(wanted[:, near], scores, -np.inf)
-            if scores.shape[1] > k:
-                # Everything at or above the k-th score, then exact order by id.
-                kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
+    def blocked(df, mine, my_counts, other, other_counts):
+        return (df.where(F.col("cell").isin(*shared))
+                .withColumn(mine, F.pmod(F.xxhash64("id", "vec"), per_cell(my_counts)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), per_cell(other_counts) - 1))))
+
+    def match(q, c):
+        if len(q) == 0 or len(c) == 0:
+            return pd.DataFrame({"query_id": [], item_id: [], "score": []})
+        ids = c["id"].to_numpy()
+        own, order = np.unique(ids, return_inverse=True)
+        vecs, n, found = _prepared(_matrix(c["vec"]), metric), len(own), []
+        for at in range(0, len(q), 256):
+            scores = np.round(_prepared(_matrix(q["vec"].iloc[at:at + 256]), metric) @ vecs.T, 6) + 0.0
+            if n < len(ids):  # equal ids: the best of their scores
+                most = np.full((len(scores), n), -np.inf)
+                np.maximum.at(most, (np.arange(len(scores))[:, None], order[None, :]), scores)
+                found += [(_best(row, np.arange(n), k), row) for row in most]
             else:
-                kth = np.full(len(q_ids), -np.inf)
-            for i in range(len(q_ids)):
-                hit = np.nonzero((scores[i] >= kth[i]) & (scores[i] > -np.inf))[0]
-                if len(hit) == 0:
-                    continue
-                got_ids, got = item_ids[hit], scores[i][hit]
-                if i in best:
-                    got_ids = np.concatenate([best[i][0], got_ids])
-                    got = np.concatenate([best[i][1], got])
-                best[i] = _best(got_ids, got, k)
-        if best:
-            yield pd.DataFrame({
-                "query_id": np.concatenate([np.full(len(b[0]), q_ids[i]) for i, b in best.items()]),
-                item_id: np.concatenate([b[0] for b in best.values()]),
-                "score": np.concatenate([b[1] for b in best.values()])})
-
-    return (corpus.select(item_id, item_vec).where(F.col(item_vec).isNotNull())
-            .mapInPandas(scan, f"query_id bigint, {item_id} bigint, score double"))
+                found += [(_best(row, order, k), row) for row in scores]
+        named = own if n < len(ids) else ids
+        return pd.DataFrame({"query_id": np.repeat(q["id"].to_numpy(), [len(p) for p, _ in found]),
+                             item_id: named[np.concatenate([p for p, _ in found])], "score": np.concatenate([row[p] for p, row in found])})
+
+    left, right = blocked(queries, "qb", n_q, "cb", n_c), blocked(items, "cb", n_c, "qb", n_q)
+    return left.groupBy("cell", "qb", "cb").cogroup(right.groupBy("cell", "qb", "cb")).applyInPandas(match, schema)
 
 
 def _ranked(found: DataFrame, item_id: str, k: int) -> DataFrame:
+    best = found.groupBy("query_id", item_id).agg(F.max("score").alias("score"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), item_id)
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def _merged(parts: list[DataFrame], corpus: DataFrame, item_id: str, k: int) -> DataFrame:
-    if not parts:
-        return corpus.sparkSession.createDataFrame(
-            [], f"query_id bigint, {item_id} bigint, score double, rank int")
-    return _ranked(reduce(DataFrame.unionByName, parts), item_id, k)
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query_vec: str, item_id: str,
-         item_vec: str, metric: str = "cosine", slice_rows: int = QUERY_SLICE,
-         max_slices: int = MAX_SLICES) -> DataFrame:
+         item_vec: str, metric: str = "cosine", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact top-k items per query: (query_id, item_id, score, rank).
 
-    The broadcast is a query block of at most ``slice_rows`` vectors; a few
-    blocks mean a few scans of the corpus, which is never shuffled. A query
-    table beyond ``max_slices`` blocks is searched block by block in Spark,
-    with the same result.
+    Blocks of queries meet blocks of items in Spark, whatever the sizes, so no vector passes through the driver. Ids may be
+    of any type that sorts; a query id with several vectors is asked by all of them, an item id with several is
+    found by the nearest. Rows without a vector take no part.
     """
-    if queries.count() > slice_rows * max_slices:
-        return _ranked(_grid_search(_one_cell(queries, query_id, query_vec), _one_cell(corpus, item_id, item_vec),
-                                    k, item_id, metric, slice_rows), item_id, k)
-    parts = [_search(corpus, ids, vecs, item_id, item_vec, k, metric)
-             for ids, vecs in _query_slices(queries, query_id, query_vec, slice_rows)]
-    return _merged(parts, corpus, item_id, k)
+    found = _search(_cells(queries, query_id, query_vec), _cells(corpus, item_id, item_vec), k, item_id, metric, block_rows)
+    return _ranked(found, item_id, k)
 
 
 def ann_topk(queries: DataFrame, corpus: DataFrame, k: int, query_id: str, query_vec: str, item_id: str,
-             item_vec: str, n_cells: int = 16, n_probe: int = 4, seed: int = 7,
-             slice_rows: int = QUERY_SLICE, max_slices: int = MAX_SLICES) -> DataFrame:
+             item_vec: str, n_cells: int = 16, n_probe: int = 4, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Approximate top-k: items are compared only in the query's nearest cells.
 
-    Cells come from k-means over unit vectors; centres are ``n_cells`` rows.
-    Items are filtered by cell where they are read, or for a large query table
-    in blocks of a cell, so no cell, however full, becomes one task. Recall rises to 1 as ``n_probe`` reaches ``n_cells``.
+    Cells come from k-means over some ``TRAINED`` unit vectors, chosen by a hash of the id; centres are ``n_cells`` rows. Queries go to each of
+    their cells, items to one, and only these meet; a full cell is cut into blocks like any other, so it is no hot
+    task. Recall rises to 1 as ``n_probe`` reaches ``n_cells``.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
     vec = F.col(item_vec).cast("array<double>")
     norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
-    items = corpus.select(array_to_vector(F.transform(vec, lambda x: F.coalesce(
-        F.try_divide(x, norm), F.lit(0.0)))).alias("features"))
+    usable = corpus.where(F.col(item_vec).isNotNull())
+    share = min(1.0, TRAINED / max(1, usable.count()))
+    picked = usable.where(F.pmod(F.xxhash64(item_id), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    items = picked.select(array_to_vector(F.transform(vec, lambda x: F.coalesce(
+        F.try_divide(x, norm), F.lit(0.0)))).alias("features")).repartition(8).persist()
     model = KMeans(k=n_cells, seed=seed, maxIter=5, initSteps=1).fit(items)
+    items.unpersist()
     centers = np.array(model.clusterCenters())
-    if queries.count() > slice_rows * max_slices:
-        return _ranked(_grid_search(_nearest_cells(queries, query_id, query_vec, centers, n_probe),
-                                    _nearest_cells(corpus, item_id, item_vec, centers, 1),
-                                    k, item_id, "cosine", slice_rows), item_id, k)
-    parts = []
-    for ids, vecs in _query_slices(queries, query_id, query_vec, slice_rows):
-        far = _distance(_prepared(vecs, "cosine"), centers)
-        probes = np.zeros(far.shape, dtype=bool)
-        np.put_along_axis(probes, np.argsort(far, axis=1, kind="stable")[:, :n_probe], True, axis=1)
-        parts.append(_search(corpus, ids, vecs, item_id, item_vec, k, "cosine", centers, probes))
-    return _merged(parts, corpus, item_id, k)
+    found = _search(_nearest_cells(queries, query_id, query_vec, centers, n_probe),
+                    _nearest_cells(corpus, item_id, item_vec, centers, 1), k, item_id, "cosine", block_rows)
+    return _ranked(found, item_id, k)
 
 
 class Retriever:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rulemill.operators import documents as dc
+from rulemill.operators import index_store as st
 from rulemill.plans.catalog import query
 from rulemill.session import shared_dir
 from rulemill.sources.manifest import manifest_view
@@ -184,3 +185,19 @@ def stream_sync(spark, sf_dir):
     changes = _changes(read_stream(spark, sf_dir, "events"))
     sync_stream(changes, out, "item", "seq")
     return current_index(spark, _part_index(spark, sf_dir), out, changes.schema, "item", "seq")
+
+
+# The second batch changes few keys; both are applied twice.
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 97 = 0 THEN 'again' WHEN c_custkey % 7 = 0 THEN 'changed' WHEN c_custkey % 5 = 0 THEN 'added' ELSE c_mktsegment END AS segment
+          FROM customer WHERE c_custkey % 11 <> 0 OR c_custkey % 97 = 0""")
+def index_store(spark, sf_dir):
+    customers, path = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment")), shared_dir(spark, "index-store")
+    k = F.col("c_custkey")
+    st.create_index(customers.where(k % 5 != 0), path, "c_custkey", 32)
+    word = F.when(k % 7 == 0, "changed").otherwise("added")
+    first = customers.where((k % 5 == 0) | (k % 7 == 0) | (k % 11 == 0)).select(
+        k, word.alias("segment"), F.lit(1).alias("seq"), F.when(k % 11 == 0, "delete").otherwise("upsert").alias("op"))
+    second = customers.where(k % 97 == 0).select(k, F.lit("again").alias("segment"), F.lit(2).alias("seq"), F.lit("upsert").alias("op"))
+    for number, changes in ((0, first), (0, first), (1, second), (1, second)):
+        st.apply_changes(changes, path, customers.schema, "c_custkey", "seq", number)
+    return st.read_index(spark, path, customers.schema)

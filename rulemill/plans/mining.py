@@ -147,3 +147,22 @@ def mined_rules_evaluated(spark, sf_dir):
     events = load(spark, sf_dir, "events")
     rules = mi.outlier_rules(mi.mine_outliers(events, ["value", "user_id"]))
     return evaluate(events, rules).select("rule_id", "n_rows", "passed", "failed", "unknown", "pass_rate")
+
+
+@query(r"""WITH v AS (SELECT lower(substr(user_agent, 1, 1)) || user_agent AS t FROM (
+                  SELECT CASE WHEN event_id % 5 = 0 THEN event_type || '-' || user_id ELSE 'é' || value || '/' || event_type END AS user_agent FROM events) e),
+                s AS (SELECT regexp_replace(regexp_replace(t, '\p{L}', 'A', 'g'), '\p{Nd}', '9', 'g') AS shape, count(*) AS n FROM v GROUP BY 1),
+                m AS (SELECT *, regexp_replace(regexp_replace(shape, 'A+', 'A', 'g'), '9+', '9', 'g') AS pattern FROM s),
+                top AS (SELECT pattern, CAST(sum(n) AS BIGINT) AS n, round(sum(n) / (SELECT sum(n) FROM s), 6) AS coverage FROM m GROUP BY 1 ORDER BY n DESC, pattern LIMIT 4),
+                r AS (SELECT pattern, unnest(regexp_extract_all(shape, 'A+|9+|[^A9]')) AS run, generate_subscripts(regexp_extract_all(shape, 'A+|9+|[^A9]'), 1) AS at_
+                      FROM m WHERE pattern IN (SELECT pattern FROM top)),
+                l AS (SELECT pattern, at_, min(length(run)) AS lo, max(length(run)) AS hi, any_value(left(run, 1)) AS kind FROM r GROUP BY 1, 2),
+                p AS (SELECT pattern, at_, CASE kind WHEN 'A' THEN '\p{L}' WHEN '9' THEN '\p{Nd}' ELSE '\' || kind END
+                             || CASE WHEN kind NOT IN ('A', '9') OR hi = 1 THEN '' WHEN lo = hi THEN '{' || lo || '}' ELSE '{' || lo || ',' || hi || '}' END AS piece FROM l),
+                x AS (SELECT pattern, string_agg(piece, '' ORDER BY at_) AS regex FROM p GROUP BY 1)
+           SELECT 't' AS column_name, pattern, '^' || regex || '\z' AS regex, n, coverage FROM top JOIN x USING (pattern)""")
+def patterns_events(spark, sf_dir):
+    text = F.when(F.col("event_id") % 5 == 0, F.concat_ws("-", "event_type", F.col("user_id").cast("string"))).otherwise(
+        F.concat(F.lit("é"), F.col("value").cast("string"), F.lit("/"), "event_type"))
+    e = load(spark, sf_dir, "events").withColumn("t", F.concat(F.lower(F.substring(text, 1, 1)), text))
+    return mi.mine_patterns(e, "t", 4)

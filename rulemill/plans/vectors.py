@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rulemill.operators import model_cache as mc
 from rulemill.operators import vectors as vc
 from rulemill.plans.catalog import query
+from rulemill.session import shared_dir
 from rulemill.sources.tables import load
 
 _SPARSE_SQL = """
@@ -75,3 +77,17 @@ def retrieve_rules(spark, sf_dir):
     asked = load(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
     hits = vc.Retriever.from_texts(rules).search_historical_rules(asked, "conv_id", "text", 3)
     return hits.select("conv_id", "rule_id", "score", "rank")
+
+
+@query("""WITH t AS (SELECT DISTINCT text FROM benchmark),
+               w AS (SELECT text, unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}]+)', 1)) AS word FROM t),
+               c AS (SELECT text, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 64 AS bucket, count(*) AS n FROM w GROUP BY 1, 2),
+               v AS (SELECT sha256(text) AS id, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY text)) AS weight FROM c),
+               s AS (SELECT a.id AS query_id, b.id AS text_id, round(sum(a.weight * b.weight), 6) AS score FROM v a JOIN v b USING (bucket) GROUP BY 1, 2)
+          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, text_id) AS rank FROM s) r WHERE rank <= 3""")
+def embed_client(spark, sf_dir):
+    """Passages embedded through a client, the second time from what was kept, and searched by their text ids."""
+    store, texts = shared_dir(spark, "vectors"), load(spark, sf_dir, "benchmark").select(F.sha2("text", 256).alias("id"), "text")
+    mc.embed(texts, "text", mc.HashingVectors, store)
+    kept = mc.embed(texts, "text", mc.HashingVectors, store)
+    return vc.topk(kept, kept.withColumnRenamed("id", "text_id"), 3, "id", "embedding", "text_id", "embedding")

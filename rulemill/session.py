@@ -60,9 +60,13 @@ def checkpointed(df, purpose: str):
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has written, wherever it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(*frames) -> None:
     """Remove tables that ``checkpointed`` wrote, once nothing reads them any more."""
     for df in frames:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(df._written)
-        path.getFileSystem(conf).delete(path, True)
+        remove(df.sparkSession, df._written)

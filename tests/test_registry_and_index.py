@@ -187,7 +187,7 @@ def cloud(spark):
     return vecs, df.repartition(7, "id")
 
 
-@pytest.mark.parametrize("options", [{}, {"slice_rows": 90}, {"slice_rows": 60, "max_slices": 2}])
+@pytest.mark.parametrize("options", [{}, {"block_rows": 90}, {"block_rows": 17}])
 def test_topk_equals_brute_force(spark, cloud, options):
     vecs, df = cloud
     got = vc.topk(df, df, 9, "id", "v", "id", "v", **options)
@@ -200,6 +200,25 @@ def test_topk_with_fewer_items_than_k(spark, cloud):
     assert vc.topk(df.where("id < 2"), few, 10, "id", "v", "id", "v").count() == 6
 
 
+def test_text_ids_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(60, 5))
+    ids = [f"i{k % 40:02d}" for k in range(60)]  # twenty ids twice
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, vecs, strict=True)] + [("none", None)], "id string, v array<double>")
+    unit = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+    best = {}
+    for a, p in zip(ids, unit, strict=True):
+        for b, q in zip(ids, unit, strict=True):
+            best[a, b] = max(best.get((a, b), -2.0), round(float(p @ q), 6))
+    expected = {(a, b, r + 1) for a in set(ids) for r, b in enumerate(sorted(set(ids), key=lambda x: (-best[a, x], x))[:7])}
+    items = df.withColumnRenamed("id", "item")
+    for rows_of in (1000, 9):
+        got = vc.topk(df, items, 7, "id", "v", "item", "v", block_rows=rows_of)
+        assert {(r.query_id, r.item, r["rank"]) for r in got.collect()} == expected
+    got = vc.ann_topk(df, items, 7, "id", "v", "item", "v", n_cells=4, n_probe=4)
+    assert {(r.query_id, r.item, r["rank"]) for r in got.collect()} == expected
+
+
 def test_ann_recall(spark, cloud):
     vecs, df = cloud
     exact = brute(vecs, vecs, 9)
@@ -209,7 +228,7 @@ def test_ann_recall(spark, cloud):
         return len(pairs & {(a, b) for a, b, _ in exact}) / len(exact)
     assert recall(8) == 1.0
     assert recall(3) > 0.8
-    large = {"slice_rows": 40, "max_slices": 2}
+    large = {"block_rows": 40}
     assert recall(8, **large) == 1.0
     assert recall(3, **large) == recall(3)
 
