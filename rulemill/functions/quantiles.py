@@ -1,9 +1,8 @@
 """Exact quantiles without a whole column in one task or buffer.
 
-Equal values of a group are counted first. The counts are sorted by even ranges of
-(group, value), each range adds up its own, and the totals of the ranges - one
-number for each - tell where it starts; so every value knows the ranks it covers,
-and the wanted ranks are read off. One path for every size.
+Equal values of a group are counted first and dealt by even ranges of (group, value).
+The totals of a group's ranges - one number for each - tell which of them hold the wanted
+ranks; only those ranges are sorted and added up, and the ranks read off. One path for every size.
 """
 
 from __future__ import annotations
@@ -25,20 +24,12 @@ def melt_numeric(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> Da
 
 
 def _ranges(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct values of each group with ``_start`` and ``_stop``: the ranks, from 0
-    on over all groups, that they cover. Groups are ``_g``, a struct, in which nulls
-    are values like others; NaN sorts last."""
+    """Distinct values of each group with their counts, written in parts: even ranges of (group, value) in order.
+    Groups are ``_g``, a struct, in which nulls are values like others; NaN sorts last."""
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
     parts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = counts.select(F.struct(*keys).alias("_g"), "value", "_n").repartitionByRange(parts, "_g", "value")
-    cut = checkpointed(cut.withColumn("_part", F.spark_partition_id()), "quantiles")
-    whole = cut.groupBy("_part").agg(F.sum("_n").alias("_total"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = whole.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_from"))
-    own = W.partitionBy("_part").orderBy("_g", "value").rowsBetween(W.unboundedPreceding, 0)
-    summed = cut.withColumn("_upto", F.sum("_n").over(own)).join(starts, "_part")
-    stop = F.col("_from") + F.col("_upto")
-    return summed.select("_g", "value", (stop - F.col("_n")).alias("_start"), stop.alias("_stop"))
+    return checkpointed(cut.withColumn("_part", F.spark_partition_id()), "quantiles")
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = ()) -> DataFrame:
@@ -48,17 +39,28 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: tupl
     group has none that is not null. A null key is a group. Of no rows at all
     there are rows only without ``by``.
     """
-    long = melt_numeric(df, cols, by)
     keys = [*by, "column_name"]
-    spans = checkpointed(_ranges(long, keys), "quantiles")
-    groups = spans.groupBy("_g").agg(F.min("_start").alias("_first"), (F.max("_stop") - F.min("_start")).alias("_n"))
-    place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    wanted = F.array(*[F.struct(F.lit(i).alias("i"), (F.col("_first") + r).alias("rank")) for i, p in enumerate(place) for r in (F.floor(p), F.ceil(p))])
-    hit = F.filter(wanted, lambda w: (w["rank"] >= F.col("_start")) & (w["rank"] < F.col("_stop")))
-    found = spans.join(groups, "_g").select("_g", "_n", "value", F.explode(hit).alias("w"))
-    ends = found.groupBy("_g", F.col("w.i").alias("i")).agg(F.min("_n").alias("_n"), F.min(F.struct("w.rank", "value")).alias("low"), F.max(F.struct("w.rank", "value")).alias("high"))
+    cut = _ranges(melt_numeric(df, cols, by), keys)
+    # A group's values in order of its parts: the totals of the parts tell which of them hold the wanted ranks.
+    totals = cut.groupBy("_g", "_part").agg(F.sum("_n").alias("_total"))
+    whole = W.partitionBy("_g")
+    before = F.coalesce(F.sum("_total").over(whole.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranged = totals.select("_g", "_part", "_total", before.alias("_from"), F.sum("_total").over(whole).alias("_all"))
+    place = [F.lit(float(p)) * (F.col("_all") - 1) for p in probs]
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), r.alias("rank")) for i, p in enumerate(place) for r in (F.floor(p), F.ceil(p))])
+    held = F.filter(wanted, lambda w: (w["rank"] >= F.col("_from")) & (w["rank"] < F.col("_from") + F.col("_total")))
+    asked = ranged.select(F.col("_g").alias("_h"), F.col("_part").alias("_p"), "_from", "_all", held.alias("_held")).where(F.size("_held") > 0)
+    # Only these parts are sorted.
+    mine = cut.join(asked, (F.col("_g") == F.col("_h")) & (F.col("_part") == F.col("_p")))
+    own = W.partitionBy("_g", "_part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    stop = F.col("_from") + F.sum("_n").over(own)
+    spans = mine.select("_g", "_all", "value", "_held", "_n", stop.alias("_stop"))
+    hit = F.filter("_held", lambda w: (w["rank"] >= F.col("_stop") - F.col("_n")) & (w["rank"] < F.col("_stop")))
+    found = spans.select("_g", "_all", "value", F.explode(hit).alias("w"))
+    ends = found.groupBy("_g", F.col("w.i").alias("i")).agg(
+        F.min("_all").alias("_all"), F.min(F.struct("w.rank", "value")).alias("low"), F.max(F.struct("w.rank", "value")).alias("high"))
     at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-    part = at * (F.col("_n") - 1) - F.floor(at * (F.col("_n") - 1))
+    part = at * (F.col("_all") - 1) - F.floor(at * (F.col("_all") - 1))
     low, high = F.col("low.value"), F.col("high.value")
     value = F.when((part == 0) | (low == high), low).otherwise((1 - part) * low + part * high)
     values = ends.select("_g", at.alias("prob"), value.alias("value"))
