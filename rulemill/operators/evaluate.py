@@ -80,7 +80,8 @@ def evaluate(df: DataFrame, rules: list[Rule], max_rules: int = BATCH_RULES) ->
 
 def evaluate_by(df: DataFrame, rules: list[Rule], keys: list[str], totals: bool = False,
                 max_rules: int = BATCH_RULES) -> DataFrame:
-    """The same counts per group; ``totals`` adds an ``ALL`` row per rule."""
+    """The same counts per group; ``totals`` adds an ``ALL`` row per rule, and a column ``level``, 0 for groups and 1
+    for totals, which tells them from a group whose key reads ``ALL``."""
     counts = _counts(df, rules, keys, max_rules)
     for k in keys:
         counts = counts.withColumn(k, F.col(k).cast("string"))
@@ -88,9 +89,9 @@ def evaluate_by(df: DataFrame, rules: list[Rule], keys: list[str], totals: bool
         total = counts.groupBy("_i").agg(*[F.sum(c).alias(c) for c in ("n_rows", "passed", "failed")])
         for k in keys:
             total = total.withColumn(k, F.lit("ALL"))
-        counts = counts.unionByName(total)
+        counts = counts.withColumn("level", F.lit(0)).unionByName(total.withColumn("level", F.lit(1)))
     return (counts.join(F.broadcast(_numbered(df, rules)), "_i")
-            .select("rule_id", *keys, "n_rows", "passed", "failed",
+            .select("rule_id", *keys, *(["level"] if totals else []), "n_rows", "passed", "failed",
                     (F.col("n_rows") - F.col("passed") - F.col("failed")).alias("unknown"),
                     F.round(F.col("failed") / F.col("n_rows"), 6).alias("violation_rate")))
 

@@ -49,9 +49,18 @@ def with_fingerprint(df: DataFrame, col: str) -> DataFrame:
             .withColumn("prompt_length", F.char_length(col).cast("bigint")))
 
 
-def build_prompts(columns: DataFrame, rules: DataFrame, examples: str, retrieved: DataFrame | None = None) -> DataFrame:
+def statistics_lines(profiles: DataFrame) -> DataFrame:
+    """(table_name, rule): one line a column out of a profile, for ``build_prompts``."""
+    shown = F.when(F.col("min_value").isNotNull(), F.concat(F.lit(", from "), "min_value", F.lit(" to "), "max_value")).otherwise("")
+    count = lambda c: F.col(c).cast("string")
+    return profiles.select("table_name", F.concat(F.col("column_name"), F.lit(": "), count("n_rows"), F.lit(" rows, "), count("n_nulls"), F.lit(" null, "),
+                                                  F.coalesce(count("n_distinct"), F.lit("unknown")), F.lit(" distinct"), shown).alias("rule"))
+
+
+def build_prompts(columns: DataFrame, rules: DataFrame, examples: str, retrieved: DataFrame | None = None,
+                  statistics: DataFrame | None = None) -> DataFrame:
     """One prompt per table out of its columns, its basic rules, example rules
-    and, if given, retrieved rules (``table_name, rule``).
+    and, if given, statistics and retrieved rules (each ``table_name, rule``).
 
     Lists are as long as a table has columns or distinct rules.
     """
@@ -65,9 +74,11 @@ def build_prompts(columns: DataFrame, rules: DataFrame, examples: str, retrieved
             F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("- "), "rule"))), "\n").alias(out))
 
     joined = described.join(listed(rules, "rules_text"), "table_name", "left")
-    parts = [F.concat(F.lit("Table: "), "table_name"), F.concat(F.lit("Columns:\n"), "columns_text"),
-             F.concat(F.lit("Known rules:\n"), F.coalesce("rules_text", F.lit("none"))),
-             F.lit(f"Examples:\n{examples}")]
+    parts = [F.concat(F.lit("Table: "), "table_name"), F.concat(F.lit("Columns:\n"), "columns_text")]
+    if statistics is not None:
+        joined = joined.join(listed(statistics, "statistics_text"), "table_name", "left")
+        parts.append(F.concat(F.lit("Statistics:\n"), "statistics_text"))
+    parts += [F.concat(F.lit("Known rules:\n"), F.coalesce("rules_text", F.lit("none"))), F.lit(f"Examples:\n{examples}")]
     if retrieved is not None:
         joined = joined.join(listed(retrieved, "retrieved_text"), "table_name", "left")
         parts.append(F.concat(F.lit("Rules of similar tables:\n"), "retrieved_text"))

@@ -55,6 +55,25 @@ def compare_runs(metrics: DataFrame, first, second) -> DataFrame:
                        F.round(F.col("b") - F.col("a"), 4).alias("difference"))
 
 
+def append_runs(metrics: DataFrame, path: str, batch: int) -> str:
+    """Append logged metrics (run_id, key, value, ts) to a run log; a batch that comes again replaces itself."""
+    metrics.select("run_id", "key", "value", "ts").write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    return path
+
+
+def compare_all_runs(metrics: DataFrame, baseline, smaller_is_better: tuple[str, ...] = ()) -> DataFrame:
+    """(metric, run_id, value, difference, is_best) of every run's last value: the difference to the ``baseline`` run
+    and whether no run did better, the smaller value winning for the metrics named. Baseline and best values are one row a metric, so
+    runs are never gathered."""
+    last = metrics.groupBy("key", "run_id").agg(F.max(F.struct("ts", "value"))["value"].alias("value"))
+    smaller = F.col("key").isin(*smaller_is_better) if smaller_is_better else F.lit(False)
+    per_key = last.groupBy("key").agg(
+        F.max(F.when(F.col("run_id") == baseline, F.col("value"))).alias("_base"), F.min("value").alias("_low"), F.max("value").alias("_high"))
+    return last.join(per_key, "key").select(
+        F.col("key").alias("metric"), "run_id", F.round("value", 4).alias("value"), F.round(F.col("value") - F.col("_base"), 4).alias("difference"),
+        (F.col("value") == F.when(smaller, F.col("_low")).otherwise(F.col("_high"))).alias("is_best"))
+
+
 # The promotion thresholds.
 MAX_LATENCY_SECONDS = 10.0
 MIN_RULES = 5

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR, Rule
@@ -14,10 +16,10 @@ from rulemill.plans.sales_sql import (
     SALES_RULES, SALES_RULES_SQL, counts_sql, failed_text_sql, injected_sql, sales_sql)
 from rulemill.functions.text import ISO_8601
 from rulemill.session import shared_dir
-from rulemill.sources.manifest import manifest_view
+from rulemill.sources.manifest import manifest_df, manifest_view
 from rulemill.sources.payload_log import append_log, read_log
 from rulemill.sources.sales import SALES_DEFECTS, SALES_KEYS, inject, sales_view
-from rulemill.sources.tables import load, preview
+from rulemill.sources.tables import load, load_file, preview, save
 from rulemill.streaming.validate import read_stream, validate_stream
 
 _SALES_OUT = """transaction_id, customer_email, amount, original_price, discount_price, quantity,
@@ -58,6 +60,26 @@ def append_payload_log(spark, sf_dir):
                  F.max("event_id").alias("last_id")))
 
 
+@query("SELECT n_regionkey, count(*) AS n_rows, min(n_name) AS first_name FROM nation GROUP BY 1")
+def saved_table(spark, sf_dir):
+    """Nations saved as a managed table of a database of this run, partitioned, and loaded by name."""
+    database = f"rulemill_{uuid.uuid4().hex}"
+    save(load(spark, sf_dir, "nation"), database, "nation", partition_by=("n_regionkey",))
+    return load(spark, database, "nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_rows"), F.min("n_name").alias("first_name"))
+
+
+@query("""SELECT 'csv' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS word FROM customer
+          UNION ALL SELECT 'json', CAST(n_nationkey AS VARCHAR), n_name FROM nation""")
+def files_loaded(spark, sf_dir):
+    """Customers written as CSV and nations as JSON, loaded by suffix."""
+    out, customer, nation = shared_dir(spark, "files"), load(spark, sf_dir, "customer"), load(spark, sf_dir, "nation")
+    customer.select("c_custkey", "c_mktsegment").write.csv(f"{out}/customer.csv", header=True)
+    nation.select(F.to_json(F.struct("n_nationkey", "n_name"), {"pretty": "true"}).alias("value")).repartition("value").write.option("maxRecordsPerFile", 1).text(f"{out}/nation.json")
+    csv = load_file(spark, f"{out}/customer.csv").select(F.lit("csv").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("word"))
+    json = load_file(spark, f"{out}/nation.json").select(F.lit("json").alias("kind"), F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("word"))
+    return csv.unionByName(json)
+
+
 _COUNTS = ["rule_id", "n_rows", "passed", "failed", "unknown", "pass_rate"]
 
 
@@ -210,12 +232,15 @@ def scorecard_sales(spark, sf_dir):
     return ev.scorecard(sales_view(spark, sf_dir).drop(*SALES_KEYS), SALES_RULES, "sales")
 
 
+ALL = "'ALL'"
+
+
 def _by_status_check():
     parts = []
-    for key in ("coalesce(status, 'none')", "'ALL'"):
+    for key in ("coalesce(status, 'none')", ALL):
         for rid, p in SALES_RULES_SQL.items():
             parts.append(
-                f"SELECT '{rid}' AS rule_id, {key} AS status, count(*) AS n_rows, "
+                f"SELECT '{rid}' AS rule_id, {key} AS status, {int(key == ALL)} AS level, count(*) AS n_rows, "
                 f"count(*) FILTER (WHERE {p}) AS passed, count(*) FILTER (WHERE NOT ({p})) AS failed, "
                 f"count(*) FILTER (WHERE ({p}) IS NULL) AS unknown, "
                 f"round(CAST(count(*) FILTER (WHERE NOT ({p})) AS DOUBLE) / count(*), 6) AS violation_rate "
@@ -317,6 +342,16 @@ def manifest_rules(spark, sf_dir):
     return ev.evaluate(manifest_view(spark, sf_dir), rules).select(*_COUNTS)
 
 
+@query(f"""SELECT product_id, quantity, estimated_arrival_date, count(*) AS n_rows FROM (
+               SELECT * FROM ({_MANIFEST_SQL}) m ORDER BY product_id NULLS FIRST, quantity NULLS FIRST, estimated_arrival_date LIMIT 200) t
+           GROUP BY 1, 2, 3""")
+def manifest_typed(spark, sf_dir):
+    """The first manifest rows as literals of a typed table."""
+    first = manifest_view(spark, sf_dir).orderBy(F.col("product_id").asc_nulls_first(), F.col("quantity").asc_nulls_first(), "estimated_arrival_date").limit(200)
+    typed = manifest_df(spark, [tuple(r) for r in first.collect()])
+    return typed.groupBy("product_id", "quantity", "estimated_arrival_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("""SELECT 'l_partkey' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE known) AS matched,
                  count(*) FILTER (WHERE NOT known AND l_partkey IS NOT NULL) AS orphans,
                  count(*) FILTER (WHERE l_partkey IS NULL) AS unknown,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rulemill.operators import profile as pf
 from rulemill.operators import prompts as pr
+from rulemill.operators.vectors import Retriever
 from rulemill.plans.catalog import query
 from rulemill.plans.rulesets import _ENUMS, mined_enums
 from rulemill.sources.tables import load
@@ -132,3 +133,48 @@ def _prompts(spark, sf_dir):
 @query(" UNION ALL ".join(_prompt_sql(t) for t in _COLUMN_TYPES))
 def build_prompts(spark, sf_dir):
     return _prompts(spark, sf_dir)
+
+
+# Statistics of three tables, and rules of the history, by text id, whose columns sound alike.
+_HISTORY = {"lineitem.l_orderkey": "l_orderkey references orders", "lineitem.l_quantity": "l_quantity between 1 and 50", "supplier.s_acctbal": "s_acctbal above -1000",
+            "supplier.s_name": "s_name is unique", "nation.n_nationkey": "n_nationkey is not null", "events.value": "value at least 0"}
+_HISTORY_SQL = " UNION ALL ".join(f"SELECT '{k}' AS id, '{v}' AS text" for k, v in _HISTORY.items())
+_ASKED_SQL = " UNION ALL ".join(f"SELECT '{t}' AS id, '{' '.join(c for c, _ in cols)}' AS text" for t, cols in _COLUMN_TYPES.items())
+
+
+def _vector_sql(relation):
+    return f"""SELECT id, bucket, round(n / sqrt(sum(n * n) OVER (PARTITION BY id)), 6) AS weight FROM (
+                 SELECT id, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 64 AS bucket, count(*) AS n
+                 FROM (SELECT id, unnest(regexp_extract_all(lower(text), '([\\p{{L}}\\p{{N}}]+)', 1)) AS word FROM ({relation}) w) x GROUP BY 1, 2) c"""
+
+
+def _statistics_sql(table):
+    shown = {"int": "CAST({f} AS VARCHAR)", "bigint": "CAST({f} AS VARCHAR)", "string": "{f}", "double": "CAST(CAST(round({f}, 6) AS DECIMAL(30,6)) AS VARCHAR)",
+             "timestamp_ntz": "strftime({f}, '%Y-%m-%d %H:%M:%S')"}
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '- {c}: ' || count(*) || ' rows, ' || (count(*) - count({c})) || ' null, ' || count(DISTINCT {c}) || ' distinct, from '
+                   || {shown[t].format(f=f'min({c})')} || ' to ' || {shown[t].format(f=f'max({c})')} AS line FROM {table}""" for c, t in _COLUMN_TYPES[table])
+
+
+@query(f"""WITH r AS ({_vector_sql(_HISTORY_SQL)}), a AS ({_vector_sql(_ASKED_SQL)}),
+                rn AS (SELECT id, sqrt(sum(weight * weight)) AS n FROM r GROUP BY 1), an AS (SELECT id, sqrt(sum(weight * weight)) AS n FROM a GROUP BY 1),
+                s AS (SELECT a.id AS table_name, r.id AS rule_id, round(sum(a.weight * r.weight) / (any_value(an.n) * any_value(rn.n)), 6) AS score
+                      FROM a JOIN r USING (bucket) JOIN an ON an.id = a.id JOIN rn ON rn.id = r.id GROUP BY 1, 2),
+                top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY score DESC, rule_id) AS rank FROM s) k WHERE rank <= 2 AND score > 0),
+                found AS (SELECT table_name, string_agg('- ' || text, chr(10) ORDER BY '- ' || text) AS rules FROM top JOIN ({_HISTORY_SQL}) h ON h.id = rule_id GROUP BY 1),
+                stats AS (SELECT table_name, string_agg(line, chr(10) ORDER BY line) AS lines FROM ({" UNION ALL ".join(_statistics_sql(t) for t in _COLUMN_TYPES)}) l GROUP BY 1),
+                plain AS ({" UNION ALL ".join(_prompt_sql(t) for t in _COLUMN_TYPES)})
+           SELECT table_name, replace(replace(prompt, chr(10) || chr(10) || 'Known rules:', chr(10) || chr(10) || 'Statistics:' || chr(10) || lines || chr(10) || chr(10) || 'Known rules:'),
+                    chr(10) || chr(10) || 'Propose', coalesce(chr(10) || chr(10) || 'Rules of similar tables:' || chr(10) || rules, '') || chr(10) || chr(10) || 'Propose') AS prompt
+           FROM plain JOIN stats USING (table_name) LEFT JOIN found USING (table_name)""")
+def build_prompts_full(spark, sf_dir):
+    columns = profiles = None
+    for t in _COLUMN_TYPES:
+        df = load(spark, sf_dir, t).select(*[c for c, _ in _COLUMN_TYPES[t]])
+        described, profile = pf.describe_schema(df, t), pf.profile(df, t, approx=False)
+        columns, profiles = (described, profile) if columns is None else (columns.unionByName(described), profiles.unionByName(profile))
+    history = spark.createDataFrame(list(_HISTORY.items()), "rule_id string, rule string")
+    asked = columns.groupBy("table_name").agg(F.array_join(F.collect_list("name"), " ").alias("text"))
+    hits = Retriever.from_texts(history).search_historical_rules(asked, "table_name", "text", 2).where("score > 0")
+    rules = mined_enums(spark, sf_dir).where(F.col("table_name").isin(*_COLUMN_TYPES))
+    return pr.build_prompts(columns, rules, _EXAMPLE, hits.select("table_name", "rule"), pr.statistics_lines(profiles))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rulemill.operators import tracking as tr
 from rulemill.operators.versions import register
 from rulemill.plans.catalog import query
+from rulemill.session import shared_dir
 from rulemill.sources import derived as de
 from rulemill.sources.tables import load
 
@@ -69,6 +70,18 @@ def compare_runs(spark, sf_dir):
     return tr.compare_runs(de.metric_log(spark, sf_dir).unionByName(errors), 3, 7)
 
 
+@query(f"""WITH l AS (SELECT key, run_id, arg_max(value, (ts, value)) AS value FROM ({_LOG_SQL}) m GROUP BY 1, 2),
+                k AS (SELECT key, max(value) FILTER (WHERE run_id = 3) AS base, min(value) AS low, max(value) AS high FROM l GROUP BY 1)
+           SELECT key AS metric, run_id, round(value, 4) AS value, round(value - base, 4) AS difference,
+                  value = CASE WHEN key = 'latency_seconds' THEN low ELSE high END AS is_best FROM l JOIN k USING (key)""")
+def compare_all_runs(spark, sf_dir):
+    """Every run against run 3, over a log written in two batches, the second of them twice."""
+    log, path = de.metric_log(spark, sf_dir), shared_dir(spark, "run-log")
+    for batch, rows in ((0, log.where("run_id % 2 = 0")), (1, log.where("run_id % 2 = 1")), (1, log.where("run_id % 2 = 1"))):
+        tr.append_runs(rows, path, batch)
+    return tr.compare_all_runs(spark.read.parquet(path), 3, ("latency_seconds",))
+
+
 VERSIONS_SQL = """
     SELECT 'm' || (user_id % 10) AS name, user_id AS run_id, ts, event_id AS request_id,
            row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS version

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from rulemill.functions.ordering import asof_join
@@ -76,3 +78,12 @@ def latest_versions(spark, sf_dir):
               WHERE l.version <> k.version GROUP BY 1, 2) p ON p.name = c.name AND p.alias = c.alias""")
 def rollback_target(spark, sf_dir):
     return ve.rollback_target(alias_log(spark, sf_dir))
+
+
+@query("""SELECT v.name, count(*) + 1 AS version, 'rules for {{table}}' AS template, 'shorter' AS commit_message, 'prod' AS stage
+          FROM (SELECT 'm' || (user_id % 10) AS name FROM events WHERE event_type = 'signup') v WHERE v.name = 'm3' GROUP BY 1""")
+def register_prompt(spark, sf_dir):
+    """The next version of a prompt on top of those registered before it."""
+    known = ve.register(None, de.version_requests(spark, sf_dir))
+    made = ve.register_prompt(known, "m3", "rules for {{table}}", "shorter", {"stage": "prod"}, spark, datetime.datetime(2030, 1, 1))
+    return made.select("name", "version", "template", "commit_message", F.col("tags")["stage"].alias("stage"))
