@@ -70,6 +70,29 @@ def test_pivots_are_no_limit(spark, monkeypatch):
     assert sorted((tuple(r) for r in jaccard.groups(docs_of(spark, rows)).collect()), key=repr) == by_all_pairs(rows)
 
 
+def test_large_sides_are_shuffled_with_the_same_result(spark, monkeypatch):
+    """Every count-checked broadcast off, Spark's own too, and few known frequencies."""
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard, "MOST_FREQUENT", 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = near_copies(11, 8)
+        assert sorted((tuple(r) for r in jaccard.groups(docs_of(spark, rows)).collect()), key=repr) == by_all_pairs(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_threshold_bounds_what_the_driver_gets(spark, monkeypatch):
+    counts = spark.createDataFrame([(k, n) for k, n in enumerate([2] * 50 + [3] * 5 + [9000] * 3 + [9001, 20_000])], "token long, n long")
+    for most in (1, 2, 4, 5, 10, 100):
+        monkeypatch.setattr(jaccard, "MOST_FREQUENT", most)
+        least = jaccard.threshold(counts)
+        kept = counts.where(f"n >= {least}").count()
+        assert kept <= most and (most not in (5, 10, 100) or kept == {5: 5, 10: 10, 100: 60}[most])
+    assert jaccard.threshold(counts.limit(0)) == 1
+
+
 def test_query(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in queries.QUERIES["op6_jaccard"](spark, sf).collect()), key=repr) == by_all_pairs(rows)
