@@ -12,8 +12,8 @@ for the most frequent tokens only: they steer which tokens come first, never whi
 links are found.
 
 Result rows name classes, not pairs, so within a connected group not every pair is
-needed. Each prefix bucket is compared with a few pivots first; then only members of
-different components that still share a bucket are compared, all of them.
+needed. Each prefix bucket is compared with a pivot a few times, more often while buckets are crowded and
+pivots find links; then only members of different components that still share a bucket are compared, all of them.
 """
 
 from __future__ import annotations
@@ -32,12 +32,15 @@ from rulemill.llm.graph import components
 
 WORDS = 5
 SHARE = (80, 100)  # intersection to union
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 2  # at least
+MOST_PIVOT_ROUNDS = 8  # while pairs are many and pivots still find links
+MANY = 4  # pairs of components for each row of a bucket
+WORTH = 16  # pairs that a pivot round may compare for each link it finds, to be followed by another
 OFTEN = 2  # occurrences in one stretch of documents from which a token is counted as frequent
 STRETCH = 1 << 22  # shingles of a stretch
 MOST_FREQUENT = 1 << 18  # tokens whose frequency the orders know: 4 MB
 FINE = 4096  # counts up to which the histogram of counts is exact
-BROADCAST_ROWS = 1 << 18  # of ids: some 30 MB as a hash table; more are joined by a shuffle
+BROADCAST_ROWS = 1 << 18  # of ids of texts to read again: some 30 MB as a hash table; more are joined by a shuffle
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,15 +89,26 @@ class Orders:
     def __init__(self, tokens: np.ndarray, counts: np.ndarray):
         order = np.argsort(tokens)
         self.tokens, self.counts = tokens[order], counts[order]
+        self.marks = np.zeros(1 << 22, bool)  # slots of known tokens, so that few others are looked up
+        self.marks[(tokens >> np.uint64(42)).astype(np.int64)] = True
 
     def prefix(self, tokens: np.ndarray, salt: int) -> np.ndarray:
+        """The first tokens of a set under one order, in it."""
         n = prefix_size(len(tokens))
-        if len(self.tokens):
-            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-            often = np.where(self.tokens[at] == tokens, self.counts[at], 0)
-        else:
-            often = np.zeros(len(tokens), np.int64)
-        return tokens[np.lexsort((mix(tokens, salt), often))[:n]]
+        known = np.flatnonzero(self.marks[(tokens >> np.uint64(42)).astype(np.int64)])
+        often = np.zeros(len(tokens), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(self.tokens, tokens[known]), len(self.tokens) - 1)
+            often[known] = np.where(self.tokens[at] == tokens[known], self.counts[at], 0)
+        rank = mix(tokens, salt)
+        rare = np.flatnonzero(often == 0)
+        if len(rare) > n:  # all of the prefix is among the tokens of no known frequency
+            rare = rare[np.argpartition(rank[rare], n - 1)[:n]] if n else rare[:0]
+        first = rare[np.argsort(rank[rare], kind="stable")][:n]
+        if len(first) < n:
+            rest = np.flatnonzero(often)
+            first = np.concatenate([first, rest[np.lexsort((rank[rest], often[rest]))[:n - len(first)]]])
+        return tokens[first]
 
 
 def frequent_tokens(docs: DataFrame) -> Orders:
@@ -210,15 +224,10 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(SHARE[1] * shared >= SHARE[0] * (F.col("nu") + F.col("nv") - shared)).select("u", "v").distinct()
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    """Sent to all tasks where a count shows that they are few enough, else shuffled."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, orders: Orders) -> DataFrame:
     """The pairs that link; sets are read for the texts in them only."""
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = stored(classes.join(nodes, "node", "left_semi"), "jaccard-wanted")
+    wanted = stored(classes.select("node", "doc", "mark").join(nodes, "node", "left_semi"), "jaccard-wanted")
     sets = stored(sets_of(source, wanted, orders), "jaccard-sets")
     near = stored(share_prefixes(pairs, sets), "jaccard-near")
     links = stored(verify(near, sets), "jaccard-links")
@@ -236,6 +245,30 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
+def buckets_of(classes: DataFrame) -> DataFrame:
+    """(token, node, n, pos): the classes (node, n, prefix) that share a prefix token with another one.
+
+    A passage that many texts share gives as many tokens with the very same members; of such tokens, told by
+    two checksums over their members, one stands for all, with the first place that any of them has in a member's prefix.
+    So a pair meets once, and as earlier places only let more pairs through, none is lost.
+    """
+    tokens = classes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n")
+    members = tokens.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    members = stored(members.where("c > 1"), "jaccard-tokens")
+    named = members.groupBy("c", "x", "y").agg(F.min("token").alias("bucket"))
+    named = stored(members.join(named, ["c", "x", "y"]).select("token", "bucket"), "jaccard-named")
+    out = tokens.join(named, "token").groupBy(F.col("bucket").alias("token"), "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    out = stored(out, "jaccard-buckets")
+    discard(members, named)
+    return out
+
+
+def crossings(rows: DataFrame) -> int:
+    """Pairs of components that share a bucket, counted once for each bucket."""
+    per_bucket = rows.select("token", "root").distinct().groupBy("token").agg(F.count("*").cast("double").alias("c"))
+    return int(per_bucket.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0] or 0)
+
+
 def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Each member of a bucket with one pivot of it, if they are in different
     components; of (token, node, n, pos, root)."""
@@ -269,21 +302,19 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     source = source.withColumn("hash", text_hash(F.col("body")))
     orders = frequent_tokens(source)
     rows = stored(prefixes(source, orders).withColumn("rid", F.monotonically_increasing_id()), "jaccard-rows")
-    classes = rows.where("n > 0").groupBy("mark").agg(F.min(F.struct("rid", "doc", "n")).alias("first"))
-    classes = stored(classes.select("mark", F.col("first.rid").alias("node"), F.col("first.doc").alias("doc"), F.col("first.n").alias("n")), "jaccard-classes")
+    classes = rows.where("n > 0").groupBy("mark").agg(F.min_by(F.struct("rid", "doc", "n", "prefix"), "rid").alias("first"))
     # a class is compared through its first row alone
-    firsts = classes.select(F.col("node").alias("rid"))
-    tokens = rows.join(_small(firsts), "rid", "left_semi").select(F.posexplode("prefix").alias("pos", "token"), F.col("rid").alias("node"), "n")
-    often = stored(tokens.groupBy("token").count().where("count > 1").select("token"), "jaccard-tokens")
-    buckets = stored(tokens.join(_small(often), "token", "left_semi"), "jaccard-buckets")
-    discard(often)
-    links, labelled = None, buckets.withColumn("root", F.col("node"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        pairs = pivot_pairs(labelled, turn) if turn < PIVOT_ROUNDS else remaining_pairs(labelled)
-        found = _verified(stored(pairs, "jaccard-pairs"), source, classes, orders)
+    classes = stored(classes.select("mark", F.col("first.rid").alias("node"), "first.doc", "first.n", "first.prefix"), "jaccard-classes")
+    buckets = buckets_of(classes)
+    size, links, labelled, turn, more = buckets.count(), None, buckets.withColumn("root", F.col("node")), 0, True
+    while more:
+        more = turn < PIVOT_ROUNDS or turn < MOST_PIVOT_ROUNDS and found.count() * WORTH > met and crossings(labelled) > MANY * size
+        pairs = stored(pivot_pairs(labelled, turn) if more else remaining_pairs(labelled), "jaccard-pairs")
+        met, found = pairs.count(), _verified(pairs, source, classes, orders)
         links = found if links is None else links.unionByName(found)
-        if turn < PIVOT_ROUNDS:
+        if more:
             labelled = stored(_labels(links, buckets), "jaccard-labels")
+        turn += 1
     roots = stored(components(links), "jaccard-roots")
     named = classes.join(roots, "node", "left").select("mark", F.coalesce("root", "node").alias("root"))
     whole = rows.select("doc", "hash", "n", "mark", "rid").where("n > 0").join(named, "mark").select("doc", "hash", "n", "rid", "root")
