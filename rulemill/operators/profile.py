@@ -108,7 +108,7 @@ def profile(df: DataFrame, table_name: str, approx: bool = True) -> DataFrame:
     By default one aggregate pass with a sketch for the distinct values. The
     exact form reads each column on its own and counts its values, so repeated
     values shrink before the shuffle and no row is multiplied by the number of
-    columns. Of arrays and other types without an order only nulls are counted.
+    columns; texts are counted by 128-bit hashes. Of arrays and other types without an order only nulls are counted.
     """
     fields = df.schema.fields
     if not approx:
@@ -132,6 +132,11 @@ def _exact_profile(df: DataFrame, table_name: str, f: T.StructField) -> DataFram
         counts = df.agg(F.count(F.lit(1)).alias("_rows"), F.count(f.name).alias("_values"))
         return counts.select(*_profile_row(table_name, f, F.col("_rows"), F.col("_values"), *_no_order()))
     value, zero = F.col(f.name), F.lit(0).cast("bigint")
+    if isinstance(f.dataType, T.StringType):  # texts are told apart by 128-bit hashes, so no text is shuffled
+        ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
+        counts = df.groupBy(F.unhex(F.md5(value)).alias("h")).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.coalesce(F.sum("_n"), zero).alias("_rows"), F.coalesce(F.sum(F.when(F.col("h").isNotNull(), F.col("_n"))), zero).alias("_values"), F.count("h").alias("_distinct"))
+        return counts.select(*_profile_row(table_name, f, F.col("_rows"), F.col("_values"), F.col("_distinct"), ends.select("low").scalar(), ends.select("high").scalar(), F.lit(None)))
     present = F.when(value.isNotNull(), F.col("_n"))
     aggs = [F.coalesce(F.sum("_n"), zero).alias("_rows"), F.coalesce(F.sum(present), zero).alias("_values"),
             F.count(value).alias("_distinct"), F.min(value).alias("_min"), F.max(value).alias("_max")]
