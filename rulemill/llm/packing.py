@@ -10,6 +10,7 @@ steps of its height.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,13 +79,14 @@ def best_fit(sizes: list[int], capacity: int) -> list[int]:
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text",
          capacity: int = CAPACITY, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Packed rows: shard, row, ids, n_tokens, cu_seqlens, resets, doc_ids, pieces.
+    """Packed rows: shard, row, ids, ids_sha256, n_tokens, cu_seqlens, resets, doc_rows, doc_ids, pieces.
 
     ``ids`` is one row of the id matrix, ``capacity`` little-endian unsigned
     integers padded with 0: of two bytes where every id fits, else of four.
     ``cu_seqlens`` has the cumulative segment lengths from 0 on; ``resets`` the
-    places where positions start at 0 again; ``doc_ids`` and ``pieces`` say which
-    piece of which document a segment is. A null or empty text is a segment with
+    places where positions start at 0 again; ``doc_rows``, ``doc_ids`` and ``pieces`` say which
+    piece of which row, and of which document, a segment is, so rows of one id or of none stay apart. ``ids_sha256`` is of
+    ``ids``. A null or empty text is a segment with
     only the end id; repeated rows are packed each; a null id stays null; an empty
     table gives no rows. Other columns are dropped, so none can clash.
     """
@@ -92,7 +94,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text
     encoder = load_encoder(tokenizer)
     width = 2 if max(len(encoder.labels), end_id + 1) <= 1 << 16 else 4
     shared = spark.sparkContext.broadcast(encoder)
-    source = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("body"))
+    source = docs.select(F.monotonically_increasing_id().alias("at"), F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("body"))
     kind = source.schema["doc"].dataType.simpleString()
     size = source.agg(F.sum(F.octet_length("body") + 8).alias("n")).first()["n"] or 1
     shards = int(-(-size // shard_bytes))
@@ -101,35 +103,36 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = shared.value
         for pdf in batches:
-            doc, piece, ids = [], [], []
-            for d, body in zip(pdf["doc"], pdf["body"], strict=True):
+            at, doc, piece, ids = [], [], [], []
+            for row, d, body in zip(pdf["at"], pdf["doc"], pdf["body"], strict=True):
                 found = np.frombuffer(coder.encode(body) + tail, "<u4").astype(f"<u{width}")
                 for k in range(0, len(found), capacity):
+                    at.append(row)
                     doc.append(d)
                     piece.append(k // capacity)
                     ids.append(found[k:k + capacity].tobytes())
-            yield pd.DataFrame({"doc": pd.Series(doc, dtype=pdf["doc"].dtype), "piece": piece, "ids": ids})
+            yield pd.DataFrame({"at": at, "doc": pd.Series(doc, dtype=pdf["doc"].dtype), "piece": piece, "ids": ids})
 
-    pieces = source.mapInPandas(cut, f"doc {kind}, piece int, ids binary")
-    pieces = pieces.withColumn("place", F.monotonically_increasing_id()).withColumn("shard", F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int"))
+    pieces = source.mapInPandas(cut, f"at long, doc {kind}, piece int, ids binary")
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("at", "piece"), F.lit(shards)).cast("int"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         n = pdf["ids"].map(len).to_numpy() // width
-        order = np.lexsort((pdf["place"].to_numpy(), -n))
+        order = np.lexsort((pdf["piece"].to_numpy(), pdf["at"].to_numpy(), -n))
         pdf, n = pdf.iloc[order], n[order]
         row = np.array(best_fit(n.tolist(), capacity), np.int64)
         out = []
         order = np.argsort(row, kind="stable")
-        docs_, parts, ids = pdf["doc"].tolist(), pdf["piece"].tolist(), pdf["ids"].tolist()
+        rows_, docs_, parts, ids = pdf["at"].tolist(), pdf["doc"].tolist(), pdf["piece"].tolist(), pdf["ids"].tolist()
         for group in np.split(order, np.flatnonzero(np.diff(row[order])) + 1):
             ends = np.cumsum(n[group])
-            body = b"".join(ids[k] for k in group)
-            out.append((int(pdf["shard"].iloc[0]), int(row[group[0]]), body.ljust(capacity * width, PAD.to_bytes(1, "little")), int(ends[-1]),
-                        [0, *ends.tolist()], [0, *ends[:-1].tolist()], [None if pd.isna(docs_[k]) else docs_[k] for k in group], [parts[k] for k in group]))
-        return pd.DataFrame(out, columns=["shard", "row", "ids", "n_tokens", "cu_seqlens", "resets", "doc_ids", "pieces"])
+            body = b"".join(ids[k] for k in group).ljust(capacity * width, PAD.to_bytes(1, "little"))
+            out.append((int(pdf["shard"].iloc[0]), int(row[group[0]]), body, hashlib.sha256(body).hexdigest(), int(ends[-1]),
+                        [0, *ends.tolist()], [0, *ends[:-1].tolist()], [rows_[k] for k in group], [None if pd.isna(docs_[k]) else docs_[k] for k in group], [parts[k] for k in group]))
+        return pd.DataFrame(out, columns=["shard", "row", "ids", "ids_sha256", "n_tokens", "cu_seqlens", "resets", "doc_rows", "doc_ids", "pieces"])
 
     return pieces.groupBy("shard").applyInPandas(
-        fill, f"shard int, row long, ids binary, n_tokens int, cu_seqlens array<int>, resets array<int>, doc_ids array<{kind}>, pieces array<int>")
+        fill, f"shard int, row long, ids binary, ids_sha256 string, n_tokens int, cu_seqlens array<int>, resets array<int>, doc_rows array<long>, doc_ids array<{kind}>, pieces array<int>")
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
@@ -138,16 +141,16 @@ def write_packed(packed: DataFrame, path: str) -> None:
 
 
 def unpack(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """The documents' ids from written rows: doc_id, ids (little-endian 32-bit, with
-    the end id). Documents are told apart by their id, which must be unique."""
+    """The documents' ids from written rows: doc_row, doc_id, ids (little-endian 32-bit, with
+    the end id), one for each row that was packed, also of repeated and null ids."""
     packed = spark.read.parquet(path)
     at = fresh(packed, "at")
-    segments = packed.select("ids", F.posexplode("doc_ids").alias(at, "doc_id"), "pieces", "cu_seqlens").select(
-        "doc_id", F.element_at("pieces", F.col(at) + 1).alias("piece"),
+    segments = packed.select("ids", F.posexplode("doc_rows").alias(at, "doc_row"), "doc_ids", "pieces", "cu_seqlens").select(
+        "doc_row", F.get("doc_ids", at).alias("doc_id"), F.element_at("pieces", F.col(at) + 1).alias("piece"),
         F.expr(f"substring(ids, 1 + {width} * element_at(cu_seqlens, {at} + 1), {width} * (element_at(cu_seqlens, {at} + 2) - element_at(cu_seqlens, {at} + 1)))").alias("part"))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         whole = b"".join(pdf.sort_values("piece")["part"])
-        return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "ids": [np.frombuffer(whole, f"<u{width}").astype("<u4").tobytes()]})
+        return pd.DataFrame({"doc_row": [pdf["doc_row"].iloc[0]], "doc_id": pd.Series([pdf["doc_id"].iloc[0]], dtype=pdf["doc_id"].dtype), "ids": [np.frombuffer(whole, f"<u{width}").astype("<u4").tobytes()]})
 
-    return segments.groupBy("doc_id").applyInPandas(join, f"doc_id {dict(segments.dtypes)['doc_id']}, ids binary")
+    return segments.groupBy("doc_row").applyInPandas(join, f"doc_row long, doc_id {dict(segments.dtypes)['doc_id']}, ids binary")

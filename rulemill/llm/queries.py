@@ -82,7 +82,7 @@ def op5_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rulemill.session import shared_dir
     packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 49407)
     packing.write_packed(packed, path := shared_dir(spark, "packed"))
-    return spark.read.parquet(path).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+    return spark.read.parquet(path).drop("ids", "doc_rows")
 
 
 @query

@@ -1,6 +1,7 @@
 """Best fit against a plain search; packed rows give every id back."""
 
 import array
+import hashlib
 import random
 
 from rulemill.llm import bpe, packing, queries
@@ -24,8 +25,8 @@ def test_best_fit_takes_the_least_sufficient_room():
 
 
 def test_rows_are_lossless(spark, tmp_path):
-    rows = {(100 + k, t) for k, (_, t) in enumerate(odd_rows())}
-    docs = docs_of(spark, sorted(rows, key=repr))
+    rows = odd_rows() + odd_rows()[-2:] + [(None, "another null id " * 90), (1, "the same id " * 90), (1, "the same id " * 90)]
+    docs = docs_of(spark, rows).repartition(3)
     packed = packing.pack(docs, queries.tokenizer_path(), 49407, capacity=64, shard_bytes=1 << 14)
     packing.write_packed(packed, str(tmp_path / "packed"))
     whole = spark.read.parquet(str(tmp_path / "packed"))
@@ -33,10 +34,11 @@ def test_rows_are_lossless(spark, tmp_path):
         ends = r["cu_seqlens"]
         assert len(r["ids"]) == 128 and ends[0] == 0 and ends[-1] == r["n_tokens"] <= 64 and r["resets"] == ends[:-1]
         assert ends == sorted(set(ends)) and len(r["doc_ids"]) == len(r["pieces"]) == len(ends) - 1
-        assert not any(array.array("H", bytes(r["ids"]))[r["n_tokens"]:])
+        assert not any(array.array("H", bytes(r["ids"]))[r["n_tokens"]:]) and len(r["doc_rows"]) == len(r["pieces"])
+        assert r["ids_sha256"] == hashlib.sha256(bytes(r["ids"])).hexdigest()
     coder = bpe.load_encoder(queries.tokenizer_path())
-    back = {r["doc_id"]: bytes(r["ids"]) for r in packing.unpack(spark, str(tmp_path / "packed")).collect()}
-    assert back == {i: coder.encode(t) + (49407).to_bytes(4, "little") for i, t in rows}
+    back = sorted(((r["doc_id"], bytes(r["ids"])) for r in packing.unpack(spark, str(tmp_path / "packed")).collect()), key=repr)
+    assert back == sorted(((i, coder.encode(t) + (49407).to_bytes(4, "little")) for i, t in rows), key=repr)
 
 
 def test_odd_rows(spark):
