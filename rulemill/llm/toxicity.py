@@ -1,13 +1,17 @@
 """Toxicity by class-conditional Kneser-Ney models of the letters of words.
 
-Each class has a model of a letter given the five before it, interpolated with a
-lower order that both classes share: the continuation counts of five-letter
+Each class has a model of a letter given the seven before it, interpolated with a
+lower order that both classes share: the continuation counts of seven-letter
 sequences over the whole corpus, so an expression that is rare among the labelled
-rows falls back to what every document shows. A word's evidence is the difference
-of its toxic and ordinary log-likelihoods divided by its length; a text's is that
-of its most toxic word, as one insult among thousands of words is enough. A
-logistic curve, fitted on labelled rows the counts have not seen, turns it into a
-score.
+rows falls back to what every document shows. A word's evidence is the largest
+difference of toxic and ordinary log-likelihood over any stretch of its letters, so
+endings do not hide a stem. A text has four figures over its different words: the
+length-normalised difference of its log-likelihoods, the most telling word, the mean
+of the three most telling ones, and the logarithm of their number, as the most telling of
+many words tells less. A fifth is the largest length-normalised difference of a whole word.
+Two logistic curves are fitted on labelled rows the counts have not seen: one over the first four,
+as many weak signs add up, one over the fifth, as one insult among thousands of words is
+enough. The larger of the two is the score.
 
 Class counts are taken from the rows of at most ``LABELLED`` ids of a class (the
 ``rows`` of ``choose``); the model sent to the workers is bounded by them. Corpus counts cover every row.
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -26,11 +31,13 @@ from pyspark.sql import functions as F
 
 from rulemill.llm.common import stored
 
-ORDER = 6
+ORDER = 8
 DISCOUNT = 0.75
 ALPHABET = 64  # of the uniform distribution below all counts
 LABELLED = 20_000  # rows of a class that counts and curve are fitted on, at most
 CACHED_WORDS = 1 << 18
+TELLING = 3  # words of a text, the most telling ones
+FIGURES = 5  # of a text; the last has a curve of its own
 SLICE = 1 << 14  # words worked on at once
 START, END = "\x02", "\x03"
 WORD = regex.compile(r"[\p{L}\p{M}]+")
@@ -39,8 +46,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 def sequences(words: list[str], lower: bool = False) -> tuple[np.ndarray, ...]:
     """For each letter of each word and its end: the word's number and 64-bit keys of
-    the six symbols up to it and of the first five, or, for ``lower``, of the last
-    five and of the four before the last. A key is a polynomial of the symbols, so
+    the ``ORDER`` symbols up to it and of all but the last, or, for ``lower``, of all but
+    the first and of those without the last. A key is a polynomial of the symbols, so
     one symbol more is one step more."""
     text = "".join([f"{START * (ORDER - 1)}{w}{END}" for w in words])
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -64,7 +71,7 @@ def _distinct(columns: tuple[np.ndarray, ...]) -> list[np.ndarray]:
 
 def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Shared lower order over all rows: (tail, shared) with the probability of the
-    last symbol of each five-symbol sequence, by distinct left neighbours."""
+    last symbol of each sequence of ``ORDER - 1`` symbols, by distinct left neighbours."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[str] = set()
@@ -89,7 +96,8 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def class_counts(labelled: DataFrame) -> DataFrame:
-    """Rows of each class that hold a six-symbol sequence, of (body, toxic)."""
+    """How often a sequence stands in the different words of a row, added up over the
+    rows of each class, of (body, toxic)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -101,10 +109,8 @@ def class_counts(labelled: DataFrame) -> DataFrame:
                     continue
                 owner, full, head = sequences(words)
                 tail = sequences(words, lower=True)[1]
-                row = row[owner]
-                once = _distinct((full.view(np.uint64) * _STEP + row.astype(np.uint64), full, head, tail, row))
-                toxic = pdf["toxic"].to_numpy(np.int64)[lo:lo + 64][once[4]]
-                out = pd.DataFrame({"full": once[1], "head": once[2], "tail": once[3], "t": toxic, "o": 1 - toxic})
+                toxic = pdf["toxic"].to_numpy(np.int64)[lo:lo + 64][row[owner]]
+                out = pd.DataFrame({"full": full, "head": head, "tail": tail, "t": toxic, "o": 1 - toxic})
                 yield out.groupby(["full", "head", "tail"], as_index=False).sum()
 
     rows = labelled.mapInPandas(run, "full bigint, head bigint, tail bigint, t bigint, o bigint")
@@ -112,8 +118,8 @@ def class_counts(labelled: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Log-ratio of each six-symbol sequence of the labelled rows, and of a new last
-    symbol after each of their heads; both follow the labelled rows in size."""
+    """Log-ratio of each sequence of the labelled rows, and of a new last symbol after
+    each of their heads; both follow the labelled rows in size."""
 
     def __init__(self, full: pd.DataFrame, heads: pd.DataFrame):
         full, heads = full.sort_values("full"), heads.sort_values("head")
@@ -127,15 +133,37 @@ class Model:
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         return keys[at] == wanted, values[at]
 
-    def evidence(self, words: list[str]) -> np.ndarray:
-        """Length-normalised log-likelihood difference of each word."""
-        if not words:
-            return np.zeros(0)
+    def ratios(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The word and the log-likelihood difference of each symbol."""
         owner, full, head = sequences(words)
         known, ratio = self._look_up(self.full, self.ratio, full)
         met, fallback = self._look_up(self.heads, self.fallback, head)
-        each = np.where(known, ratio, np.where(met, fallback, 0.0))
-        return np.bincount(owner, each, len(words)) / np.bincount(owner, minlength=len(words))
+        return owner, np.where(known, ratio, np.where(met, fallback, 0.0))
+
+    def evidence(self, words: list[str]) -> np.ndarray:
+        """Columns: each word's most telling stretch, its log-likelihood difference
+        and its number of symbols."""
+        out = np.zeros((len(words), 3))
+        for lo in range(0, len(words), SLICE):
+            part = words[lo:lo + SLICE]
+            owner, each = self.ratios(part)
+            sizes = np.bincount(owner, minlength=len(part))
+            out[lo:lo + SLICE] = np.stack([best_stretch(each, sizes), np.bincount(owner, each, len(part)), sizes], 1)
+        return out
+
+
+def best_stretch(each: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Largest sum over neighbours in each of the runs that ``each`` is made of, 0 at
+    least. Runs are handled together by powers of two of their size."""
+    out, starts = np.zeros(len(sizes)), np.cumsum(sizes) - sizes
+    level = np.ceil(np.log2(sizes)).astype(int)
+    for k in np.unique(level):
+        runs, place = np.flatnonzero(level == k), np.arange(1 << k)
+        at = np.minimum(starts[runs, None] + place, len(each) - 1)
+        total = np.zeros((len(runs), (1 << k) + 1))
+        np.cumsum(np.where(place < sizes[runs, None], each[at], 0.0), axis=1, out=total[:, 1:])
+        out[runs] = (total - np.minimum.accumulate(total, axis=1)).max(1)
+    return out
 
 
 def fit_model(labelled: DataFrame, shared: DataFrame) -> Model:
@@ -157,73 +185,82 @@ def fit_model(labelled: DataFrame, shared: DataFrame) -> Model:
     return Model(full.toPandas(), back.toPandas())
 
 
-class _Known(dict):
-    """Evidence of the texts between white space met first, and of those of the rows at hand."""
+class _Words:
+    """Evidence of the words met so far, by number; forgotten when too many."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.chunks: dict[str, tuple[int, ...]] = {}  # texts between white space, and their words
+        self.values = np.zeros((0, 3))
 
-    def __missing__(self, chunk: str) -> float:
-        return self.recent[chunk]
+    def read(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The evidence of the different words of each text."""
+        if len(self.chunks) > CACHED_WORDS:
+            self.clear()
+        own = [set(t.lower().split()) if t else set() for t in texts]
+        numbers, met = self.numbers, len(self.numbers)
+        for chunk in set().union(*own) - self.chunks.keys():
+            self.chunks[chunk] = tuple([numbers.setdefault(w, len(numbers)) for w in WORD.findall(chunk)])
+        new = list(islice(numbers, met, None))
+        self.values = np.concatenate([self.values, self.model.evidence(new)])
+        return [self.values[list(set(chain.from_iterable(map(self.chunks.__getitem__, one))))] for one in own]
+
+
+def figures(words: np.ndarray) -> list[float]:
+    """A text's five figures from the evidence of its different words."""
+    if not len(words):
+        return [0.0] * FIGURES
+    best = np.sort(words[:, 0])[-TELLING:]
+    return [words[:, 1].sum() / words[:, 2].sum(), best[-1], best.sum() / TELLING, math.log1p(len(words)), (words[:, 1] / words[:, 2]).max()]
 
 
 def evidence(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
-    """Columns ``keep`` with ``raw``: the evidence of the most toxic word of the
-    whole text, 0 without words."""
+    """Columns ``keep`` with ``raw``: the five figures of the whole text, 0 without words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(*keep, F.col(f"`{text}`").cast("string").alias("body"))
     kept = source.columns[:-1]
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "raw double"])
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "raw array<double>"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, none = _Known(), -math.inf
+        words = _Words(shared.value)
         for pdf in batches:
             raws = []
             for lo in range(0, len(pdf), 256):
-                chunks = [set(t.lower().split()) if t else set() for t in pdf["body"].iloc[lo:lo + 256]]
-                new = list(set().union(*chunks) - known.keys())
-                found = [WORD.findall(c) for c in new]
-                words = list({x for f in found for x in f})
-                value = dict(zip(words, model_evidence(shared.value, words), strict=True))
-                known.recent = {c: max(map(value.__getitem__, f), default=none) for c, f in zip(new, found, strict=True)}
-                if len(known) < CACHED_WORDS:
-                    known.update(known.recent)
-                for own in chunks:
-                    best = max(map(known.__getitem__, own), default=none)
-                    raws.append(best if best > none else 0.0)
+                raws += map(figures, words.read(pdf["body"].iloc[lo:lo + 256].tolist()))
             yield pdf[kept].assign(raw=raws)
 
     return source.mapInPandas(run, schema)
 
 
-def model_evidence(model: Model, words: list[str]) -> list[float]:
-    out: list[float] = []
-    for k in range(0, len(words), SLICE):
-        out += model.evidence(words[k:k + SLICE]).tolist()
-    return out
-
-
-def fit_curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a weak prior.
+def fit_curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[list[float], float]:
+    """Weights and offset of a logistic curve, by Newton steps with a weak prior.
     Without rows of both classes the curve is flat on the side of the rows seen."""
     if not len(raw) or toxic.min() == toxic.max():
-        return 0.0, (2.0 if len(raw) and toxic.max() > 0 else -2.0)
-    scale = raw.std() or 1.0
-    x = np.stack([(raw - raw.mean()) / scale, np.ones(len(raw))], 1)
-    w = np.zeros(2)
-    prior = np.diag([1e-2, 1e-6])
+        return [0.0] * raw.shape[1], (2.0 if len(raw) and toxic.max() > 0 else -2.0)
+    mean, scale = raw.mean(0), np.where(raw.std(0) > 0, raw.std(0), 1.0)
+    x = np.concatenate([(raw - mean) / scale, np.ones((len(raw), 1))], 1)
+    w = np.zeros(x.shape[1])
+    prior = np.diag([1e-2] * raw.shape[1] + [1e-6])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + prior, x.T @ (toxic - p) - prior @ w)
         w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    slope = w[0] / scale
-    return float(max(slope, 0.0)), float(w[1] - max(slope, 0.0) * raw.mean())
+    weights = w[:-1] / scale
+    return weights.tolist(), float(w[-1] - weights @ mean)
 
 
 def choose(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", rows: int = LABELLED) -> DataFrame:
     """Labelled rows to fit on, (mark, body, toxic): of each class those of the
-    ``rows`` ids first in the order of a hash, and of equal texts one. The ids are
-    few enough to be sent to every task."""
-    named = labels.where("toxic IN (0, 1)").select(F.col(key).alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL").dropDuplicates(["id"])
+    ``rows`` ids first in the order of a hash, and of equal texts one. An id that is
+    labelled both ways is left out. The ids are few enough to be sent to every task."""
+    named = (labels.where("toxic IN (0, 1)").groupBy(F.col(key).alias("id")).agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("most"))
+             .where("id IS NOT NULL AND toxic = most").drop("most"))
     order = (F.xxhash64("id"), "id")
     ids = named.where("toxic = 0").orderBy(*order).limit(rows).unionByName(named.where("toxic = 1").orderBy(*order).limit(rows))
     plain = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body")).where("body IS NOT NULL")
@@ -235,17 +272,20 @@ def score(docs: DataFrame, chosen: DataFrame, keep: list[Column], text: str = "t
     """Columns ``keep`` of each row of ``docs`` with ``score`` and ``predicted``.
 
     ``chosen`` has the rows that ``choose`` gives. Three quarters of them are for the
-    counts, the rest for the curve. A null or empty text has no evidence and gets the
-    curve's value at 0; repeated rows score alike; without labels of both classes
+    counts, the rest for the curve. A null or empty text has no evidence and its
+    figures are 0; repeated rows score alike; without labels of both classes
     the curve is flat, below one half if none is toxic. Columns of ``docs`` that are not
     kept take no part.
     """
     chosen = stored(chosen.withColumn("curve", F.pmod(F.shiftright("mark", 7), F.lit(4)) == 0), "toxicity-rows")
     model = fit_model(chosen.where("NOT curve").select("body", "toxic"), corpus_counts(docs, text))
     sample = evidence(chosen.where("curve"), model, [F.col("toxic")], "body").toPandas()
-    slope, offset = fit_curve(sample["raw"].to_numpy(float), sample["toxic"].to_numpy(float))
+    raw, toxic = np.array(sample["raw"].tolist(), float).reshape(-1, FIGURES), sample["toxic"].to_numpy(float)
+    together, signs = fit_curve(raw[:, :-1], toxic)
+    alone, word = fit_curve(raw[:, -1:], toxic)
     out = evidence(docs, model, keep, text)
-    value = 1 / (1 + F.exp(-(F.col("raw") * slope + offset)))
+    value = F.greatest(sum((F.col("raw")[k] * w for k, w in enumerate(together)), F.lit(signs)), F.col("raw")[FIGURES - 1] * max(alone[0], 0.0) + word)
+    value = 1 / (1 + F.exp(-value))
     return out.withColumn("score", value).drop("raw").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
