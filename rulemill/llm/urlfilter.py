@@ -5,8 +5,10 @@ and the longest fitting rule decides. Pages that no rule fits are judged by host
 Trust starts on hosts in proportion to their pages that rules allow and follows
 the links (personalised PageRank); distrust starts in proportion to their pages
 that rules block and runs against the links, from a blocked host to those that
-link to it. Both are shares of all there is. A host is blocked if its share of
-distrust is above its share of trust, and above ``THRESHOLD`` times its share of pages.
+link to it. Both are iterated until they stand still and are shares of all there is, so what
+hosts without links lose counts as given back to the seeds. A host is blocked if distrust is
+more than ``THRESHOLD`` of its trust and distrust together, and at least ``EVIDENCE`` times its
+share of pages: a trace of distrust that reaches a large host over many links decides nothing.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ from pyspark.sql import functions as F
 from rulemill.llm.common import stored
 
 DAMPING = 0.85
-STEPS = 12
-THRESHOLD = 0.8
-CUT_EVERY = 4  # steps after which the ranks are written
+TOLERANCE = 1e-4  # change of all ranks of a kind in the steps between two writes at which they stand still
+THRESHOLD = 0.5
+EVIDENCE = 0.25
+CUT_EVERY = 8  # steps after which the ranks are written
 DOMAIN_LINKS = 1.0  # weight, in links, of the edges between a host and the domain above it
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>\\]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -88,16 +91,22 @@ def walks(edges: DataFrame) -> DataFrame:
     return both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("w"))
 
 
-def propagate(steps: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = STEPS) -> DataFrame:
-    """Personalised PageRank of each kind: (kind, host, v) from seeds (kind, host, s)."""
+def propagate(steps: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """Personalised PageRank of each kind: (kind, host, v) from seeds (kind, host, s).
+
+    A step shrinks the error by ``damping``, so the number of steps is bounded by the
+    tolerance, whatever the graph."""
     again = seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("v"))
     ranks = seeds.select("kind", "host", F.col("s").alias("v"))
-    for k in range(1, rounds + 1):
-        moved = ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (damping * F.col("v") * F.col("w")).alias("v"))
-        ranks = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("v").alias("v"))
-        if k % CUT_EVERY == 0 and k < rounds:
-            ranks = stored(ranks, "url-ranks")
-    return ranks
+    while True:
+        before = ranks
+        for _ in range(CUT_EVERY):
+            moved = ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (damping * F.col("v") * F.col("w")).alias("v"))
+            ranks = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("v").alias("v"))
+        ranks = stored(ranks, "url-ranks")
+        change = ranks.unionByName(before.withColumn("v", -F.col("v"))).groupBy("kind", "host").agg(F.abs(F.sum("v")).alias("v"))
+        if (change.agg(F.sum("v")).first()[0] or 0.0) <= tolerance:
+            return ranks
 
 
 def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", html: str | None = "html") -> DataFrame:
@@ -120,7 +129,6 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     seeds = marked.join(totals, "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("s"))
     ranks = propagate(stored(walks(host_edges(whole)), "url-walks"), stored(seeds, "url-seeds"))
     value = {k: F.sum(F.when(F.col("kind") == k, F.col("v"))).alias(k) for k in ("trust", "distrust")}
-    ranks = stored(ranks, "url-ranks")
     totals = ranks.groupBy("kind").agg(F.sum("v").alias("total"))
     ranks = ranks.join(totals, "kind").select("kind", "host", (F.col("v") / F.col("total")).alias("v"))
     scores = ranks.groupBy("host").agg(*value.values())
@@ -128,7 +136,7 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     judged = hosts.join(scores, "host", "left").select(
         "host", "rules", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
         (F.col("pages") / max(n_pages, 1)).alias("share"))
-    bad = (F.col("host") != "") & (F.col("distrust") > F.col("trust")) & (F.col("distrust") > THRESHOLD * F.col("share"))
+    bad = (F.col("host") != "") & (F.col("distrust") > THRESHOLD * (F.col("trust") + F.col("distrust"))) & (F.col("distrust") >= EVIDENCE * F.col("share"))
     judged = stored(judged.select("host", "rules", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("method")), "url-judged")
     out = whole.join(judged, "host", "left").withColumn("fit", decide(F.col("path"), F.col("rules")))
     return out.select(F.col("page").alias("page_id"), "host", "path", F.col("fit.rule").alias("rule"),
