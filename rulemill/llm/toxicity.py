@@ -14,7 +14,9 @@ as many weak signs add up, one over the fifth, as one insult among thousands of
 enough. The larger of the two is the score.
 
 Class counts are taken from the rows of at most ``LABELLED`` ids of a class (the
-``rows`` of ``choose``); the model sent to the workers is bounded by them. Corpus counts cover every row.
+``rows`` of ``choose``); the model sent to the workers is bounded by them. As is usual for
+long contexts, what ordinary rows show less than ``LEAST`` times and toxic ones never is left
+out of it and counts as unseen. Corpus counts cover every row.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ DISCOUNT = 0.75
 ALPHABET = 64  # of the uniform distribution below all counts
 LABELLED = 20_000  # rows of a class that counts and curve are fitted on, at most
 CACHED_WORDS = 1 << 18
+LEAST = 2
 TELLING = 3  # words of a text, the most telling ones
 FIGURES = 5  # of a text; the last has a curve of its own
 SLICE = 1 << 14  # words worked on at once
@@ -121,10 +125,14 @@ class Model:
     """Log-ratio of each sequence of the labelled rows, and of a new last symbol after
     each of their heads; both follow the labelled rows in size."""
 
-    def __init__(self, full: pd.DataFrame, heads: pd.DataFrame):
-        full, heads = full.sort_values("full"), heads.sort_values("head")
-        self.full, self.ratio = full["full"].to_numpy(np.int64), full["ratio"].to_numpy(np.float32)
-        self.heads, self.fallback = heads["head"].to_numpy(np.int64), heads["ratio"].to_numpy(np.float32)
+    def __init__(self, full: pa.Table, heads: pa.Table):
+        self.full, self.ratio = self._sorted(full)
+        self.heads, self.fallback = self._sorted(heads)
+
+    @staticmethod
+    def _sorted(rows: pa.Table) -> list[np.ndarray]:
+        order = np.argsort(rows.column(0).to_numpy())
+        return [c.to_numpy()[order] for c in rows.columns]
 
     @staticmethod
     def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +174,7 @@ def best_stretch(each: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_model(labelled: DataFrame, shared: DataFrame) -> Model:
+def fit_model(labelled: DataFrame, shared: DataFrame, least: int = LEAST) -> Model:
     counts = class_counts(labelled)
     counts = stored(counts, "toxicity-counts")
     heads = counts.groupBy("head").agg(
@@ -179,10 +187,10 @@ def fit_model(labelled: DataFrame, shared: DataFrame) -> Model:
         own = F.when(F.col(c) > 0, F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.col(c)).otherwise(0.0)
         return own + share(c, k) * F.col("shared")
 
-    full = (counts.join(shared, "tail", "left").withColumn("shared", F.coalesce("shared", F.lit(1.0 / ALPHABET))).join(heads, "head")
+    full = (counts.where((F.col("t") > 0) | (F.col("o") >= least)).join(shared, "tail", "left").withColumn("shared", F.coalesce("shared", F.lit(1.0 / ALPHABET))).join(heads, "head")
             .select("full", (F.log(p("t", "ct", "kt")) - F.log(p("o", "co", "ko"))).cast("float").alias("ratio")))
-    back = heads.select("head", (F.log(share("ct", "kt")) - F.log(share("co", "ko"))).cast("float").alias("ratio"))
-    return Model(full.toPandas(), back.toPandas())
+    back = heads.where((F.col("ct") > 0) | (F.col("co") >= least)).select("head", (F.log(share("ct", "kt")) - F.log(share("co", "ko"))).cast("float").alias("ratio"))
+    return Model(full.toArrow(), back.toArrow())
 
 
 class _Words:

@@ -43,7 +43,7 @@ def test_model_is_kneser_ney(spark):
     rows = [(0, "abab cab"), (1, "abc abab"), (2, "bca"), (3, "cabal abba")]
     docs = docs_of(spark, rows)
     labelled = spark.createDataFrame([("abab cab", 1), ("abc abab", 0), ("bca", 0)], "body string, toxic int")
-    model = toxicity.fit_model(labelled, toxicity.corpus_counts(docs))
+    model = toxicity.fit_model(labelled, toxicity.corpus_counts(docs), least=1)
     size = toxicity.ORDER - 1
     pad = lambda w: "^" * size + w + "$"
     grams = lambda w: [pad(w)[k - size:k + 1] for k in range(size, len(pad(w)))]
