@@ -64,6 +64,15 @@ def sequences(words: list[str], lower: bool = False) -> tuple[np.ndarray, ...]:
     return owner, (short * _STEP + codes[at]).view(np.int64), short.view(np.int64)
 
 
+def _ends(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each sequence the key of its symbols but the first and the last, and these two:
+    as telling as the keys of the whole and of the tail, and shorter when shuffled."""
+    text = "".join([f"{START * (ORDER - 1)}{w}{END}" for w in words])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.flatnonzero(codes != ord(START))
+    return sequences(words, lower=True)[2], codes[at - ORDER + 1].astype(np.int32), codes[at].astype(np.int32)
+
+
 def words_of(text: str | None) -> set[str]:
     return set(WORD.findall(text.lower())) if text else set()
 
@@ -74,8 +83,8 @@ def _distinct(columns: tuple[np.ndarray, ...]) -> list[np.ndarray]:
 
 
 def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Shared lower order over all rows: (tail, shared) with the probability of the
-    last symbol of each sequence of ``ORDER - 1`` symbols, by distinct left neighbours."""
+    """Shared lower order over all rows: (mid, last, shared) with the probability of the
+    last symbol after the key of those before it, of each sequence of ``ORDER - 1`` symbols, by distinct left neighbours."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[str] = set()
@@ -90,13 +99,14 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             words = list({w for c in new for w in WORD.findall(c)})
             for k in range(0, len(words), SLICE):
                 part = words[k:k + SLICE]
-                full, tail, mid = _distinct((sequences(part)[1], *sequences(part, lower=True)[1:]))
-                yield pd.DataFrame({"full": full, "tail": tail, "mid": mid})
+                full, (mid, first, last) = sequences(part)[1], _ends(part)
+                _, mid, first, last = _distinct((full, mid, first, last))
+                yield pd.DataFrame({"mid": mid, "first": first, "last": last})
 
-    types = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInPandas(run, "full bigint, tail bigint, mid bigint").distinct()
-    tails = stored(types.groupBy("tail", "mid").agg(F.count("*").alias("n")), "toxicity-tails")
+    types = docs.select(F.col(f"`{text}`").cast("string").alias("body")).mapInPandas(run, "mid bigint, first int, last int").distinct()
+    tails = stored(types.groupBy("mid", "last").agg(F.count("*").alias("n")), "toxicity-tails")
     mids = tails.groupBy("mid").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    return tails.join(mids, "mid").select("tail", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") / ALPHABET) / F.col("total")).alias("shared"))
+    return tails.join(mids, "mid").select("mid", "last", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") / ALPHABET) / F.col("total")).alias("shared"))
 
 
 def class_counts(labelled: DataFrame) -> DataFrame:
@@ -112,13 +122,13 @@ def class_counts(labelled: DataFrame) -> DataFrame:
                 if not words:
                     continue
                 owner, full, head = sequences(words)
-                tail = sequences(words, lower=True)[1]
+                mid, _, last = _ends(words)
                 toxic = pdf["toxic"].to_numpy(np.int64)[lo:lo + 64][row[owner]]
-                out = pd.DataFrame({"full": full, "head": head, "tail": tail, "t": toxic, "o": 1 - toxic})
-                yield out.groupby(["full", "head", "tail"], as_index=False).sum()
+                out = pd.DataFrame({"full": full, "head": head, "mid": mid, "last": last, "t": toxic, "o": 1 - toxic})
+                yield out.groupby(["full", "head", "mid", "last"], as_index=False).sum()
 
-    rows = labelled.mapInPandas(run, "full bigint, head bigint, tail bigint, t bigint, o bigint")
-    return rows.groupBy("full", "head", "tail").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    rows = labelled.mapInPandas(run, "full bigint, head bigint, mid bigint, last int, t bigint, o bigint")
+    return rows.groupBy("full", "head", "mid", "last").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
 class Model:
@@ -187,7 +197,7 @@ def fit_model(labelled: DataFrame, shared: DataFrame, least: int = LEAST) -> Mod
         own = F.when(F.col(c) > 0, F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.col(c)).otherwise(0.0)
         return own + share(c, k) * F.col("shared")
 
-    full = (counts.where((F.col("t") > 0) | (F.col("o") >= least)).join(shared, "tail", "left").withColumn("shared", F.coalesce("shared", F.lit(1.0 / ALPHABET))).join(heads, "head")
+    full = (counts.where((F.col("t") > 0) | (F.col("o") >= least)).join(shared, ["mid", "last"], "left").withColumn("shared", F.coalesce("shared", F.lit(1.0 / ALPHABET))).join(heads, "head")
             .select("full", (F.log(p("t", "ct", "kt")) - F.log(p("o", "co", "ko"))).cast("float").alias("ratio")))
     back = heads.where((F.col("ct") > 0) | (F.col("co") >= least)).select("head", (F.log(share("ct", "kt")) - F.log(share("co", "ko"))).cast("float").alias("ratio"))
     return Model(full.toArrow(), back.toArrow())
