@@ -87,7 +87,7 @@ def test_query(spark, sf):
 
 
 def test_held_out_rows(spark, sf):
-    """On all but the smallest tables: of held-out toxic rows at least 0.8 are caught, 0.8 of those caught are toxic."""
+    """On all but the smallest tables: of held-out toxic rows at least 0.85 are caught, 0.8 of those caught are toxic."""
     folder = sf if "0.001" not in sf else sf.replace("0.001", "0.1")
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     rows = [(labels[r["doc_id"]], r["predicted"]) for r in queries.QUERIES["op7_toxicity"](spark, folder).collect() if r["held_out"] and labels.get(r["doc_id"]) is not None]
