@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 from rulemill.functions.rules import CROSS_COLUMN, PARSE_ERROR
 from rulemill.functions.text import squeeze_code, strip_fence
 
+# Parsed documents that a task keeps, and the length up to which one is kept.
+KEPT_DOCUMENTS, KEPT_LENGTH = 4096, 4096
+
 
 def parse_responses(df: DataFrame, raw_col: str) -> DataFrame:
     """Model text to rule rows; never fails on odd text.
@@ -83,28 +88,38 @@ def rules_json(rules: DataFrame, by: str = "table_name") -> DataFrame:
         F.to_json(F.array_sort(F.collect_list("r"))).alias("rules_json"))
 
 
-def flatten_documents(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Nested YAML rule documents to (rule rows, documents with an error)."""
+def read_documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, groups, error) of nested YAML rule documents; one of the two is null.
+
+    Parsing costs far more than its bytes show, so rows are dealt out by their content first, and a short
+    text that comes again in a task is parsed once.
+    """
     id_type = df.schema[id_col].dataType.simpleString()
     groups = "array<struct<column:string,rules:array<string>>>"
 
     def load_documents(batches):
         import yaml
+
+        def read(text):
+            try:
+                doc = yaml.safe_load(text)
+                return [{"column": str(g["column"]), "rules": [str(r) for r in g["rules"]]} for g in doc["rules"]], None
+            except Exception as e:  # a bad document must not stop the others
+                return None, type(e).__name__
+
+        kept = lru_cache(KEPT_DOCUMENTS)(read)
         for pdf in batches:
-            parsed, errors = [], []
-            for text in pdf[text_col]:
-                try:
-                    doc = yaml.safe_load(text)
-                    parsed.append([{"column": str(g["column"]), "rules": [str(r) for r in g["rules"]]}
-                                   for g in doc["rules"]])
-                    errors.append(None)
-                except Exception as e:  # a bad document must not stop the others
-                    parsed.append(None)
-                    errors.append(type(e).__name__)
-            yield pd.DataFrame({id_col: pdf[id_col], "groups": parsed, "error": errors})
-
-    docs = df.select(id_col, text_col).mapInPandas(
-        load_documents, f"{id_col} {id_type}, groups {groups}, error string")
+            found = [kept(t) if isinstance(t, str) and len(t) <= KEPT_LENGTH else read(t) for t in pdf[text_col]]
+            yield pd.DataFrame({id_col: pdf[id_col], "groups": [g for g, _ in found], "error": [e for _, e in found]})
+
+    rows = df.select(id_col, text_col).repartition(id_col, text_col)
+    return rows.mapInPandas(load_documents, f"{id_col} {id_type}, groups {groups}, error string")
+
+
+def flatten_documents(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Nested YAML rule documents to (rule rows, documents with an error). Each parses
+    the documents; ``flatten_all`` gives both kinds of row from one pass."""
+    docs = read_documents(df, id_col, text_col)
     rows = (docs.where(F.col("error").isNull())
             .select(id_col, F.posexplode("groups").alias("group_pos", "g"))
             .select(id_col, "group_pos", F.col("g.column").alias("column"),
@@ -112,6 +127,17 @@ def flatten_documents(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFr
     return rows, docs.where(F.col("error").isNotNull()).select(id_col, "error")
 
 
+def flatten_all(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, group_pos, column, rule_pos, rule): the rule rows, and for a document with an
+    error one row at places -1, without a column, that has the error as its rule."""
+    docs, bad = read_documents(df, id_col, text_col), F.col("error").isNotNull()
+    groups = F.when(bad, F.array(F.struct(F.lit(None).cast("string").alias("column"), F.array("error").alias("rules")))).otherwise(F.col("groups"))
+    each = docs.select(id_col, "error", F.posexplode(groups).alias("group_pos", "g"))
+    each = each.select(id_col, "error", "group_pos", F.col("g.column").alias("column"), F.posexplode("g.rules").alias("rule_pos", "rule"))
+    place = lambda c: F.when(bad, F.lit(-1)).otherwise(F.col(c)).alias(c)
+    return each.select(id_col, place("group_pos"), "column", place("rule_pos"), "rule")
+
+
 def rule_metrics(rules: DataFrame, by: str) -> DataFrame:
     """Rule counts per run: total, by source, cross-column, and column groups."""
     return rules.groupBy(by).agg(

@@ -160,10 +160,7 @@ def flatten_rule_documents(spark, sf_dir):
         F.lit("rules:\n  - column: p_size\n    rules:\n      - 'is not null'\n      - 'must be <= "),
         F.col("p_size").cast("string"), F.lit("'\n  - column: p_brand\n    rules:\n      - 'starts with "),
         "p_brand", F.lit("'\n")))
-    rows, bad = rs.flatten_documents(part.withColumn("doc", text), "p_partkey", "doc")
-    return rows.unionByName(bad.select(
-        "p_partkey", F.lit(-1).alias("group_pos"), F.lit(None).cast("string").alias("column"),
-        F.lit(-1).alias("rule_pos"), F.col("error").alias("rule")))
+    return rs.flatten_all(part.withColumn("doc", text), "p_partkey", "doc")
 
 
 @query(f"""SELECT user_id, count(*) AS rules_generated, count(*) FILTER (WHERE source = 'schema') AS schema_rules,

@@ -100,6 +100,28 @@ def test_flatten_documents(spark):
     assert (metrics.rules_generated, metrics.column_groups) == (7, 3)
 
 
+def test_flatten_all_reads_each_document_once_in_many_tasks(spark, tmp_path):
+    docs = spark.range(0, 60_000, 1, 1).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.lit("word "), F.col("id").cast("string"))).when(
+        F.col("id") % 4 == 1, NESTED).when(F.col("id") % 4 == 2, F.concat(F.lit("rules: [{column: c, rules: [r"), F.col("id").cast("string"), F.lit("]}]"))).alias("doc"))
+    log = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        log.add(1)
+        return text
+
+    out = rs.flatten_all(docs.withColumn("doc", counted("doc")), "id", "doc")
+    out.write.parquet(str(tmp_path / "out"))
+    assert log.value == 60_000
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert "REPARTITION_BY_COL" in out._jdf.queryExecution().executedPlan().toString()
+    assert got.where("id % 4 = 1").count() == 7 * 15_000
+    assert rows(got.where("id IN (0, 2, 3)"), "id", "group_pos", "column", "rule_pos", "rule") == sorted(
+        [(0, -1, None, -1, "TypeError"), (2, 0, "c", 0, "r2"), (3, -1, None, -1, "AttributeError")], key=repr)
+    good, bad = rs.flatten_documents(docs.where("id < 400"), "id", "doc")
+    assert good.count() == 8 * 100 and bad.count() == 200
+
+
 def test_novel_rules_ignore_case_and_blanks(spark):
     new = spark.createDataFrame([("A", "a  >  0"), ("a", "A > 0"), ("a", "a > 1")], "column string, rule string")
     known = spark.createDataFrame([("a", "a > 0")], "column string, rule string")
