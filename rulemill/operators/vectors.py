@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from rulemill.functions.text import tokens
 
-# Vectors of one side that a task holds.
+# Vectors of one side that a task holds, at least; components of them, at most; and blocks of a cell's side while these allow.
 BLOCK_ROWS = 1024
+BLOCK_VALUES = 1 << 22
+PIECES = 16
+# Scores worked on at once, and neighbouring ones of which only the best is looked at first.
+SCORES, STRIDE = 1 << 21, 32
 # Vectors, about so many, that the cells of the approximate search are fitted on.
 TRAINED = 16_384
 
@@ -51,9 +55,10 @@ def _prepared(m: np.ndarray, metric: str) -> np.ndarray:
 
 
 def _cells(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Rows (cell, id, vec), all in one cell."""
+    """Rows (cell, id, vec), all in one cell. Floats stay floats: half the bytes, and exact as doubles."""
+    kind = "array<float>" if dict(df.dtypes)[vec_col] == "array<float>" else "array<double>"
     return df.where(F.col(vec_col).isNotNull()).select(
-        F.lit(0).alias("cell"), F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+        F.lit(0).alias("cell"), F.col(id_col).alias("id"), F.col(vec_col).cast(kind).alias("vec"))
 
 
 def _distance(vecs: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -74,37 +79,73 @@ def _nearest_cells(df: DataFrame, id_col: str, vec_col: str, centers: np.ndarray
                 yield pd.DataFrame({"cell": near.ravel().astype("int32"), "id": np.repeat(pdf["id"].to_numpy(), near.shape[1]),
                                     "vec": np.repeat(pdf["vec"].to_numpy(), near.shape[1])})
 
-    return rows.mapInPandas(assign, f"cell int, id {dict(rows.dtypes)['id']}, vec array<double>")
+    return rows.mapInPandas(assign, f"cell int, id {dict(rows.dtypes)['id']}, vec {dict(rows.dtypes)['vec']}")
 
 
-def _best(scores: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best of one query's scores, ties in ``order``."""
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best of one query's rounded scores, ties by place."""
     if len(scores) > k:
         near = np.nonzero(scores >= -np.partition(-scores, k - 1)[k - 1])[0]
-        return near[np.lexsort((order[near], -scores[near]))[:k]]
-    return np.lexsort((order, -scores))[:k]
+        return near[np.argsort(-scores[near], kind="stable")[:k]]
+    return np.argsort(-scores, kind="stable")
+
+
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    return np.round(scores, 6) + 0.0
+
+
+def _nearest(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, place, score) of the k best of each row of scores, rounded, ties by place.
+
+    The k-th best of the maxima of neighbouring scores is no better than the k-th best score, so
+    few scores reach it; only these are rounded and sorted.
+    """
+    m = scores.shape[1] // STRIDE
+    if np.isnan(scores).any():
+        scores = _rounded(scores)
+        found = [_best(row, k) for row in scores]
+        query, place = np.repeat(np.arange(len(scores)), [len(p) for p in found]), np.concatenate(found)
+        return query, place, scores[query, place]
+    if m > k:
+        most = scores[:, :m * STRIDE].reshape(len(scores), m, STRIDE).max(axis=2)
+        least = np.partition(most, m - k, axis=1)[:, m - k] - 2e-6  # equal when rounded
+        query, place = np.nonzero(scores >= least[:, None])
+    else:
+        query, place = (x.ravel() for x in np.indices(scores.shape))
+    value = _rounded(scores[query, place])
+    order = np.lexsort((place, -value, query))
+    query, place, value = query[order], place[order], value[order]
+    kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[kept], place[kept], value[kept]
+
+
+def _block_rows(sizes: list[int], dims: int, block_rows: int) -> int:
+    """Vectors of a block. The fullest side of a cell has ``PIECES`` blocks, so each vector is sent to a
+    fixed number of tasks, until blocks would hold more than ``BLOCK_VALUES`` components."""
+    return max(block_rows, min(BLOCK_VALUES // max(dims, 1), -(-max(sizes, default=0) // PIECES)))
 
 
 def _search(queries: DataFrame, items: DataFrame, k: int, item_id: str, metric: str, block_rows: int) -> DataFrame:
     """Top k of (cell, id, vec) queries among the (cell, id, vec) items of the same cell: (query_id, item_id, score).
 
-    Each cell is cut into blocks of about ``block_rows`` by a hash of the row, more blocks for a fuller cell,
-    and each pair of blocks is one small task that gives at most k rows per query. Only block counts per cell reach the driver. Rows
+    Each cell is cut into blocks by a hash of the row, ``_block_rows`` in each, more blocks for a fuller cell,
+    and each pair of blocks is one small task that gives at most k rows per query. Only row counts per cell reach the driver. Rows
     whose ids are equal are one query, or one item, with the best of their scores.
     """
-    def block_counts(df):
-        return {r["cell"]: -(-r["n"] // block_rows)
-                for r in df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    def row_counts(df):
+        found = df.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).collect()
+        return {r["cell"]: r["n"] for r in found}, max((r["dims"] for r in found), default=0)
 
     q_type, i_type = dict(queries.dtypes)["id"], dict(items.dtypes)["id"]
     schema = f"query_id {q_type}, `{item_id}` {i_type}, score double"
-    n_q, n_c = block_counts(queries), block_counts(items)
+    (n_q, q_dims), (n_c, c_dims) = row_counts(queries), row_counts(items)
     shared = sorted(set(n_q) & set(n_c))
     if not shared:
         return queries.sparkSession.createDataFrame([], schema)
+    held = _block_rows([n[c] for n in (n_q, n_c) for c in shared], max(q_dims, c_dims), block_rows)
 
     def per_cell(counts):
-        return F.create_map(*[F.lit(x) for c in shared for x in (c, counts[c])])[F.col("cell")]
+        return F.create_map(*[F.lit(x) for c in shared for x in (c, -(-counts[c] // held))])[F.col("cell")]
 
     def blocked(df, mine, my_counts, other, other_counts):
         return (df.where(F.col("cell").isin(*shared))
@@ -114,20 +155,18 @@ def _search(queries: DataFrame, items: DataFrame, k: int, item_id: str, metric:
     def match(q, c):
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({"query_id": [], item_id: [], "score": []})
-        ids = c["id"].to_numpy()
-        own, order = np.unique(ids, return_inverse=True)
-        vecs, n, found = _prepared(_matrix(c["vec"]), metric), len(own), []
-        for at in range(0, len(q), 256):
-            scores = np.round(_prepared(_matrix(q["vec"].iloc[at:at + 256]), metric) @ vecs.T, 6) + 0.0
-            if n < len(ids):  # equal ids: the best of their scores
-                most = np.full((len(scores), n), -np.inf)
-                np.maximum.at(most, (np.arange(len(scores))[:, None], order[None, :]), scores)
-                found += [(_best(row, np.arange(n), k), row) for row in most]
-            else:
-                found += [(_best(row, order, k), row) for row in scores]
-        named = own if n < len(ids) else ids
-        return pd.DataFrame({"query_id": np.repeat(q["id"].to_numpy(), [len(p) for p, _ in found]),
-                             item_id: named[np.concatenate([p for p, _ in found])], "score": np.concatenate([row[p] for p, row in found])})
+        own, number, copies = np.unique(c["id"].to_numpy(), return_inverse=True, return_counts=True)
+        order, starts = np.argsort(number, kind="stable"), np.cumsum(copies) - copies
+        vecs, asked, found = _prepared(_matrix(c["vec"])[order], metric), _prepared(_matrix(q["vec"]), metric), []
+        step = min(256, max(1, SCORES // len(vecs)))
+        for at in range(0, len(asked), step):
+            scores = asked[at:at + step] @ vecs.T
+            if len(own) < len(vecs):  # equal ids: the best of their scores
+                scores = np.maximum.reduceat(scores, starts, axis=1)
+            query, place, value = _nearest(scores, k)
+            found.append((query + at, place, value))
+        query, place, value = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pd.DataFrame({"query_id": q["id"].to_numpy()[query], item_id: own[place], "score": value})
 
     left, right = blocked(queries, "qb", n_q, "cb", n_c), blocked(items, "cb", n_c, "qb", n_q)
     return left.groupBy("cell", "qb", "cb").cogroup(right.groupBy("cell", "qb", "cb")).applyInPandas(match, schema)

@@ -194,6 +194,42 @@ def test_topk_equals_brute_force(spark, cloud, options):
     assert {(r.query_id, r.id, r.rank) for r in got.collect()} == brute(vecs, vecs, 9)
 
 
+def test_rows_sent_to_blocks_grow_with_the_input():
+    def sent(n, cells=1, asked=1):  # vectors of both sides, each as often as it is sent
+        held = vc._block_rows([n * asked // cells, n // cells], 64, vc.BLOCK_ROWS)
+        q, c = -(-n * asked // cells // held), -(-n // cells // held)
+        return n * asked * c + n * q
+    for options in ({}, {"cells": 8, "asked": 4}):
+        assert sent(720_000, **options) <= 6.1 * sent(120_000, **options) <= 6.1 * 33 * 120_000
+    assert vc._block_rows([50_000_000], 64, vc.BLOCK_ROWS) * 64 == vc.BLOCK_VALUES
+    assert vc._block_rows([900], 64, vc.BLOCK_ROWS) == vc.BLOCK_ROWS
+
+
+def test_nearest_equals_a_full_sort_with_ties():
+    rng = np.random.default_rng(3)
+    scores = rng.normal(size=(20, 1000)) * 0.2
+    scores[:, 100:400] = np.round(scores[:, 100:400], 2)
+    scores[3] = 0.0
+    scores[4, ::7] = 0.9 + rng.uniform(-4e-7, 4e-7, 143)  # equal when rounded
+    scores[5, 17] = np.nan
+    for k in (1, 10, 200):
+        query, place, value = vc._nearest(scores, k)
+        for i in range(20):
+            rounded = np.round(scores[i], 6) + 0.0
+            expected = np.lexsort((np.arange(1000), -rounded))[:k]
+            assert place[query == i].tolist() == expected.tolist()
+            assert value[query == i].tolist() == rounded[expected].tolist()
+
+
+def test_float_vectors_find_what_double_ones_find(spark, cloud):
+    _, df = cloud
+    floats = df.withColumn("v", F.col("v").cast("array<float>"))
+    doubles = floats.withColumn("v", F.col("v").cast("array<double>"))
+    assert dict(vc._cells(floats, "id", "v").dtypes)["vec"] == "array<float>"
+    got = [rows(vc.topk(d, d, 5, "id", "v", "id", "v", block_rows=30), "query_id", "id", "score", "rank") for d in (floats, doubles)]
+    assert got[0] == got[1]
+
+
 def test_topk_with_fewer_items_than_k(spark, cloud):
     _, df = cloud
     few = df.where("id < 3")
