@@ -14,9 +14,10 @@ from rulemill.operators.documents import route_rules
 from rulemill.operators.evaluate import evaluate
 from rulemill.operators.inference import RuleClient, infer_once
 from rulemill.operators.mining import phrase_rules, rules_not_null, rules_numeric
-from rulemill.operators.profile import describe_schema, sample_rows
+from rulemill.operators.profile import describe_schema, sample_rows, summary
 from rulemill.operators.prompts import build_prompts
 from rulemill.operators.rulesets import combine, flatten_documents, judge_rules, parse_responses
+from rulemill.session import checkpointed
 
 
 def propose(tables: dict[str, DataFrame], client_factory: Callable[[], RuleClient], examples: str,
@@ -64,8 +65,8 @@ def check(tables: dict[str, DataFrame], rules: DataFrame) -> DataFrame:
 def describe_for_prompt(df: DataFrame, key: list[str], n: int = 5) -> DataFrame:
     """One row of prompt text: schema, summary statistics and ``n`` sample rows.
     Each part is bounded by the number of columns or by ``n``."""
-    summary = df.summary()
-    stats = summary.select(F.lit("summary").alias("part"), F.to_json(F.struct(*summary.columns)).alias("line"))
+    shown = summary(df)
+    stats = shown.select(F.lit("summary").alias("part"), F.to_json(F.struct(*shown.columns)).alias("line"))
     sample = sample_rows(df, n, key).select(F.lit("sample").alias("part"), F.col("row_json").alias("line"))
     joined = stats.unionByName(sample).agg(*[
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("part") == p, F.col("line")))), "\n").alias(p)
@@ -81,8 +82,9 @@ def propose_phrases(df: DataFrame, key: list[str], client_factory: Callable[[],
 
     Historical rules are routed by keyword from the description and added to
     the prompt. Returns compiled rules and the phrases that were not understood.
+    The description is written once, as it is read for both.
     """
-    context = describe_for_prompt(df, key).withColumn("prompt_id", F.lit(prompt_id))
+    context = checkpointed(describe_for_prompt(df, key).withColumn("prompt_id", F.lit(prompt_id)), "context")
     history = route_rules(context, "context").groupBy("prompt_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_no", "rule"))), lambda r: r["rule"]), "\n")
         .alias("history"))

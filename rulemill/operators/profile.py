@@ -30,15 +30,41 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+# Every text that a cast to double may take, and few others: a cast that fails costs an exception for each row.
+_MAY_BE_NUMBER = (r"^[\p{Cntrl}\p{Z}\s]*[+-]?(?i:[0-9]*\.?[0-9]*(?:e[+-]?[0-9]+)?|0x[0-9a-f.]+(?:p[+-]?[0-9]+)?|inf(?:inity)?|nan)[dDfF]?"
+                  r"[\p{Cntrl}\p{Z}\s]*$")
+_STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """The rows of Spark's ``df.summary()``, but only text that may be a number is cast to one."""
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType))]
+    if not cols or "summary" in cols:
+        return df.summary()
+    texts = set(string_columns(df))
+    own = [F.col(f"`{c}`") for c in cols]
+    number = [F.when(c.rlike(_MAY_BE_NUMBER), c).try_cast("double") if name in texts else c for name, c in zip(cols, own, strict=True)]
+    plain = df.select(*[c.alias(f"t{i}") for i, c in enumerate(own)], *[v.alias(f"v{i}") for i, v in enumerate(number)])
+    wide = plain.agg(*[e for i in range(len(cols)) for e in (
+        F.count(f"t{i}").alias(f"count{i}"), F.avg(f"v{i}").alias(f"mean{i}"), F.stddev(f"v{i}").alias(f"stddev{i}"), F.min(f"t{i}").alias(f"min{i}"),
+        F.percentile_approx(f"v{i}", [0.25, 0.5, 0.75], 10000).alias(f"part{i}"), F.max(f"t{i}").alias(f"max{i}"))])
+
+    def value(stat: str, i: int) -> Column:
+        return F.get(f"part{i}", F.lit(int(stat[:-1]) // 25 - 1)) if stat.endswith("%") else F.col(f"{stat}{i}")
+
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(stat).alias("summary"), *[value(stat, i).cast("string").alias(c) for i, c in enumerate(cols)]) for stat in _STATISTICS])))
+
+
 def summarize(df: DataFrame, exact: bool = False) -> DataFrame:
     """Summary statistics of numeric and string columns.
 
-    By default Spark's own ``summary`` (approximate percentiles, all values as
+    By default what Spark's own ``summary`` gives (approximate percentiles, all values as
     text). ``exact`` gives one row per column with interpolated percentiles;
     text columns carry only count, minimum and maximum.
     """
     if not exact:
-        return df.summary()
+        return summary(df)
     nums, texts = numeric_columns(df), string_columns(df)
     none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
     wide = df.agg(

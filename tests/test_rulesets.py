@@ -122,6 +122,22 @@ def test_flatten_all_reads_each_document_once_in_many_tasks(spark, tmp_path):
     assert good.count() == 8 * 100 and bad.count() == 200
 
 
+def test_summary_equals_spark_s_without_casting_plain_text(spark, sf):
+    texts = ["1.5", " 2 ", "\t-3e2\n", "+.5", "5.", "1d", "2F", "0x1p3", "NaN", "-nan", "inf", "-Infinity", "infinit", "1e", "e5", ".", "", "-", "CW-P-1", "1998-01-02",
+             "1998-01-02T14:00:00Z", "1 2", "1,5", "\u00a07", "\u00057", "7\u0085", "٣", "1e400", "\x7f8", None]
+    frames = [spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "a string, n int")]
+    frames += [spark.createDataFrame([(t, None)], "a string, n int") for t in texts]
+    one = frames[1]
+    for f in frames[2:]:
+        one = one.unionByName(f)
+    for df in (frames[0], one, one.limit(0), load(spark, sf, "supplier"), spark.range(3)):
+        assert [tuple(map(str, r)) for r in pf.summary(df).collect()] == [tuple(map(str, r)) for r in df.summary().collect()]
+        assert pf.summary(df).columns == df.summary().columns
+    judged = one.select("a", F.col("a").try_cast("double").isNotNull().alias("number"), F.col("a").rlike(pf._MAY_BE_NUMBER).alias("tried"))
+    assert judged.where("number AND NOT tried").count() == 0
+    assert {r.a for r in judged.where("NOT tried").collect()} >= {"CW-P-1", "1998-01-02", "1998-01-02T14:00:00Z", "1,5"}
+
+
 def test_novel_rules_ignore_case_and_blanks(spark):
     new = spark.createDataFrame([("A", "a  >  0"), ("a", "A > 0"), ("a", "a > 1")], "column string, rule string")
     known = spark.createDataFrame([("a", "a > 0")], "column string, rule string")
