@@ -236,22 +236,24 @@ def figures(words: np.ndarray) -> list[float]:
     return [words[:, 1].sum() / words[:, 2].sum(), best[-1], best.sum() / TELLING, math.log1p(len(words)), (words[:, 1] / words[:, 2]).max()]
 
 
-def evidence(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
-    """Columns ``keep`` with ``raw``: the five figures of the whole text, 0 without words."""
+def evidence(docs: DataFrame, model: Model, keep: list[Column], text: str = "text", kept: bool = False) -> DataFrame:
+    """Columns ``keep`` with ``raw``: the five figures of the whole text, 0 without words. ``kept`` tells that
+    the text, as a string, is one of them; then it is not sent twice. Rows leave in small batches, as they came."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*keep, F.col(f"`{text}`").cast("string").alias("body"))
-    kept = source.columns[:-1]
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "raw array<double>"])
+    source = docs.select(*keep) if kept else docs.select(*keep, F.col(f"`{text}`").cast("string").alias("body"))
+    width, at = len(keep), source.columns.index(text) if kept else len(keep)
+    names = [*source.columns[:width], "raw"]
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:width]), "raw array<double>"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(shared.value)
-        for pdf in batches:
-            raws = []
-            for lo in range(0, len(pdf), 256):
-                raws += map(figures, words.read(pdf["body"].iloc[lo:lo + 256].tolist()))
-            yield pdf[kept].assign(raw=raws)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                raw = pa.array([*map(figures, words.read(part.column(at).to_pylist()))], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], raw], names)
 
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def fit_curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[list[float], float]:
@@ -286,14 +288,14 @@ def choose(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     return met.groupBy("mark", "toxic").agg(F.first("body").alias("body"))
 
 
-def score(docs: DataFrame, chosen: DataFrame, keep: list[Column], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, chosen: DataFrame, keep: list[Column], text: str = "text", kept: bool = False) -> DataFrame:
     """Columns ``keep`` of each row of ``docs`` with ``score`` and ``predicted``.
 
     ``chosen`` has the rows that ``choose`` gives. Three quarters of them are for the
     counts, the rest for the curve. A null or empty text has no evidence and its
     figures are 0; repeated rows score alike; without labels of both classes
     the curve is flat, below one half if none is toxic. Columns of ``docs`` that are not
-    kept take no part.
+    kept take no part; ``kept`` as in ``evidence``.
     """
     chosen = stored(chosen.withColumn("curve", F.pmod(F.shiftright("mark", 7), F.lit(4)) == 0), "toxicity-rows")
     model = fit_model(chosen.where("NOT curve").select("body", "toxic"), corpus_counts(docs, text))
@@ -301,7 +303,7 @@ def score(docs: DataFrame, chosen: DataFrame, keep: list[Column], text: str = "t
     raw, toxic = np.array(sample["raw"].tolist(), float).reshape(-1, FIGURES), sample["toxic"].to_numpy(float)
     together, signs = fit_curve(raw[:, :-1], toxic)
     alone, word = fit_curve(raw[:, -1:], toxic)
-    out = evidence(docs, model, keep, text)
+    out = evidence(docs, model, keep, text, kept)
     value = F.greatest(sum((F.col("raw")[k] * w for k, w in enumerate(together)), F.lit(signs)), F.col("raw")[FIGURES - 1] * max(alone[0], 0.0) + word)
     value = 1 / (1 + F.exp(-value))
     return out.withColumn("score", value).drop("raw").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -312,5 +314,5 @@ def reject(docs: DataFrame, chosen: DataFrame, text: str = "text") -> DataFrame:
     names = [f"c{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
     body = names[docs.columns.index(text)]
-    judged = score(plain, chosen, [F.col(n) for n in names], body)
+    judged = score(plain, chosen, [F.col(n) for n in names], body, dict(plain.dtypes)[body] == "string")
     return judged.where("predicted = 0").select(*names).toDF(*docs.columns)

@@ -100,3 +100,17 @@ def test_rows_labelled_both_ways_teach_nothing(spark, corpus):
     both = labels.unionByName(labels.where("doc_id < 40").withColumn("toxic", 1 - F.col("toxic")))
     kept = {r["body"] for r in toxicity.choose(docs, both).collect()}
     assert kept == {r["text"] for r in docs.where("doc_id >= 40").collect()}
+
+
+def test_kept_text_is_sent_once_and_leaves_in_small_batches(spark, corpus, monkeypatch):
+    docs, labels = corpus
+    chosen, sent = toxicity.choose(docs, labels), []
+    own = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, run, schema, *more: (sent.append(df.columns), own(df, run, schema, *more))[1])
+    kept = toxicity.reject(docs.withColumn("big", F.lit(2 ** 62 + 1)).withColumn("doc_id", F.when(F.col("doc_id") != 1, F.col("doc_id"))), chosen)
+    assert sent[-1] == [f"c{k}" for k in range(len(docs.columns) + 1)]
+    plain = {r.doc_id for r in toxicity.score(docs, chosen, [F.col("doc_id")]).where("predicted = 0").collect()}
+    got = kept.collect()
+    assert {r.doc_id for r in got} == {None if i == 1 else i for i in plain} and {r.big for r in got} == {2 ** 62 + 1}
+    numbers = docs.select("doc_id", F.col("doc_id").alias("text"))  # a text that is no string is cast, and left as it was
+    assert dict(toxicity.reject(numbers, chosen).dtypes) == dict(numbers.dtypes)
