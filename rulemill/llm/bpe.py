@@ -21,13 +21,14 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 1 << 19  # entries a worker's word table takes; words met after that are encoded each time
+CACHED_WORDS = 1 << 17  # entries that each of a worker's word tables takes, 25 MB; words met after that are encoded each time
+SLICE = 256  # rows whose texts, ids and decoded texts a worker holds at once
 
 
 def byte_symbols() -> dict[str, int]:
@@ -222,7 +223,7 @@ class Encoder:
                 if len(chunk) <= 64 and len(known) < CACHED_WORDS:
                     known[chunk] = ids
             out.append(ids)
-        if len(self.automaton.table) > 4 * CACHED_WORDS:
+        if len(self.automaton.table) > 2 * CACHED_WORDS:
             self.automaton.table.clear()
         return b"".join(out)
 
@@ -257,6 +258,17 @@ def load_encoder(path: str) -> Encoder:
         return Encoder(json.load(f))
 
 
+def encoded(batches: Iterator[pa.RecordBatch], coder: Encoder, decoded: bool) -> Iterator[pa.RecordBatch]:
+    """Batches with their last column, the texts, replaced by ids and, if asked for, decoded
+    texts; ``SLICE`` rows at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE):
+            part = batch.slice(lo, SLICE)
+            ids = [coder.encode(t) for t in part.columns[-1].to_pylist()]
+            texts = [pa.array(map(coder.decode, ids), pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary()), *texts], [*part.schema.names[:-1], "ids", *["decoded"] * decoded])
+
+
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None,
            ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Columns ``keep`` of each row with its ids (binary, little-endian 32-bit) and,
@@ -264,7 +276,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str]
 
     A null or empty text has no ids and decodes to the empty text; repeated rows are
     encoded each; other columns of ``docs`` are dropped, so none can clash. Any
-    length is encoded whole: memory follows the longest text of a batch.
+    length is encoded whole: memory follows the longest texts of ``SLICE`` rows.
     """
     spark = docs.sparkSession
     keep = list(keep if keep is not None else [c for c in docs.columns if c != text])
@@ -274,16 +286,10 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str]
     kinds = dict(source.dtypes)
     schema = ", ".join([*(f"{n} {kinds[n]}" for n in names), "ids binary", *(["decoded string"] if decoded else [])])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = shared.value
-        for pdf in batches:
-            found = [coder.encode(t) for t in pdf.pop("body")]
-            pdf["ids"] = found
-            if decoded:
-                pdf["decoded"] = [coder.decode(x) for x in found]
-            yield pdf
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return encoded(batches, shared.value, bool(decoded))
 
-    return source.mapInPandas(run, schema).toDF(*keep, ids, *([decoded] if decoded else []))
+    return source.mapInArrow(run, schema).toDF(*keep, ids, *([decoded] if decoded else []))
 
 
 def digests(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:

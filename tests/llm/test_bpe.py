@@ -4,6 +4,7 @@ import array
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -85,3 +86,26 @@ def test_odd_rows(spark, library):
     want = sorted(repr((i, library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
     assert sorted(repr((r["doc_id"], list(array.array("I", bytes(r["ids"]))))) for r in out) == want
     assert bpe.digests(docs_of(spark, []), queries.tokenizer_path()).collect() == []
+
+
+def test_texts_are_held_in_slices():
+    """Of a large batch only ``SLICE`` rows are encoded and decoded at once."""
+    coder, rng = bpe.load_encoder(queries.tokenizer_path()), random.Random(8)
+    texts = [None, "", *(f"{rng.choice(['Oak', 'élan', 'x' * 90])} {k % 300}" for k in range(2 * bpe.SLICE))]
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(len(texts))], pa.int32()), pa.array(texts)], ["k0", "body"])
+    parts = bpe.encoded(iter([batch]), coder, True)
+    first = next(parts)
+    assert first.num_rows == bpe.SLICE and first.schema.names == ["k0", "ids", "decoded"]
+    rows = pa.Table.from_batches([first, *parts])
+    assert rows["k0"].to_pylist() == [*range(len(texts))]
+    assert rows["ids"].to_pylist() == [coder.encode(t) for t in texts]
+    assert rows["decoded"].to_pylist() == [coder.decode(coder.encode(t)) for t in texts]
+
+
+def test_word_tables_have_a_bound(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 50)
+    coder, whole = bpe.load_encoder(queries.tokenizer_path()), bpe.load_encoder(queries.tokenizer_path())
+    text = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}." for k in range(600))
+    assert coder.encode(text) == coder.encode(text) == b"".join(whole.encode(w) for w in text.split())
+    coder.encode("a new text after the tables are full")
+    assert len(coder.known) <= 50 and len(coder.words) <= 50 and len(coder.automaton.table) <= 100
