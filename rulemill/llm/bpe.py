@@ -19,7 +19,7 @@ import array
 import json
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -54,7 +54,8 @@ class Automaton:
         symbols = byte_symbols()
         products = {a + b for a, b in merges}
         self.steps: dict[int, int] = {}  # spelling read so far << 8 | next byte: spelling read then
-        self.inner_at, self.final_at = [-1], [-1]  # the label a spelling has within a word, and at its end
+        self.final_at: dict[int, int] = {}  # the label a spelling has at the end of a word
+        self.shorter = [-1] * size  # the longest label within a word that a label's spelling starts with
         spelled: dict[int, tuple[bytes, bool]] = {}
         for text, i in vocab.items():
             if text in products:
@@ -68,17 +69,19 @@ class Automaton:
                 raise ValueError("a merge must join labels made before it")
             self._gadget(when, vocab[a], vocab[b], vocab[a + b], spelled)
         self.sizes = [len(spelled[i][0]) if i in spelled else 0 for i in range(size)]
+        # A spelling is numbered by the label it has within a word, if any.
+        inner = {spelling: i for i, (spelling, ends) in spelled.items() if not ends}
+        numbers: dict[bytes, int] = {b"": size}
         for i, (spelling, ends) in spelled.items():
-            here = 0
-            for byte in spelling:
-                here = self.steps.setdefault(here << 8 | byte, len(self.inner_at))
-                if here == len(self.inner_at):
-                    self.inner_at.append(-1)
-                    self.final_at.append(-1)
+            here = size
+            for k in range(1, len(spelling) + 1):
+                if here < size:
+                    self.shorter[i] = here
+                there = numbers.setdefault(spelling[:k], inner.get(spelling[:k], size + len(numbers)))
+                self.steps[here << 8 | spelling[k - 1]] = there
+                here = there
             if ends or not suffix:
                 self.final_at[here] = i
-            if not ends:
-                self.inner_at[here] = i
 
     def _gadget(self, when: int, u: int, v: int, w: int, spelled: dict[int, tuple[bytes, bool]]) -> None:
         if self.born[w]:
@@ -115,47 +118,61 @@ class Automaton:
 
         Only one path reaches each position, so a position from which no label
         leads on is never entered again: the work is linear in the length."""
-        n, table, size, steps, inner_at, final_at = len(spelling), self.table, self.size, self.steps, self.inner_at, self.final_at
+        n, size, known, read, sizes, shorter = len(spelling), self.size, self.table.get, self.steps.get, self.sizes, self.shorter
         path: list[int] = []
-        choices: list[list[tuple[int, int]]] = []  # for each label on the path and the next: where it may end
         dead: set[int] = set()
-        at = 0
+        at, before = 0, -1
         while at < n:
-            if len(choices) == len(path):
-                here, found = 0, []
-                for end in range(at, n):
-                    here = steps.get(here << 8 | spelling[end])
-                    if here is None:
-                        break
-                    label = inner_at[here] if end < n - 1 else final_at[here]
-                    if label >= 0:
-                        found.append((end + 1, label))
-                choices.append(found)
-            before = path[-1] if path else -1
-            while choices[-1]:
-                end, label = choices[-1].pop()
-                if end not in dead:
-                    go = before < 0 or table.get(before * size + label)
-                    if go is None:
-                        go = self.follows(before, label)
-                    if go:
-                        path.append(label)
-                        at = end
-                        break
+            here, label = size, -1
+            for byte in spelling[at:-1]:
+                here = read(here << 8 | byte)
+                if here is None:
+                    break
+                if here < size:
+                    label = here
             else:
-                if not path:
-                    raise ValueError("the vocabulary lacks a byte of this word")
-                dead.add(at)
-                choices.pop()
-                at -= self.sizes[path.pop()]
+                label = self.final_at.get(read(here << 8 | spelling[-1]), label)
+            while True:
+                while label >= 0:
+                    if not dead or at + sizes[label] not in dead:
+                        go = before < 0 or known(before * size + label)
+                        if go is None:
+                            go = self.follows(before, label)
+                        if go:
+                            break
+                    label = shorter[label]
+                else:
+                    if not path:
+                        raise ValueError("the vocabulary lacks a byte of this word")
+                    dead.add(at)
+                    last = path.pop()
+                    at, before, label = at - sizes[last], path[-1] if path else -1, shorter[last]
+                    continue
+                break
+            path.append(label)
+            at, before = at + sizes[label], label
         return path
 
 
+class _Table(dict):
+    """Values by text, made where missing; up to ``most`` of short texts are kept."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.make(text)
+        if len(self) < self.most and len(text) <= 64:
+            self[text] = value
+        return value
+
+
 class Encoder:
     """Texts to ids and back, by a tokenizer file of word-end BPE: canonical
     composition, lower case, white space dropped, words split by a pattern."""
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, cached: int | None = None):
+        self.cached = cached or CACHED_WORDS
         model = spec["model"]
         if model["type"] != "BPE" or model.get("dropout") or model.get("unk_token") or model.get("byte_fallback"):
             raise ValueError("only plain BPE models are supported")
@@ -178,12 +195,15 @@ class Encoder:
         self.start_anew()
 
     def start_anew(self) -> None:
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known, self.words = _Table(self._chunk, self.cached), _Table(self._word, self.cached)
         self.rare = None
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}, "words": {}, "rare": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "words", "rare")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.start_anew()
 
     def _pieces(self, chunk: str) -> list[str]:
         """Words of a text without the white space that separates words."""
@@ -197,35 +217,23 @@ class Encoder:
         clean = split.normalizer.normalize_str(chunk)
         return [clean[a:b] for _, (a, b) in split.pre_tokenizer.pre_tokenize_str(clean)]
 
+    def _word(self, piece: str) -> bytes:
+        path = array.array("I", self.automaton.word(piece.encode()))
+        if sys.byteorder == "big":
+            path.byteswap()
+        return path.tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
         """Ids of such a text, as little-endian 32-bit integers."""
-        out = []
-        for piece in self._pieces(chunk):
-            ids = self.words.get(piece)
-            if ids is None:
-                path = array.array("I", self.automaton.word(piece.encode()))
-                if sys.byteorder == "big":
-                    path.byteswap()
-                ids = path.tobytes()
-                if len(piece) <= 64 and len(self.words) < CACHED_WORDS:
-                    self.words[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, self._pieces(chunk)))
 
     def _plain(self, text: str) -> bytes:
-        known, out = self.known, []
         # str.split() also splits at four control characters that are no white space here
         chunks = regex.split(r"\s+", text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        for chunk in chunks:
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._chunk(chunk)
-                if len(chunk) <= 64 and len(known) < CACHED_WORDS:
-                    known[chunk] = ids
-            out.append(ids)
-        if len(self.automaton.table) > 2 * CACHED_WORDS:
+        out = b"".join(map(self.known.__getitem__, chunks))
+        if len(self.automaton.table) > 2 * self.cached:
             self.automaton.table.clear()
-        return b"".join(out)
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of a text; none for a null one."""
@@ -252,10 +260,10 @@ class Encoder:
             return " ".join(labels[i] for i in numbers if i < len(labels) and labels[i] is not None)
 
 
-def load_encoder(path: str) -> Encoder:
+def load_encoder(path: str, cached: int | None = None) -> Encoder:
     """Compile a tokenizer file, read on the driver; its size is the vocabulary's."""
     with open(path, encoding="utf-8") as f:
-        return Encoder(json.load(f))
+        return Encoder(json.load(f), cached)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], coder: Encoder, decoded: bool) -> Iterator[pa.RecordBatch]:

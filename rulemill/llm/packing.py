@@ -15,15 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulemill.llm.bpe import load_encoder
+from rulemill.llm.bpe import SLICE, load_encoder
 from rulemill.llm.common import fresh
 
 CAPACITY = 2048
 SHARD_BYTES = 16 << 20  # of text; a shard's ids follow them
 PAD = 0
+CACHED_WORDS = 1 << 20  # entries of a worker's word tables: 200 MB each
 
 
 class RoomTree:
@@ -91,7 +93,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text
     table gives no rows. Other columns are dropped, so none can clash.
     """
     spark = docs.sparkSession
-    encoder = load_encoder(tokenizer)
+    encoder = load_encoder(tokenizer, CACHED_WORDS)
     width = 2 if max(len(encoder.labels), end_id + 1) <= 1 << 16 else 4
     shared = spark.sparkContext.broadcast(encoder)
     source = docs.select(F.monotonically_increasing_id().alias("at"), F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("body"))
@@ -100,20 +102,23 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text
     shards = int(-(-size // shard_bytes))
     tail = end_id.to_bytes(4, "little")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = shared.value
-        for pdf in batches:
-            at, doc, piece, ids = [], [], [], []
-            for row, d, body in zip(pdf["at"], pdf["doc"], pdf["body"], strict=True):
-                found = np.frombuffer(coder.encode(body) + tail, "<u4").astype(f"<u{width}")
-                for k in range(0, len(found), capacity):
-                    at.append(row)
-                    doc.append(d)
-                    piece.append(k // capacity)
-                    ids.append(found[k:k + capacity].tobytes())
-            yield pd.DataFrame({"at": at, "doc": pd.Series(doc, dtype=pdf["doc"].dtype), "piece": piece, "ids": ids})
-
-    pieces = source.mapInPandas(cut, f"at long, doc {kind}, piece int, ids binary")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, step = shared.value, capacity * width
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                row, piece, ids = [], [], []
+                for k, body in enumerate(part.column(2).to_pylist()):
+                    found = coder.encode(body) + tail
+                    if width == 2:
+                        found = np.frombuffer(found, "<u4").astype("<u2").tobytes()
+                    count = -(-len(found) // step)
+                    row += [k] * count
+                    piece += range(count)
+                    ids += [found[a:a + step] for a in range(0, len(found), step)]
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row, pa.int64())) for c in part.columns[:2]), pa.array(piece, pa.int32()), pa.array(ids, pa.binary())], ["at", "doc", "piece", "ids"])
+
+    pieces = source.mapInArrow(cut, f"at long, doc {kind}, piece int, ids binary")
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("at", "piece"), F.lit(shards)).cast("int"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:

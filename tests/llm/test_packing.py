@@ -2,6 +2,7 @@
 
 import array
 import hashlib
+import pickle
 import random
 
 from rulemill.llm import bpe, packing, queries
@@ -54,3 +55,13 @@ def test_query_places_all_tokens(spark, sf):
     assert sum(r["n_tokens"] for r in rows) == sum(r["n_tokens"] + 1 for r in want)
     assert {i for r in rows for i in r["doc_ids"]} == {r["doc_id"] for r in want}
     assert len({(r["shard"], r["row"]) for r in rows}) == len(rows)
+
+
+def test_word_tables_of_a_given_size_are_kept_by_workers():
+    """A coder sent to a task starts with empty tables of its own, which hold as many words as were asked for."""
+    own = bpe.load_encoder(queries.tokenizer_path(), 3)
+    text = "one two three four five one two"
+    ids = own.encode(text)
+    sent = pickle.loads(pickle.dumps(own))
+    assert not sent.known and not sent.words and len(own.known) == 3
+    assert sent.encode(text) == ids and len(sent.known) == len(sent.words) == 3
