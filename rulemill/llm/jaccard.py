@@ -11,6 +11,10 @@ equal frequency each order is another random permutation. Frequencies are lower
 for the most frequent tokens only: they steer which tokens come first, never which
 links are found.
 
+Before that, a pair is held against parity bitmaps: each token flips one bit of its set's, so two bitmaps
+differ in no more bits than the sets differ in tokens, and a pair with too many of them cannot link. A component
+is held against others by the bits that all of its members have and those that none has.
+
 Result rows name classes, not pairs, so within a connected group not every pair is
 needed. Each prefix bucket is compared with a pivot a few times, more often while buckets are crowded and
 pivots find links; then only members of different components that still share a bucket are compared, all of them.
@@ -41,6 +45,9 @@ STRETCH = 1 << 22  # shingles of a stretch
 MOST_FREQUENT = 1 << 18  # tokens whose frequency the orders know: 4 MB
 FINE = 4096  # counts up to which the histogram of counts is exact
 BROADCAST_ROWS = 1 << 18  # of ids of texts to read again: some 30 MB as a hash table; more are joined by a shuffle
+WORDS_OF_BITS = 16  # longs of a bitmap; sets of up to some 2,000 shingles fill it well, of larger ones it tells less and loses none
+BITS = [f"b{k}" for k in range(WORDS_OF_BITS)]
+ALL, ANY = [f"all{k}" for k in range(WORDS_OF_BITS)], [f"any{k}" for k in range(WORDS_OF_BITS)]  # set in all members, in any
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,23 +162,31 @@ def threshold(counts: DataFrame) -> int:
     return least if least is not None else 1
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of tokens in each of the slots, as longs."""
+    slots = 64 * WORDS_OF_BITS
+    odd = np.bincount(((tokens & np.uint64(0xFFFFFFFF)) % np.uint64(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefixes(docs: DataFrame, orders: Orders) -> DataFrame:
-    """(doc, hash, n, mark, prefix) of (doc, hash, body): the set's size, a 128-bit mark of the
-    set, null if it is empty, and its prefix under the first order."""
+    """(doc, hash, n, mark, prefix, bits) of (doc, hash, body): the set's size, a 128-bit mark of the
+    set, null if it is empty, its prefix under the first order, and its bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(orders)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _WordHashes()
         for pdf in batches:
-            n, mark, prefix = [], [], []
+            n, mark, prefix, bits = [], [], [], []
             for body in pdf["body"]:
                 tokens = shingles(body, hashes)
                 n.append(len(tokens))
                 mark.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
                 prefix.append(shared.value.prefix(tokens, 1).view(np.int64))
-            yield pd.DataFrame({"doc": pdf["doc"], "hash": pdf["hash"], "n": n, "mark": mark, "prefix": prefix})
+                bits.append(bitmap(tokens))
+            yield pd.DataFrame({"doc": pdf["doc"], "hash": pdf["hash"], "n": n, "mark": mark, "prefix": prefix, "bits": bits})
 
-    return docs.mapInPandas(run, f"doc {dict(docs.dtypes)['doc']}, hash bigint, n bigint, mark binary, prefix array<bigint>")
+    return docs.mapInPandas(run, f"doc {dict(docs.dtypes)['doc']}, hash bigint, n bigint, mark binary, prefix array<bigint>, bits array<bigint>")
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, orders: Orders) -> DataFrame:
@@ -208,28 +223,42 @@ def may_link(na: Column, pa: Column, nb: Column, pb: Column) -> Column:
     return (SHARE[1] * F.least(na, nb) >= SHARE[0] * F.greatest(na, nb)) & ((SHARE[0] + SHARE[1]) * most >= SHARE[0] * (na + nb))
 
 
-def share_prefixes(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) that share a prefix token under the second and third order too."""
-    p = (F.col("n") - F.ceil(F.col("n") * SHARE[0] / SHARE[1]) + 1).cast("int")
-    own = sets.select("node", F.slice("tokens", F.lit(1), p).alias("second"), F.col("other").alias("third"))
-    both = pairs.join(own.toDF("u", "su", "tu"), "u").join(own.toDF("v", "sv", "tv"), "v")
-    return both.where(F.arrays_overlap("su", "sv") & F.arrays_overlap("tu", "tv")).select("u", "v").distinct()
+def few_bits(differing: list[Column], na: Column, nb: Column) -> Column:
+    """Can sets of at most these sizes link that differ in the slots set in these longs, at least?"""
+    return (SHARE[0] + SHARE[1]) * sum((F.bit_count(x) for x in differing[1:]), F.bit_count(differing[0])) <= (SHARE[1] - SHARE[0]) * (na + nb)
+
+
+def _apart(a: tuple[list[Column], list[Column]], b: tuple[list[Column], list[Column]]) -> list[Column]:
+    """Bits that all members of one side have and none of the other; a side is given by its bits set in all and in any member."""
+    return [p.bitwiseAND(F.bitwise_not(y)).bitwiseOR(q.bitwiseAND(F.bitwise_not(x))) for p, x, q, y in zip(*a, *b, strict=True)]
+
+
+def _cols(names: list[str], prefix: str = "") -> list[Column]:
+    return [F.col(prefix + n) for n in names]
+
+
+def alike(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (u, v) that may link by their bitmaps, of (node, n, *BITS)."""
+    both = pairs.join(bits.toDF("u", "nu", *(f"u{b}" for b in BITS)), "u").join(bits.toDF("v", "nv", *(f"v{b}" for b in BITS)), "v")
+    return both.where(few_bits([F.col(f"u{b}").bitwiseXOR(F.col(f"v{b}")) for b in BITS], F.col("nu"), F.col("nv"))).select("u", "v")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose overlap is large enough."""
-    own = sets.select("node", "n", "tokens")
-    both = pairs.join(own.toDF("u", "nu", "tu"), "u").join(own.toDF("v", "nv", "tv"), "v")
+    """The pairs (u, v) that share a prefix token under the second and third order too and whose overlap is large enough."""
+    p = (F.col("n") - F.ceil(F.col("n") * SHARE[0] / SHARE[1]) + 1).cast("int")
+    own = sets.select("node", "n", "tokens", F.slice("tokens", F.lit(1), p).alias("second"), "other")
+    both = pairs.join(own.toDF("u", "nu", "tu", "su", "ou"), "u").join(own.toDF("v", "nv", "tv", "sv", "ov"), "v")
     shared = F.size(F.array_intersect("tu", "tv"))
-    return both.where(SHARE[1] * shared >= SHARE[0] * (F.col("nu") + F.col("nv") - shared)).select("u", "v").distinct()
+    enough = SHARE[1] * shared >= SHARE[0] * (F.col("nu") + F.col("nv") - shared)
+    return both.where(F.arrays_overlap("su", "sv") & F.arrays_overlap("ou", "ov") & enough).select("u", "v").distinct()
 
 
 def _verified(pairs: DataFrame, source: DataFrame, classes: DataFrame, orders: Orders) -> DataFrame:
     """The pairs that link; sets are read for the texts in them only."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    near = stored(alike(pairs, classes.select("node", "n", *(F.col("bits")[k].alias(b) for k, b in enumerate(BITS)))), "jaccard-near")
+    nodes = near.select("u").unionAll(near.select(F.col("v").alias("u"))).distinct().toDF("node")
     wanted = stored(classes.select("node", "doc", "mark").join(nodes, "node", "left_semi"), "jaccard-wanted")
     sets = stored(sets_of(source, wanted, orders), "jaccard-sets")
-    near = stored(share_prefixes(pairs, sets), "jaccard-near")
     links = stored(verify(near, sets), "jaccard-links")
     discard(pairs, wanted, sets, near)
     return links
@@ -278,15 +307,26 @@ def pivot_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return met.select(*_pair(F.col("node"), F.col("p.node"))).distinct()
 
 
-def remaining_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of members of a bucket that are in different components and may link."""
-    groups = rows.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    a, b = groups.toDF("token", "ra", "la", "ha"), groups.toDF("token", "rb", "lb", "hb")
-    near = (SHARE[1] * F.col("ha") >= SHARE[0] * F.col("lb")) & (SHARE[1] * F.col("hb") >= SHARE[0] * F.col("la"))
-    crossing = a.join(b, "token").where((F.col("ra") < F.col("rb")) & near).select("token", "ra", "rb")
-    left = crossing.join(rows.select("token", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")), ["token", "ra"])
-    met = left.join(rows.select("token", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb")), ["token", "rb"])
-    return met.where(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"))).select(*_pair(F.col("a"), F.col("b"))).distinct()
+def remaining_pairs(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """All pairs of members of a bucket that are in different components and may link, also by their bitmaps (node, *BITS)."""
+    mixed = rows.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("token")
+    rows = stored(rows.join(mixed, "token", "left_semi").join(bits, "node"), "jaccard-mixed")
+    groups = rows.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"), *(F.bit_and(b).alias(x) for b, x in zip(BITS, ALL, strict=True)),
+                                               *(F.bit_or(b).alias(x) for b, x in zip(BITS, ANY, strict=True)))
+
+    def named(df: DataFrame, side: str) -> DataFrame:
+        return df.select("token", *(F.col(c).alias(side + c) for c in df.columns if c != "token"))
+
+    a, b = (_cols(ALL, "a"), _cols(ANY, "a")), (_cols(ALL, "b"), _cols(ANY, "b"))
+    own, other = (_cols(BITS, "x"), _cols(BITS, "x")), (_cols(BITS, "y"), _cols(BITS, "y"))
+    sizes = (SHARE[1] * F.col("ahigh") >= SHARE[0] * F.col("blow")) & (SHARE[1] * F.col("bhigh") >= SHARE[0] * F.col("alow"))
+    crossing = named(groups, "a").join(named(groups, "b"), "token").where((F.col("aroot") < F.col("broot")) & sizes & few_bits(_apart(a, b), F.col("ahigh"), F.col("bhigh")))
+    crossing = crossing.select("token", F.col("aroot").alias("xroot"), F.col("broot").alias("yroot"), "bhigh", *b[0], *b[1])
+    left = crossing.join(named(rows, "x"), ["token", "xroot"]).where(few_bits(_apart(own, b), F.col("xn"), F.col("bhigh")))
+    left = left.select("token", "yroot", "xnode", "xn", "xpos", *own[0])
+    met = left.join(named(rows, "y"), ["token", "yroot"])
+    link = may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos")) & few_bits(_apart(own, other), F.col("xn"), F.col("yn"))
+    return met.where(link).select(*_pair(F.col("xnode"), F.col("ynode"))).distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,14 +342,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     source = source.withColumn("hash", text_hash(F.col("body")))
     orders = frequent_tokens(source)
     rows = stored(prefixes(source, orders).withColumn("rid", F.monotonically_increasing_id()), "jaccard-rows")
-    classes = rows.where("n > 0").groupBy("mark").agg(F.min_by(F.struct("rid", "doc", "n", "prefix"), "rid").alias("first"))
+    classes = rows.where("n > 0").groupBy("mark").agg(F.min_by(F.struct("rid", "doc", "n", "prefix", "bits"), "rid").alias("first"))
     # a class is compared through its first row alone
-    classes = stored(classes.select("mark", F.col("first.rid").alias("node"), "first.doc", "first.n", "first.prefix"), "jaccard-classes")
+    classes = stored(classes.select("mark", F.col("first.rid").alias("node"), "first.doc", "first.n", "first.prefix", "first.bits"), "jaccard-classes")
+    bits = classes.select("node", *(F.col("bits")[k].alias(b) for k, b in enumerate(BITS)))
     buckets = buckets_of(classes)
     size, links, labelled, turn, more = buckets.count(), None, buckets.withColumn("root", F.col("node")), 0, True
     while more:
         more = turn < PIVOT_ROUNDS or turn < MOST_PIVOT_ROUNDS and found.count() * WORTH > met and crossings(labelled) > MANY * size
-        pairs = stored(pivot_pairs(labelled, turn) if more else remaining_pairs(labelled), "jaccard-pairs")
+        pairs = stored(pivot_pairs(labelled, turn) if more else remaining_pairs(labelled, bits), "jaccard-pairs")
         met, found = pairs.count(), _verified(pairs, source, classes, orders)
         links = found if links is None else links.unionByName(found)
         if more:

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from rulemill.llm import jaccard, queries
@@ -121,3 +122,26 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 99: 99, 100: 99, 101: 99}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_bitmaps_lose_no_pair_that_may_link(spark):
+    """Against sets of all sizes: bits that differ are never more than tokens that do."""
+    rng = np.random.default_rng(5)
+    for n in (1, 4, 5, 30, 400, 6000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in {0, 1, n // 10, n // 2, n}:
+            other = np.concatenate([base[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)])
+            bits = jaccard.bitmap(base) ^ jaccard.bitmap(other)
+            assert sum(int(b).bit_count() for b in bits.view(np.uint64)) <= 2 * changed
+
+
+def test_a_shared_passage_makes_few_pairs(spark, monkeypatch):
+    """Texts that share much, but not enough, are told apart by bitmaps before any text is read again."""
+    rng = random.Random(3)
+    common = prose(rng, 200)
+    rows = [(k, f"{common} {' '.join(f'w{rng.randrange(10**6)}' for _ in range(40))}") for k in range(60)]
+    rows += [(100 + k, f"{rows[k][1]} end") for k in range(5)]
+    read = []
+    monkeypatch.setattr(jaccard, "sets_of", lambda docs, classes, orders, f=jaccard.sets_of: read.append(classes.count()) or f(docs, classes, orders))
+    assert sorted((tuple(r) for r in jaccard.groups(docs_of(spark, rows)).collect()), key=repr) == by_all_pairs(rows)
+    assert max(read) <= 10
